@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 REPLICATE_BYTES = 64 << 20
 REPLICATE_ROWS = 200_000
@@ -17,10 +18,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES) -> DataFrame:
+def _width(data_type: DataType) -> int:
+    """Bytes Catalyst assumes for a value: eight, or twenty for text."""
+    return 20 if isinstance(data_type, StringType) else 8
+
+
+def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES, rows_of: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if its estimated size is within the bound; otherwise
-    return it unmarked, so the join shuffles and adaptive execution splits skew."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    return it unmarked, so the join shuffles and adaptive execution splits skew.
+
+    The estimate of a join multiplies both sides. Where ``df`` is a table joined to
+    its parents by their unique key it has no more rows than that table, which is
+    given as ``rows_of`` to be sized instead, with the columns ``df`` adds to it.
+    """
+    size = estimated_bytes(df)
+    if rows_of is not None:
+        widths = [max(sum(_width(f.dataType) for f in x.schema.fields), 1) for x in (df, rows_of)]
+        size = min(size, int(estimated_bytes(rows_of) * max(1.0, widths[0] / widths[1])))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def replicate_counted(df: DataFrame, max_rows: int = REPLICATE_ROWS) -> DataFrame:

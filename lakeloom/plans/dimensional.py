@@ -9,7 +9,7 @@ from lakeloom.functions.exact import amount, net_revenue, total
 from lakeloom.functions.text import text_key, timestamp_text
 from lakeloom.operators import modeling, quality
 from lakeloom.operators.dedup import dimension_rows, last_write_wins, one_per_key
-from lakeloom.operators.layout import keys_of, replicate, replicate_counted
+from lakeloom.operators.layout import keys_of, replicate_counted
 from lakeloom.operators.numbering import dense_keys
 from lakeloom.operators.upsert import upsert
 from lakeloom.plans.olap import places
@@ -95,7 +95,7 @@ def dim_time(t: Tables) -> DataFrame:
 
 
 def customer_dimension(t: Tables) -> DataFrame:
-    homes = t.customer.join(replicate(places(t)), F.col("c_nationkey") == F.col("n_nationkey"))
+    homes = t.customer.join(places(t), F.col("c_nationkey") == F.col("n_nationkey"))
     attributes = {"name": "c_name", "segment": "c_mktsegment", "nation": "n_name", "region": "r_name"}
     return modeling.entity_dimension(homes, "c_custkey", "customer_key", attributes, AS_OF)
 
@@ -106,7 +106,7 @@ def part_dimension(t: Tables) -> DataFrame:
 
 
 def store_dimension(t: Tables) -> DataFrame:
-    homes = t.supplier.join(replicate(places(t)), F.col("s_nationkey") == F.col("n_nationkey"))
+    homes = t.supplier.join(places(t), F.col("s_nationkey") == F.col("n_nationkey"))
     attributes = {"name": "s_name", "nation": "n_name", "region": "r_name"}
     return modeling.entity_dimension(homes, "s_suppkey", "store_key", attributes, AS_OF)
 

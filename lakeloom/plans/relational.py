@@ -135,10 +135,10 @@ def having_filter(t: Tables) -> DataFrame:
 
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
-    FROM lineitem WHERE l_orderkey = 338 AND l_linenumber = 4""")
+    FROM lineitem WHERE l_orderkey = 338 AND l_linenumber = 5""")
 def point_lookup(t: Tables) -> DataFrame:
     lines = QueryTable(t.lineitem, ("l_orderkey",), ("l_linenumber",))
-    return lines.where(l_orderkey=338, l_linenumber=4).select(
+    return lines.where(l_orderkey=338, l_linenumber=5).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
 
@@ -454,4 +454,4 @@ def except_rows(t: Tables) -> DataFrame:
         return t.orders.where(in_year(F.col("o_orderdate"), y)).select("o_custkey", "o_orderstatus")
 
     # Both sides are made distinct before they meet, so no key is hot in the join.
-    return of_year(1997).subtract(of_year(1998).distinct())
+    return of_year(1997).distinct().subtract(of_year(1998).distinct())

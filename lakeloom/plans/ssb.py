@@ -43,11 +43,11 @@ def ssb_one_dim(t: Tables) -> DataFrame:
     GROUP BY year(o_orderdate), p_brand""")
 def ssb_two_dim(t: Tables) -> DataFrame:
     here = places(t).where(F.col("r_name") == "AMERICA")
-    suppliers = t.supplier.join(replicate(here), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey")
+    suppliers = t.supplier.join(here, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey")
     parts = t.part.where(F.col("p_type") == "ECONOMY").select("p_partkey", "p_brand")
     # The two selective dimensions cut the lines before they are shuffled to orders.
     lines = (
-        t.lineitem.join(replicate(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
+        t.lineitem.join(replicate(suppliers, rows_of=t.supplier), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select("l_orderkey", "p_brand", amount(net_revenue(), 4).alias("rev"))
     )
@@ -79,7 +79,7 @@ def ssb_drill(t: Tables) -> DataFrame:
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "customer_nation", F.year("o_orderdate").alias("year"))
     )
-    lines = t.lineitem.join(replicate(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = t.lineitem.join(replicate(suppliers, rows_of=t.supplier), F.col("l_suppkey") == F.col("s_suppkey"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
         joined.groupBy("customer_nation", "supplier_nation", "year")
