@@ -47,7 +47,9 @@ def log_fields(line: Column) -> Column:
     """
     groups = "\n".join(f"${i + 1}" for i in range(len(LOG_FIELDS)))
     fields = F.split(F.regexp_replace(line, f"(?s){LOG_LINE}.*$", groups), "\n")
-    return F.when((F.size(fields) == len(LOG_FIELDS)) & ~F.contains(line, F.lit("\n")), fields)
+    one_line = F.when(~F.contains(line, F.lit("\n")), fields)
+    # The one-element array lets the size test see the result without computing it again.
+    return F.get(F.filter(F.array(one_line), lambda f: F.size(f) == len(LOG_FIELDS)), F.lit(0))
 
 
 def log_map(line: Column) -> Column:

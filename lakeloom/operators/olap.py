@@ -8,13 +8,16 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.exact import from_units
+
 
 @dataclass(frozen=True)
 class Cube:
     """``facts`` joined to their dimensions, with a metric to add up.
 
     ``hierarchies`` lists attributes from coarse to fine. Every method returns a new
-    cube or a lazy frame; nothing runs before an action.
+    cube or a lazy frame; nothing runs before an action. A metric counted in units of
+    ``10 ** -scale`` (see ``functions.exact``) is turned into amounts after summing.
     """
 
     facts: DataFrame
@@ -22,6 +25,7 @@ class Cube:
     metric_name: str
     dimensions: tuple[str, ...]
     hierarchies: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    scale: int = 0
 
     def slice(self, dimension: str, value) -> "Cube":
         """Fix one dimension to one value and leave it out of the grouping."""
@@ -56,7 +60,7 @@ class Cube:
         return replace(self, dimensions=(*self.dimensions[:at], finer, *self.dimensions[at:]))
 
     def _sum(self) -> Column:
-        return F.sum(self.metric).cast("double").alias(self.metric_name)
+        return from_units(F.sum(self.metric), self.scale).alias(self.metric_name)
 
     def totals(self) -> DataFrame:
         return self.facts.groupBy(*self.dimensions).agg(self._sum())

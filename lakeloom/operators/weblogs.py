@@ -31,7 +31,9 @@ def parse_log_map(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def top_counts(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` most frequent values; ties go by value."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    # Nulls are dropped after counting: a filter before it would be merged into the
+    # expression behind the column and compute that twice.
+    counted = df.groupBy(column).agg(F.count(column).alias("n_rows")).where(F.col("n_rows") > 0)
     return counted.orderBy(F.desc("n_rows"), column).limit(n)
 
 

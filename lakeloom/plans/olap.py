@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.exact import amount, net_revenue
+from lakeloom.functions.exact import net_revenue, units
 from lakeloom.operators.layout import replicate
 from lakeloom.operators.olap import Cube
 from lakeloom.plans.registry import query
@@ -14,6 +14,8 @@ from lakeloom.sources.tables import Tables
 
 # The largest groups a report shows.
 REPORT_ROWS = 20
+# Price has two digits after the point and discount two: their product has four.
+REV_SCALE = 4
 PLACES = ("r_name", "n_name", "c_mktsegment")
 
 
@@ -35,21 +37,21 @@ def sales_cube(t: Tables) -> Cube:
         .select("o_orderkey", F.dayofmonth("o_orderdate").alias("day"), *PLACES)
     )
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "l_orderkey", "p_type", amount(net_revenue(), 4).alias("rev")
+        "l_orderkey", "p_type", units(net_revenue(), REV_SCALE).alias("rev")
     )
     facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return Cube(facts, F.col("rev"), "revenue", ("day", "p_type", "n_name"), {"place": PLACES})
+    return Cube(facts, F.col("rev"), "revenue", ("day", "p_type", "n_name"), {"place": PLACES}, REV_SCALE)
 
 
 def supplier_cube(t: Tables) -> Cube:
     """Lines by order month and supplier region."""
     suppliers = t.supplier.join(places(t), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "r_name")
     lines = t.lineitem.join(replicate(suppliers, rows_of=t.supplier), F.col("l_suppkey") == F.col("s_suppkey")).select(
-        "l_orderkey", "r_name", amount(net_revenue(), 4).alias("rev")
+        "l_orderkey", "r_name", units(net_revenue(), REV_SCALE).alias("rev")
     )
     months = t.orders.select("o_orderkey", F.month("o_orderdate").alias("month"))
     facts = lines.join(months, F.col("l_orderkey") == F.col("o_orderkey"))
-    return Cube(facts, F.col("rev"), "revenue", ("month", "r_name"))
+    return Cube(facts, F.col("rev"), "revenue", ("month", "r_name"), scale=REV_SCALE)
 
 
 _REV = "CAST(SUM(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue"

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.exact import amount, net_revenue
+from lakeloom.functions.exact import from_units, net_revenue, units
 from lakeloom.functions.times import in_month, in_year
 from lakeloom.operators.layout import replicate
 from lakeloom.plans.registry import query
-from lakeloom.plans.olap import places
+from lakeloom.plans.olap import REV_SCALE, places
 from lakeloom.session import scratch_path
 from lakeloom.sinks.catalog import write_bucketed
 from lakeloom.sources.tables import Tables
@@ -19,8 +19,8 @@ from lakeloom.sources.tables import Tables
 BUCKETS = 8
 
 
-def discounted() -> "F.Column":
-    return amount(F.col("l_extendedprice") * F.col("l_discount"), 4)
+def discounted() -> Column:
+    return units(F.col("l_extendedprice") * F.col("l_discount"), REV_SCALE)
 
 
 @query("""
@@ -31,7 +31,7 @@ def ssb_one_dim(t: Tables) -> DataFrame:
     lines = t.lineitem.where(F.col("l_discount").between(0.01, 0.03) & (F.col("l_quantity") < 24))
     orders = t.orders.where(in_year(F.col("o_orderdate"), 1997)).select("o_orderkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.agg(F.sum(discounted()).cast("double").alias("revenue"))
+    return joined.agg(from_units(F.sum(discounted()), REV_SCALE).alias("revenue"))
 
 
 @query("""
@@ -49,11 +49,11 @@ def ssb_two_dim(t: Tables) -> DataFrame:
     lines = (
         t.lineitem.join(replicate(suppliers, rows_of=t.supplier), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select("l_orderkey", "p_brand", amount(net_revenue(), 4).alias("rev"))
+        .select("l_orderkey", "p_brand", units(net_revenue(), REV_SCALE).alias("rev"))
     )
     years = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"))
     joined = lines.join(years, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy("year", "p_brand").agg(F.sum("rev").cast("double").alias("revenue"))
+    return joined.groupBy("year", "p_brand").agg(from_units(F.sum("rev"), REV_SCALE).alias("revenue"))
 
 
 @query("""
@@ -83,7 +83,7 @@ def ssb_drill(t: Tables) -> DataFrame:
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
         joined.groupBy("customer_nation", "supplier_nation", "year")
-        .agg(F.sum(amount(net_revenue(), 4)).cast("double").alias("revenue"))
+        .agg(from_units(F.sum(units(net_revenue(), REV_SCALE)), REV_SCALE).alias("revenue"))
         .orderBy("year", F.desc("revenue"), "customer_nation", "supplier_nation")
     )
 
@@ -94,15 +94,15 @@ _SAME_DIST = """
     FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY strftime(l_shipdate, '%Y-%m-%d')"""
 
 
-def _by_ship_date(joined: DataFrame, metric) -> DataFrame:
-    summed = joined.groupBy("l_shipdate").agg(F.sum(metric).cast("double").alias("revenue"))
+def by_ship_date(joined: DataFrame, metric: Column) -> DataFrame:
+    summed = joined.groupBy("l_shipdate").agg(from_units(F.sum(metric), REV_SCALE).alias("revenue"))
     return summed.orderBy("l_shipdate").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"), "revenue")
 
 
 @query(_SAME_DIST)
 def ssb_same_dist(t: Tables) -> DataFrame:
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return _by_ship_date(joined, discounted())
+    return by_ship_date(joined, discounted())
 
 
 def part_buckets(t: Tables, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
@@ -121,7 +121,7 @@ def part_buckets(t: Tables, buckets: int = BUCKETS) -> tuple[DataFrame, DataFram
 
 
 def same_dist_join(sales: DataFrame, parts: DataFrame) -> DataFrame:
-    return _by_ship_date(
+    return by_ship_date(
         sales.join(parts.hint("merge"), F.col("l_partkey") == F.col("p_partkey")), F.col("revenue")
     )
 

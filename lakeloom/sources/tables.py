@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakeloom.schemas import TABLES
+
 
 class Tables:
     """Lazy access to ``<root>/<name>.parquet`` as ``tables.<name>``."""
@@ -21,7 +23,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        reader = self.spark.read
+        if name in TABLES:
+            reader = reader.schema(TABLES[name])
+        return reader.parquet(self.path(name))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
