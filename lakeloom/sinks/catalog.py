@@ -23,7 +23,9 @@ def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
 
 
 def clear_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"TRUNCATE TABLE {name}")
+    """Remove all rows. Overwriting with none also works for tables with a path of
+    their own, which TRUNCATE TABLE refuses."""
+    spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
 
 
 def _in_target_order(df: DataFrame, table: str) -> DataFrame:
