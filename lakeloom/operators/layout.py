@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-REPLICATE_BYTES = 64 << 20
+REPLICATE_BYTES = 32 << 20
 REPLICATE_ROWS = 200_000
 
 
@@ -50,9 +50,23 @@ def keys_of(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.05) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows, with their row counts. There are
-    at most ``1 / share`` of them, so the result is always small."""
+def many_to_one(facts: DataFrame, reference: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join facts to a reference with one row per key, made by grouping on that key.
+
+    Adaptive execution splits a hot key only where a shuffle feeds the join on both
+    sides; a grouped reference is already partitioned by the key and would be joined
+    as it is. One more join column, a hash of the key, makes Spark shuffle the
+    (small) reference once more, so the facts of a hot key are split over many tasks.
+    """
+    mark = F.xxhash64(*on).alias("_key_hash")
+    joined = facts.select("*", mark).join(reference.select("*", mark), [*on, "_key_hash"], how)
+    return joined.drop("_key_hash")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], at_least_rows: int = 0, at_most_keys: int = 1000) -> DataFrame:
+    """Keys with at least ``at_least_rows`` rows and at least one in ``at_most_keys`` of
+    all rows, with their row counts. No more than ``at_most_keys`` keys can hold such a
+    share, so the result is small whatever the data."""
     all_rows = df.agg(F.count(F.lit(1))).scalar()
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.withColumn("share", F.col("n_rows") / all_rows).where(F.col("share") >= share)
+    return counted.where((F.col("n_rows") >= at_least_rows) & (F.col("n_rows") * at_most_keys >= all_rows))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.dedup import last_write_wins, one_per_key
+from lakeloom.operators.layout import many_to_one
 from lakeloom.sinks.files import write_sorted
 
 
@@ -18,7 +19,7 @@ def first_match(
     """Each row of ``df`` with ``take`` from the first matching row of ``reference``,
     null where none matches. The reference is cut to one row per key before the join."""
     firsts = one_per_key(reference, on, order_by).select(*on, *take)
-    return df.join(firsts, list(on), "left")
+    return many_to_one(df, firsts, on)
 
 
 @dataclass(frozen=True)

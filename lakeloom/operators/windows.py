@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators.layout import hot_keys
+
+
+# A key with fewer rows than this is small enough for one task; at most so many keys
+# are treated as hot (each then holds at least that fraction of all rows).
+HOT_ROWS = 1_000_000
+HOT_KEYS = 100_000
+
 
 def running_sum(
     df: DataFrame,
@@ -17,31 +27,43 @@ def running_sum(
     frame: str = "rows",
     ties: Sequence[str | Column] = (),
     descending: bool = True,
-    slot: str = "day",
+    slot: str = "minute",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running sum of ``value`` per key along ``time``, as column ``name``.
 
     ``frame="range"`` gives rows of equal time the same sum; ``"rows"`` adds them one
     by one in the order of ``ties``.
 
-    A plain window would bring all rows of a key into one task. Here the task holds
-    one key and one ``slot`` (a ``date_trunc`` unit): sums per key and slot are made
-    first, with partial sums before their shuffle; the sum of all earlier slots enters
-    each slot as an opening row that sorts in front of it. Rows are shuffled once, as
-    with the plain window. Choose a smaller ``slot`` for busier keys.
+    A plain window brings all rows of a key into one task. That stays so for ordinary
+    keys. The rows of hot keys are split by ``slot`` (a ``date_trunc`` unit): sums per
+    key and slot are made first, with partial sums before their shuffle, and the sum
+    of all earlier slots enters each slot as an opening row that sorts in front of it.
+    All rows are shuffled once, as with the plain window.
     """
     if frame not in ("rows", "range"):
         raise ValueError("frame is 'rows' or 'range'")
     by_time = F.desc_nulls_last if descending else F.asc_nulls_first
-    rows = df.withColumn("_slot", F.date_trunc(slot, F.col(time))).withColumn("_add", value)
+    hot = hot_keys(df, keys, at_least_rows=hot_rows, at_most_keys=HOT_KEYS).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
+    )
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    # No more than HOT_KEYS rows, so the broadcast is bounded.
+    rows = (
+        df.join(F.broadcast(hot), same_key, "left")
+        .withColumn("_slot", F.when(F.col("_hot"), F.date_trunc(slot, F.col(time))))
+        .withColumn("_add", value)
+    )
     slots = Window.partitionBy(*keys).orderBy(by_time("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     openings = (
-        rows.groupBy(*keys, "_slot")
+        rows.where(F.col("_hot"))
+        .groupBy(*keys, "_slot")
         .agg(F.sum("_add").alias("_slot_sum"))
         .select(*keys, "_slot", F.sum("_slot_sum").over(slots).alias("_add"), F.lit(0).alias("_row"))
         .where(F.col("_add").isNotNull())
     )
-    opened = rows.withColumn("_row", F.lit(1)).unionByName(openings, allowMissingColumns=True)
+    added = rows.select(*df.columns, "_slot", "_add", F.lit(1).alias("_row"))
+    opened = added.unionByName(openings, allowMissingColumns=True)
     w = Window.partitionBy(*keys, "_slot")
     if frame == "range":
         w = w.orderBy("_row", by_time(time)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -57,10 +79,10 @@ def marker_periods(
     is_marker: Column,
     frame: str = "range",
     ties: Sequence[str | Column] = (),
-    slot: str = "day",
+    **splitting,
 ) -> DataFrame:
     """Number each user's periods, counted backwards in time: a period ends at a marker."""
-    return running_sum(df, [user], time, is_marker.cast("long"), "period", frame=frame, ties=ties, slot=slot)
+    return running_sum(df, [user], time, is_marker.cast("long"), "period", frame=frame, ties=ties, **splitting)
 
 
 def mean_between_markers(
@@ -71,10 +93,10 @@ def mean_between_markers(
     is_marker: Column,
     frame: str = "range",
     ties: Sequence[str | Column] = (),
-    slot: str = "day",
+    **splitting,
 ) -> DataFrame:
     """Mean number of events per period, over periods that have any."""
     marked = df.where(is_event | is_marker).withColumn("_event", is_event).withColumn("_marker", is_marker)
-    periods = marker_periods(marked, user, time, F.col("_marker"), frame=frame, ties=ties, slot=slot)
+    periods = marker_periods(marked, user, time, F.col("_marker"), frame=frame, ties=ties, **splitting)
     per_period = periods.where("_event").groupBy(user, "period").agg(F.count(F.lit(1)).alias("events"))
     return per_period.agg((F.sum("events") / F.count("events")).alias("mean_events"))

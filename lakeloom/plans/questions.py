@@ -68,8 +68,8 @@ def most_played_artist(logs: DataFrame) -> DataFrame:
     return plays.orderBy(F.desc("n_plays"), "artist").limit(1)
 
 
-def songs_between_home_visits(logs: DataFrame, frame: str = "range", slot: str = "day") -> DataFrame:
+def songs_between_home_visits(logs: DataFrame, frame: str = "range") -> DataFrame:
     timed = logs.withColumn("time", F.timestamp_millis(F.col("ts")))
     page = F.col("page")
     ties = ["itemInSession"] if frame == "rows" else []
-    return mean_between_markers(timed, "userId", "time", page == "NextSong", page == "Home", frame=frame, ties=ties, slot=slot)
+    return mean_between_markers(timed, "userId", "time", page == "NextSong", page == "Home", frame=frame, ties=ties)

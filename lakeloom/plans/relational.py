@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.exact import amount, mean, net_revenue, total
 from lakeloom.functions.times import in_year, is_weekend
 from lakeloom.operators.dedup import one_per_key
-from lakeloom.operators.layout import keys_of, replicate
+from lakeloom.operators.layout import keys_of, many_to_one, replicate
 from lakeloom.operators.lookup import QueryTable, first_match
 from lakeloom.operators.quality import load_report as count_rows
 from lakeloom.plans.registry import query
@@ -189,7 +189,7 @@ def join_4way(t: Tables) -> DataFrame:
 def join_left_multikey(t: Tables) -> DataFrame:
     on = ["l_suppkey", "l_partkey", "l_quantity"]
     returned = keys_of(t.lineitem.where(F.col("l_returnflag") == "R"), *on).withColumn("was_returned", F.lit(True))
-    return t.lineitem.join(returned, on, "left").select("l_orderkey", "l_linenumber", *on, "was_returned")
+    return many_to_one(t.lineitem, returned, on).select("l_orderkey", "l_linenumber", *on, "was_returned")
 
 
 @query("""
@@ -258,7 +258,7 @@ def lookup_first_match(t: Tables) -> DataFrame:
 def join_two_keys(t: Tables) -> DataFrame:
     on = ["l_partkey", "l_suppkey"]
     stats = t.lineitem.groupBy(*on).agg(F.count(F.lit(1)).alias("n_pair_lines"))
-    return t.lineitem.join(stats, on).select("l_orderkey", "l_linenumber", *on, "n_pair_lines")
+    return many_to_one(t.lineitem, stats, on, "inner").select("l_orderkey", "l_linenumber", *on, "n_pair_lines")
 
 
 @query("""
@@ -275,7 +275,7 @@ def join_rounded(t: Tables) -> DataFrame:
     prices = part.groupBy("p_brand", "rounded_price").agg(
         F.min("p_partkey").alias("first_part"), F.count(F.lit(1)).alias("n_parts")
     )
-    return part.join(prices, ["p_brand", "rounded_price"]).select(
+    return many_to_one(part, prices, ["p_brand", "rounded_price"], "inner").select(
         "p_partkey", "p_brand", F.col("rounded_price").cast("bigint"), "first_part", "n_parts"
     )
 

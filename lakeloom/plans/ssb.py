@@ -16,8 +16,6 @@ from lakeloom.session import scratch_path
 from lakeloom.sinks.catalog import write_bucketed
 from lakeloom.sources.tables import Tables
 
-BUCKETS = 8
-
 
 def discounted() -> Column:
     return units(F.col("l_extendedprice") * F.col("l_discount"), REV_SCALE)
@@ -105,12 +103,14 @@ def ssb_same_dist(t: Tables) -> DataFrame:
     return by_ship_date(joined, discounted())
 
 
-def part_buckets(t: Tables, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
+def part_buckets(t: Tables, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Daily sales per part, and parts, stored in matching buckets.
 
     Lines are summed to one row per part and day before they are bucketed: a part with
-    a third of all lines fills its bucket with no more rows than there are days.
+    a third of all lines fills its bucket with no more rows than there are days. The
+    number of buckets is that of shuffle partitions, which a cluster sizes to its data.
     """
+    buckets = buckets or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     daily = t.lineitem.groupBy("l_partkey", "l_shipdate").agg(F.sum(discounted()).alias("revenue"))
     run = uuid.uuid4().hex
     sales = write_bucketed(

@@ -12,6 +12,7 @@ from lakeloom.functions.text import text_key
 from lakeloom.functions.times import epoch_millis
 from lakeloom.operators import quality
 from lakeloom.operators.dedup import dimension_rows, one_per_key
+from lakeloom.operators.layout import many_to_one
 from lakeloom.operators.modeling import time_dimension
 from lakeloom.sinks.files import write_parquet, write_partitioned
 from lakeloom.sources.files import json_tree
@@ -108,7 +109,7 @@ def songplays(
     event_key = ["session_id", "ts", "item_in_session", "user_id"]
     plays = one_per_key(plays_of(events), event_key, ["song"])
     keyed = plays.select("*", F.col("song").alias("_title"), F.col("artist").alias("_artist"), *_duration_key("length", rule))
-    return keyed.join(catalog, on, "left" if keep_unmatched else "inner").select(
+    return many_to_one(keyed, catalog, on, "left" if keep_unmatched else "inner").select(
         text_key(F.col("session_id"), F.col("ts"), F.col("item_in_session"), F.col("user_id")).alias("songplay_id"),
         "start_time",
         "user_id",

@@ -24,11 +24,25 @@ RUNTIME_SETTINGS = {
 }
 
 
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def initial_partitions(shuffle_partitions: int, parallelism: int) -> int:
+    """Shuffle partitions to start with: several per core, so one fits into a task's
+    memory and a slow one does not hold up the stage; adaptive execution merges them
+    again where there is little data."""
+    return max(shuffle_partitions, 4 * parallelism)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session, whoever created it."""
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(_INITIAL_PARTITIONS, None) is None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(_INITIAL_PARTITIONS, str(initial_partitions(current, context.defaultParallelism)))
     return spark
 
 

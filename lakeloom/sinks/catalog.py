@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakeloom.operators.quality import has_rows
+
 
 def create_tables(spark: SparkSession, schemas: Mapping[str, StructType], folder: str | None = None) -> None:
     """Create every table empty with its declared schema, replacing what is there."""
@@ -57,6 +59,14 @@ def stage_table(df: DataFrame, table: str) -> None:
     load_dimension(df, table, append=False)
 
 
+def create_and_load(df: DataFrame, table: str, schema: StructType, folder: str | None = None) -> DataFrame:
+    """Create a table, load it, and return the report of whether it has rows."""
+    spark = df.sparkSession
+    create_tables(spark, {table: schema}, folder)
+    stage_table(df, table)
+    return has_rows({table: spark.table(table)})
+
+
 def write_bucketed(
     df: DataFrame,
     table: str,

@@ -16,14 +16,19 @@ from lakeloom.sinks.files import write_partitioned
 DAY, LOAD = "event_day", "load_id"
 
 
-def _stored(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+def _stored(spark: SparkSession, target: str, schema: StructType, folders: Sequence[str] = ()) -> DataFrame:
     wide = StructType([*schema.fields]).add(DAY, "date").add(LOAD, "string")
-    return spark.read.schema(wide).parquet(target)
+    return spark.read.schema(wide).option("basePath", target).parquet(*(folders or [target]))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def _day_folders(spark: SparkSession, target: str) -> dict[str, str]:
+    """Path by name of the day folders ``target`` has: one listing, one entry per day."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return {}
+    found = [status.getPath() for status in system.listStatus(folder) if status.isDirectory()]
+    return {path.getName(): path.toString() for path in found}
 
 
 def add_batch(
@@ -39,12 +44,16 @@ def add_batch(
     """
     spark = batch.sparkSession
     fresh = one_per_key(batch, keys, order_by).withColumn(DAY, F.to_date(time))
-    if _exists(spark, target):
-        # One value per calendar day in the batch; they become partition filters.
+    folders = _day_folders(spark, target)
+    if folders:
+        # One value per calendar day in the batch. Only the folders of these days are
+        # listed and read.
         days = [row[0] for row in batch.select(F.to_date(time)).distinct().collect()]
-        in_days = F.col(DAY).isin([d for d in days if d is not None])
-        known = _stored(spark, target, batch.schema).where((in_days | F.col(DAY).isNull()) & (F.col(LOAD) != load_id))
-        fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
+        names = [f"{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}" for day in days]
+        touched = [folders[name] for name in names if name in folders]
+        if touched:
+            known = _stored(spark, target, batch.schema, touched).where(F.col(LOAD) != load_id)
+            fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
     rows = fresh.select(*batch.columns, DAY).withColumn(LOAD, F.lit(load_id))
     write_partitioned(rows, target, [DAY, LOAD], replace_only_present=True)
 
@@ -61,13 +70,19 @@ def load_new_files(
     pattern: str = "*.parquet",
     file_format: str = "parquet",
     files_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Load the files of ``landing`` that no earlier call with the same ``checkpoint``
-    has loaded, then stop. Returns the fact table."""
+    has loaded, then stop. Returns the fact table.
+
+    With ``archive`` loaded files are moved there, so ``landing`` stays short to list.
+    """
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
     reader = reader.option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     # Batch ids start again with a new checkpoint, so the load id names both.
     source = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 

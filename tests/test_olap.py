@@ -2,7 +2,7 @@ import pytest
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
-from lakeloom.operators.layout import estimated_bytes, hot_keys, replicate
+from lakeloom.operators.layout import estimated_bytes, hot_keys, many_to_one, replicate
 from lakeloom.operators.olap import Cube
 from lakeloom.plans import olap, ssb
 from lakeloom.session import scratch_path
@@ -79,6 +79,39 @@ def test_replicate_keeps_to_its_bound(spark, tables):
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
 
 
+def skewed(spark):
+    """A third of the rows has key -1; two rows have no key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") < 3, F.lit(None)).otherwise(F.col("id"))
+    return spark.range(0, 30000, 1, 8).select("id", key.alias("k"), F.repeat(F.lit("x"), 50).alias("pad"))
+
+
 def test_hot_keys(spark):
-    df = spark.range(300).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    assert rows(hot_keys(df, ["k"], 0.1), "k", "n_rows") == [(-1, 100)]
+    df = skewed(spark)
+    assert rows(hot_keys(df, ["k"], 100), "k", "n_rows") == [(-1, 10000)]
+    assert hot_keys(df, ["k"], 10001).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_key_is_split_in_join_to_grouped_reference(spark, how):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        facts = skewed(spark)
+        reference = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = many_to_one(facts, reference, ["k"], how)
+        got = joined.collect()
+        assert "skew=true" in plan_text(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == (30000 if how == "left" else 29998)
+    assert sum(r.n for r in got if r.k == -1) == 10000 * 10000
+    assert {r.n for r in got if r.k != -1} == ({1, None} if how == "left" else {1})

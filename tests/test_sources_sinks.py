@@ -152,6 +152,14 @@ def test_catalog_tables(spark, tmp_path):
     assert not spark.catalog.tableExists("dim_t")
 
 
+def test_create_and_load(spark, tmp_path):
+    schema = StructType().add("id", LongType())
+    report = catalog.create_and_load(spark.range(3), "unit_t", schema, str(tmp_path))
+    assert rows(report, "table_name", "passed") == [("unit_t", True)]
+    assert rows(catalog.create_and_load(spark.range(0), "unit_t", schema, str(tmp_path)), "passed") == [(False,)]
+    catalog.drop_tables(spark, ["unit_t"])
+
+
 def test_result_actions(spark):
     df = spark.range(5)
     assert (df.count(), len(df.limit(2).toPandas()), df.limit(1).first()[0]) == (5, 2, 0)

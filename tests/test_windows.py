@@ -24,10 +24,10 @@ def visits(spark):
     return df.withColumn("time", F.timestamp_seconds(F.col("second") + 1541030400)).cache()
 
 
-@pytest.mark.parametrize("slot", ["hour", "day", "month"])
+@pytest.mark.parametrize(("slot", "hot_rows"), [("hour", 1), ("day", 1), ("day", 100), ("minute", 10**6)])
 @pytest.mark.parametrize("frame", ["rows", "range"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_running_sum_equals_plain_window(visits, slot, frame, descending):
+def test_running_sum_equals_plain_window(visits, slot, hot_rows, frame, descending):
     by = F.desc_nulls_last("time") if descending else F.asc_nulls_first("time")
     w = Window.partitionBy("user")
     if frame == "rows":
@@ -36,7 +36,9 @@ def test_running_sum_equals_plain_window(visits, slot, frame, descending):
         w = w.orderBy(by).rangeBetween(Window.unboundedPreceding, 0)
     value = (F.col("page") == "Home").cast("long")
     want = visits.select("id", F.sum(value).over(w).alias("s"))
-    got = running_sum(visits, ["user"], "time", value, "s", frame=frame, ties=["id"], descending=descending, slot=slot)
+    got = running_sum(
+        visits, ["user"], "time", value, "s", frame=frame, ties=["id"], descending=descending, slot=slot, hot_rows=hot_rows
+    )
     assert rows(got, "id", "s") == rows(want)
 
 
