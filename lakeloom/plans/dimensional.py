@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.exact import amount, net_revenue, total
 from lakeloom.functions.text import text_key, timestamp_text
 from lakeloom.operators import modeling, quality
-from lakeloom.operators.dedup import dimension_rows, last_write_wins, one_per_key
+from lakeloom.operators.dedup import dimension_rows, one_per_key
 from lakeloom.operators.layout import keys_of, replicate_counted
 from lakeloom.operators.numbering import dense_keys
 from lakeloom.operators.upsert import upsert
@@ -167,8 +167,7 @@ def user_table(t: Tables) -> DataFrame:
     its value stays."""
     rows = t.events.select("user_id", "event_type", "value", "ts", "event_id")
     first = one_per_key(rows, ["user_id"], ["ts", "event_id"]).select("user_id", "event_type", "value")
-    last = last_write_wins(rows, ["user_id"], ["ts", "event_id"])
-    return upsert(first, last, ["user_id"], ["event_type"], ["ts", "event_id"])
+    return upsert(first, rows, ["user_id"], ["event_type"], ["ts", "event_id"])
 
 
 _USERS = """
