@@ -23,7 +23,7 @@ def _width(data_type: DataType) -> int:
     return 20 if isinstance(data_type, StringType) else 8
 
 
-def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES, rows_of: DataFrame | None = None) -> DataFrame:
+def replicate(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if its estimated size is within the bound; otherwise
     return it unmarked, so the join shuffles and adaptive execution splits skew.
 
@@ -35,13 +35,14 @@ def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES, rows_of: DataFram
     if rows_of is not None:
         widths = [max(sum(_width(f.dataType) for f in x.schema.fields), 1) for x in (df, rows_of)]
         size = min(size, int(estimated_bytes(rows_of) * max(1.0, widths[0] / widths[1])))
-    return F.broadcast(df) if size <= max_bytes else df
+    return F.broadcast(df) if size <= (REPLICATE_BYTES if max_bytes is None else max_bytes) else df
 
 
-def replicate_counted(df: DataFrame, max_rows: int = REPLICATE_ROWS) -> DataFrame:
+def replicate_counted(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """The same for a stored or checkpointed frame, whose rows are cheap to count and
     whose estimate still carries that of its inputs."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    bound = REPLICATE_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
 def keys_of(df: DataFrame, *keys: str) -> DataFrame:
@@ -67,6 +68,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], at_least_rows: int = 0, at_most
     """Keys with at least ``at_least_rows`` rows and at least one in ``at_most_keys`` of
     all rows, with their row counts. No more than ``at_most_keys`` keys can hold such a
     share, so the result is small whatever the data."""
-    all_rows = df.agg(F.count(F.lit(1))).scalar()
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    all_rows = counted.agg(F.sum("n_rows")).scalar()
     return counted.where((F.col("n_rows") >= at_least_rows) & (F.col("n_rows") * at_most_keys >= all_rows))

@@ -99,17 +99,22 @@ def access_log_tokens(t: Tables) -> DataFrame:
     return log_lines(t).select("event_id", tokens[0].alias("first_token"), F.size(tokens).cast("long").alias("n_tokens"))
 
 
-_UNESCAPE = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+def _unescaped(text: str) -> str:
+    """SQL that resolves the entities of the pages. The HTML standard resolves these in
+    text without the semicolon too, as where a title was cut off inside one."""
+    for entity, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{character}', 'g')"
+    return text
 
 
 @query(f"""
-    SELECT page_id, {_UNESCAPE.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title FROM pages""")
+    SELECT page_id, {_unescaped("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title FROM pages""")
 def html_titles(t: Tables) -> DataFrame:
     return page_titles(t.pages).select("page_id", "title")
 
 
 @query(f"""
-    SELECT page_id, CAST(pos AS INTEGER) AS pos, {_UNESCAPE.format("regexp_extract(tag, 'href=\"([^\"]*)\"', 1)")} AS href FROM (
+    SELECT page_id, CAST(pos AS INTEGER) AS pos, {_unescaped("regexp_extract(tag, 'href=\"([^\"]*)\"', 1)")} AS href FROM (
         SELECT page_id, unnest(range(len(tags))) AS pos, unnest(tags) AS tag
         FROM (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*"') AS tags FROM pages))""")
 def html_links(t: Tables) -> DataFrame:

@@ -7,13 +7,18 @@ stay where Spark put them, so there is no shuffle.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# Ship this module's code with each task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements that never have content (HTML standard, fixed values).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
