@@ -60,3 +60,18 @@ def test_interval_reload(spark, paths):
         assert rows(spark.read.parquet(paths["target"]), "id", "v") == [(1, 1), (2, 20), (3, 30), (4, 4)]
     with pytest.raises(ValueError):
         load_interval(days, "time", date(2024, 1, 2), date(2024, 1, 2), paths["target"])
+
+
+def test_hourly_json_files(spark, paths, tmp_path):
+    """Each hour another log file; plays enter the fact table once."""
+    schema = inline_rows(spark, [], "session bigint, item bigint, ms bigint, time timestamp").schema
+    landing, archive = tmp_path / "logs", tmp_path / "done"
+    landing.mkdir()
+    for hour in range(3):
+        lines = [f'{{"session": 1, "item": {i}, "ms": {i}, "time": "2018-11-0{1 + i // 4} 0{i}:00:00"}}' for i in range(hour * 2, hour * 2 + 4)]
+        (landing / f"hour-{hour}.json").write_text("\n".join(lines))
+        loaded = load_new_files(
+            spark, str(landing), schema, paths["target"], paths["state"], ["session", "item"], "time",
+            pattern="*.json", file_format="json", archive=str(archive),
+        )
+        assert rows(loaded, "item") == [(i,) for i in range(hour * 2 + 4)]
