@@ -2,6 +2,7 @@ import pytest
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
+from lakeloom.functions.exact import units
 from lakeloom.operators.layout import estimated_bytes, hot_keys, many_to_one, replicate
 from lakeloom.operators.olap import Cube
 from lakeloom.plans import olap, ssb
@@ -115,3 +116,23 @@ def test_hot_key_is_split_in_join_to_grouped_reference(spark, how):
     assert len(got) == (30000 if how == "left" else 29998)
     assert sum(r.n for r in got if r.k == -1) == 10000 * 10000
     assert {r.n for r in got if r.k != -1} == ({1, None} if how == "left" else {1})
+
+
+# Monthly revenue of two countries with the totals to expect (fixed values).
+MONTHS = [
+    (1, "Australia", 2364.19), (1, "Canada", 2460.24), (2, "Australia", 4895.10), (2, "Canada", 4736.78),
+    (3, "Australia", 12060.33), (3, "Canada", 11826.23), (4, "Australia", 14136.07), (4, "Canada", 14423.39),
+    (5, "Australia", 271.08), (5, "Canada", 243.10),
+]
+TOTALS = {
+    (1, None): 4824.43, (2, None): 9631.88, (3, None): 23886.56, (4, None): 28559.46, (5, None): 514.18,
+    (None, None): 67416.51, (None, "Australia"): 33726.77, (None, "Canada"): 33689.74,
+}
+
+
+def test_known_totals(spark):
+    facts = inline_rows(spark, MONTHS, "month int, country string, amount double").withColumn("cents", units("amount", 2))
+    cube = Cube(facts, F.col("cents"), "revenue", ("month", "country"), scale=2)
+    want = {**TOTALS, **{(m, c): v for m, c, v in MONTHS}}
+    for grouped in (cube.cube(), cube.grouping_sets([[], ["month"], ["country"], ["month", "country"]])):
+        assert {(r.month, r.country): r.revenue for r in grouped.collect()} == want

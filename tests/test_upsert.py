@@ -1,3 +1,5 @@
+import random
+
 from conftest import rows
 
 from lakeloom.operators.upsert import insert_ignore, upsert
@@ -20,3 +22,24 @@ def test_upsert(spark):
     once = upsert(target, batch, ["user_id"], ["level"], ["n"])
     assert rows(once) == [(1, "Ann", "free"), (2, "Bo", None), (3, "Cy", "free")]
     assert rows(upsert(once, batch, ["user_id"], ["level"], ["n"])) == rows(once)
+
+
+def test_against_row_by_row_inserts(spark):
+    """Random batches against a dictionary that takes one row at a time."""
+    rng = random.Random(3)
+    data = [[(rng.randrange(30), f"n{i}", rng.choice(["free", "paid"]), i) for i in range(60 * b, 60 * b + 60)] for b in range(3)]
+    kept: dict = {}
+    updated: dict = {}
+    target = inline_rows(spark, [], "user_id int, name string, level string, n int")
+    ignoring, updating = target, target
+    for batch in data:
+        for user, name, level, n in batch:
+            kept.setdefault(user, (name, level, n))
+        last = {row[0]: row for row in batch}
+        for user, (_, name, level, n) in last.items():
+            updated[user] = (updated[user][0], level, updated[user][2]) if user in updated else (name, level, n)
+        df = inline_rows(spark, batch, USERS)
+        ignoring = insert_ignore(ignoring, df, ["user_id"], ["n"])
+        updating = upsert(updating, df, ["user_id"], ["level"], ["n"])
+    assert {r[0]: tuple(r[1:]) for r in ignoring.collect()} == kept
+    assert {r[0]: tuple(r[1:]) for r in updating.collect()} == updated

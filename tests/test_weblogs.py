@@ -1,9 +1,12 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
+from lakeloom.functions.text import LOG_LINE, log_fields
 from lakeloom.operators.lookup import expression_list
 from lakeloom.operators.weblogs import largest_responses, parse_log, parse_log_map, top_counts
 from lakeloom.session import scratch_path
@@ -62,3 +65,21 @@ def test_from_gzip_text(spark, lines):
 
 def test_stays_in_the_jvm(parsed):
     assert "Python" not in plan_text(parsed)
+
+
+def test_same_fields_as_one_search_per_line(spark):
+    """The one-pass parser against Python's ``re`` on lines of random pieces."""
+    rng = random.Random(11)
+    pieces = [
+        "h.net", "-", "u", "[01/Jul/1995:00:00:01 -0400]", "[x]", '"GET /a HTTP/1.0"', '"GET /a"', '"GET /a b c"', '"GET"', '"', "200",
+        "20", "7", "$1", "\\", "", "\t", "é", '"POST /$2\\n/ x"', "12345", "[01/Jul/1995:00:00:01 +0000]",
+    ]
+    good = 'h.net - {} [01/Jul/1995:00:00:01 -0400] "GET {} {}" 200 {}'
+    lines = [" ".join(rng.choice(pieces) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    lines += [good.format(*(rng.choice(pieces) for _ in range(4))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    got = {r.i: r.f for r in df.select("i", log_fields(F.col("value")).alias("f")).collect()}
+    matches = [re.search(LOG_LINE, x, re.ASCII) for x in lines]
+    assert sum(m is not None for m in matches) > 300
+    for i, m in enumerate(matches):
+        assert got[i] == (None if m is None else list(m.groups())), lines[i]
