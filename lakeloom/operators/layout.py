@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import StringType
 
 REPLICATE_BYTES = 32 << 20
 REPLICATE_ROWS = 200_000
@@ -18,9 +18,9 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _width(data_type: DataType) -> int:
-    """Bytes Catalyst assumes for a value: eight, or twenty for text."""
-    return 20 if isinstance(data_type, StringType) else 8
+def _row_width(df: DataFrame) -> int:
+    """Bytes Catalyst assumes for a row: twenty for a text and eight for other values."""
+    return max(sum(20 if isinstance(f.dataType, StringType) else 8 for f in df.schema.fields), 1)
 
 
 def replicate(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
@@ -33,9 +33,10 @@ def replicate(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame |
     """
     size = estimated_bytes(df)
     if rows_of is not None:
-        widths = [max(sum(_width(f.dataType) for f in x.schema.fields), 1) for x in (df, rows_of)]
-        size = min(size, int(estimated_bytes(rows_of) * max(1.0, widths[0] / widths[1])))
-    return F.broadcast(df) if size <= (REPLICATE_BYTES if max_bytes is None else max_bytes) else df
+        wider = max(1.0, _row_width(df) / _row_width(rows_of))
+        size = min(size, int(estimated_bytes(rows_of) * wider))
+    bound = REPLICATE_BYTES if max_bytes is None else max_bytes
+    return F.broadcast(df) if size <= bound else df
 
 
 def replicate_counted(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -59,6 +60,11 @@ def many_to_one(facts: DataFrame, reference: DataFrame, on: Sequence[str], how:
     as it is. One more join column, a hash of the key, makes Spark shuffle the
     (small) reference once more, so the facts of a hot key are split over many tasks.
     """
+    for key in on:
+        types = facts.schema[key].dataType, reference.schema[key].dataType
+        if types[0] != types[1]:
+            # Equal values of different types have different hashes.
+            raise ValueError(f"{key} is {types[0].simpleString()} here and {types[1].simpleString()} in the reference")
     mark = F.xxhash64(*on).alias("_key_hash")
     joined = facts.select("*", mark).join(reference.select("*", mark), [*on, "_key_hash"], how)
     return joined.drop("_key_hash")

@@ -82,5 +82,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def checkpointed(df):
     """Reliable checkpoint in the shared folder: survives the loss of executors."""
-    shared_folder(df.sparkSession)
+    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

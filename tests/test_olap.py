@@ -92,6 +92,14 @@ def test_hot_keys(spark):
     assert hot_keys(df, ["k"], 10001).count() == 0
 
 
+def test_many_to_one_needs_equal_types(spark):
+    facts = inline_rows(spark, [(1, 0.0), (2, -0.0), (None, 1.0)], "k int, d double")
+    with pytest.raises(ValueError):
+        many_to_one(facts, inline_rows(spark, [(1, "a")], "k bigint, v string"), ["k"])
+    zero = inline_rows(spark, [(0.0, "zero")], "d double, v string")
+    assert rows(many_to_one(facts, zero, ["d"]), "k", "v") == [(1, "zero"), (2, "zero"), (None, None)]
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_hot_key_is_split_in_join_to_grouped_reference(spark, how):
     settings = {
