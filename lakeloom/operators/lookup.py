@@ -41,7 +41,7 @@ class QueryTable:
         columns: Sequence[str] | None = None,
     ) -> "QueryTable":
         primary = [*partition_key, *clustering]
-        rows = last_write_wins(df, primary, written_by) if written_by else one_per_key(df, primary, [F.lit(1)])
+        rows = last_write_wins(df, primary, written_by)
         return cls(rows.select(*(columns or df.columns)), tuple(partition_key), tuple(clustering))
 
     def where(self, strict: bool = True, **values) -> DataFrame:

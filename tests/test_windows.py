@@ -89,9 +89,24 @@ def test_user_questions(logs):
         assert questions.songs_between_home_visits(logs, frame).first()[0] == 1.0
 
 
-def test_one_per_key_limits_before_shuffle(visits):
+def test_one_per_key_folds_before_shuffle(visits):
     plan = plan_text(one_per_key(visits.select("id", "user", "time"), ["user"], ["time", "id"]))
-    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    assert plan.index("Exchange") < plan.index("partial_min")
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_one_per_key_equals_ranking_window(visits, last):
+    order = [F.desc_nulls_last(c) if last else F.asc_nulls_first(c) for c in ("time", "page", "id")]
+    rank = F.row_number().over(Window.partitionBy("user").orderBy(*order))
+    want = visits.withColumn("r", rank).where("r = 1").drop("r")
+    assert rows(one_per_key(visits, ["user"], ["time", "page", "id"], last)) == rows(want)
+
+
+def test_one_per_key_of_other_shapes(spark):
+    df = inline_rows(spark, [(1, 5, {"a": 1}), (1, 3, {"b": 2}), (None, 1, None)], "k int, n int, m map<string,int>")
+    assert rows(one_per_key(df, ["k"], ["n"])) == [(1, 3, {"b": 2}), (None, 1, None)]
+    assert rows(one_per_key(df, ["k"], [-F.col("n")])) == [(1, 5, {"a": 1}), (None, 1, None)]
+    assert rows(one_per_key(df.select("k"), ["k"])) == [(1,), (None,)]
 
 
 def test_dimension_policies(spark):
