@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.times import date_key, date_parts, epoch_millis, is_weekend, weekday
+from lakeloom.functions.times import date_key, epoch_millis, is_weekend, weekday
 from lakeloom.operators.layout import replicate_counted
 from lakeloom.operators.numbering import dense_keys
 

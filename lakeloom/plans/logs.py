@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import LOG_LINE, timestamp_text
+from lakeloom.functions.text import LOG_LINE
 from lakeloom.operators.lookup import expression_list
 from lakeloom.operators.weblogs import largest_responses, parse_log, parse_log_map, top_counts
 from lakeloom.plans.registry import query
