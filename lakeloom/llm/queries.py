@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import packing
+from lakeloom.llm import bpe, packing
 from lakeloom.session import tune
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,3 +31,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.cut_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), end_id=1)
     return packing.pack(pieces)
+
+
+@query
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))

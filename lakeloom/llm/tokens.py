@@ -19,38 +19,16 @@ LONGEST_KEPT, MOST_KEPT = 64, 800_000
 _JOINED = 64
 
 
-class TextEncoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
+class PartwiseEncoder:
+    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    Subclasses give ``_ids`` of whole texts and ``_learn`` the ids of parts, each with a
+    space before it.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
-        self._opens = np.zeros(self._tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
-        for token, number in self._tokenizer.get_vocab(with_added_tokens=True).items():
-            self._opens[number] = token.startswith("Ġ")
+    def __init__(self):
         self._parts: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=ID) for e in found]
-
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts, each with a space before it. Many go in one text: a token that
-        opens with a space opens a part."""
-        out: dict[str, bytes] = {}
-        groups = [parts[i : i + _JOINED] for i in range(0, len(parts), _JOINED)]
-        for group, ids in zip(groups, self._ids(["".join(" " + p for p in g) for g in groups]), strict=True):
-            starts = np.flatnonzero(self._opens[ids])
-            data, bounds = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            if len(starts) != len(group):
-                raise ValueError("the vocabulary does not split texts at single spaces")
-            out.update((p, data[a:b]) for p, a, b in zip(group, bounds, bounds[1:], strict=False))
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
         new: set[str] = set()
@@ -80,6 +58,39 @@ class TextEncoder:
         return out
 
 
+class TextEncoder(PartwiseEncoder):
+    """Ids by the tokenizers library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
+        self._opens = np.zeros(self._tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        for token, number in self._tokenizer.get_vocab(with_added_tokens=True).items():
+            self._opens[number] = token.startswith("Ġ")
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=ID) for e in found]
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts, each with a space before it. Many go in one text: a token that
+        opens with a space opens a part."""
+        out: dict[str, bytes] = {}
+        groups = [parts[i : i + _JOINED] for i in range(0, len(parts), _JOINED)]
+        for group, ids in zip(groups, self._ids(["".join(" " + p for p in g) for g in groups]), strict=True):
+            starts = np.flatnonzero(self._opens[ids])
+            data, bounds = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            if len(starts) != len(group):
+                raise ValueError("the vocabulary does not split texts at single spaces")
+            out.update((p, data[a:b]) for p, a, b in zip(group, bounds, bounds[1:], strict=False))
+        return out
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
     """One encoder for each vocabulary file and Python worker."""
