@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -33,6 +34,16 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def newer_characters() -> str:
+    """Characters that the splitting pattern's library knows and Unicode as this Python has
+    it does not yet. The tokenizers library may class them otherwise, so texts that hold
+    one are split by that library."""
+    import regex
+
+    unknown = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
+    return "".join(regex.findall(r"\P{Cn}", unknown))
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file."""
 
@@ -68,11 +79,14 @@ class PrefixEncoder(PartwiseEncoder):
     def __init__(self, path: str):
         import regex
         from public_tokenizers import PATTERN
+        from tokenizers import Tokenizer
 
         super().__init__()
         self.vocabulary = Vocabulary(path)
         self._words = regex.compile(PATTERN)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.vocabulary.special)) + ")")
+        self._newer = regex.compile("[" + regex.escape(newer_characters(), special_only=True) + "]")
+        self._by_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self._known: dict[str, bytes] = {}
         self._fits: dict[int, bool] = {}
         # Tokens from their last byte to their first, as a flat trie: node and byte to node.
@@ -154,16 +168,21 @@ class PrefixEncoder(PartwiseEncoder):
         known = self._known
         return [b"".join([w if w.__class__ is bytes else known.get(w) or long[w] for w in words]) for words in split]
 
+    def _plain_words(self, text: str) -> list[str]:
+        if self._newer.search(text):
+            return [text[a:b] for _, (a, b) in self._by_library(text)]
+        return self._words.findall(text)
+
     def _split(self, text: str) -> list:
         if not self._special.search(text):
-            return self._words.findall(text)
+            return self._plain_words(text)
         special = self.vocabulary.special
         out: list = []
         for piece in self._special.split(text):
             if piece in special:
                 out.append(np.array([special[piece]], dtype=ID).tobytes())
             else:
-                out += self._words.findall(piece)
+                out += self._plain_words(piece)
         return out
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:

@@ -46,6 +46,11 @@ def test_long_words_and_full_caches(monkeypatch):
         assert [as_list(x) for x in own.encode(texts)] == [TOKENIZER.encode(t).ids for t in texts]
 
 
+def test_characters_newer_than_the_library():
+    for text in ("a\ua7ce1\u088f! \u0c5c\u0c5c", "\U00010940 x\u0558"):
+        assert as_list(CODER.encode([text])[0]) == TOKENIZER.encode(text).ids
+
+
 def digest(data):
     return hashlib.sha256(data).hexdigest()
 
