@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, packing
+from lakeloom.llm import bpe, packing, quality, toxicity
+from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -36,3 +38,20 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    lexicon = toxicity.learn(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, lexicon, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    measured = stored(quality.measure(table(spark, folder, "documents"), ["doc_id"]), "quality")
+    verdicts = quality.judged(measured, quality.learn(measured))
+    base = [F.col("_m")[m].alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return verdicts.select("doc_id", *base, "base_failed", "kept", "quality")
