@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, packing, quality, toxicity
+from lakeloom.llm import bpe, jaccard, packing, quality, toxicity
 from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
@@ -55,3 +55,8 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     verdicts = quality.judged(measured, quality.learn(measured))
     base = [F.col("_m")[m].alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return verdicts.select("doc_id", *base, "base_failed", "kept", "quality")
+
+
+@query
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
