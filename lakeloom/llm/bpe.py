@@ -85,7 +85,7 @@ class PrefixEncoder(PartwiseEncoder):
         self.vocabulary = Vocabulary(path)
         self._words = regex.compile(PATTERN)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.vocabulary.special)) + ")")
-        self._newer = regex.compile("[" + regex.escape(newer_characters(), special_only=True) + "]")
+        self._newer = frozenset(newer_characters())
         self._by_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self._known: dict[str, bytes] = {}
         self._fits: dict[int, bool] = {}
@@ -169,14 +169,14 @@ class PrefixEncoder(PartwiseEncoder):
         return [b"".join([w if w.__class__ is bytes else known.get(w) or long[w] for w in words]) for words in split]
 
     def _plain_words(self, text: str) -> list[str]:
-        if self._newer.search(text):
+        if not text.isascii() and not self._newer.isdisjoint(text):
             return [text[a:b] for _, (a, b) in self._by_library(text)]
         return self._words.findall(text)
 
     def _split(self, text: str) -> list:
-        if not self._special.search(text):
-            return self._plain_words(text)
         special = self.vocabulary.special
+        if not any(token in text for token in special):
+            return self._plain_words(text)
         out: list = []
         for piece in self._special.split(text):
             if piece in special:

@@ -1,0 +1,82 @@
+"""Main text of pages: structure, boilerplate, votes of a host, edge cases."""
+
+import html
+import re
+
+import pytest
+
+from lakeloom.llm.webtext import Page, extract, main_text, votes, winning_paths
+
+ARTICLE = "<h1>Head &amp; line</h1><p>First   paragraph of some length,\n with <b>bold</b> and <a href='x'>a link</a>.</p><p>Second one &mdash; longer than the first one, by far.<ul><li>one<li>two</ul>"
+TEXT = "Head & line First paragraph of some length, with bold and a link. Second one — longer than the first one, by far. one two"
+
+
+def page(body, head=""):
+    return f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<nav><ul><li><a href=a>Menu</a></ul></nav><article>{}</article><footer>foot</footer>",
+        "<header>Site</header><div class='wrap'><main>{}</main><aside>side</aside></div>",
+        "<div id='sidebar'>side text that is rather long, longer than you think</div><div class='post-12 content'>{}</div>",
+        "<div class='cookie-notice'>We use cookies</div><div class='entry'>{}<div class='ad'>Buy!</div></div>",
+        "<article>{}<section class='comments'><h2>3 comments</h2><p>Nice article, I liked it a lot!</p></section></article>",
+        "<article>{}<form><input><button>Send</button></form><script>var a='</p><p>x';</script><style>p{{}}</style></article>",
+        "<div role='navigation'>go</div><div>{}</div><div hidden>secret</div><p style='display:none'></p>",
+        "<div class='content-with-sidebar'><article>{}</article></div><!-- <p>no</p> --><noscript>js</noscript>",
+        "<table><tr><td class='menu'>m<td><div>{}</div></table>",
+    ],
+)
+def test_boilerplate_is_left_out(around):
+    assert main_text(page(around.format(ARTICLE))) == TEXT
+
+
+def test_broken_pages():
+    assert main_text("<article><p>one<p><b>two<br>three<p>fo<i>ur</i>") == "one two three four"
+    assert main_text("just text &lt;b&gt; < 5 > 3 &amp;amp;") == "just text <b> < 5 > 3 &amp;"
+    assert main_text(page("<nav>only menu</nav>")) == main_text("") == main_text(None) == ""
+    assert main_text("<div>a<script>never closed") == "a"
+    assert main_text("<div title=\"a > b\">x</div>") == "x"
+    assert main_text("<p>" * 5000 + "deep" + "<div>" * 3000 + "er") == "deep er"
+
+
+def test_votes_prefer_the_article():
+    found = votes(page("<div class='top9'>" + "<a href=x>link text here</a>" * 9 + "</div><article class='a b12'>" + ARTICLE + "</article>"))
+    assert max(found, key=found.get) == ">body>article.a.b#"
+
+
+def host_pages(spark):
+    long = "A long remark by a reader that says much and says it again. " * 8
+    rows = [(i, f"https://h.example/{i}", page(f"<div class='story s{i}'>{ARTICLE}</div>")) for i in range(6)]
+    rows.append((6, "https://h.example/6", page(f"<div class='story s6'>{ARTICLE}</div><div class='zz'>{long[:150]}</div>")))
+    rows.append((7, "https://one.example/", page(f"<div class='only'>{ARTICLE}</div>")))
+    rows += [(8, None, page(f"<article>{ARTICLE}</article>")), (9, "https://h.example/9", None), (9, "https://h.example/9", None)]
+    return spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id bigint, url string, html string, text string, paths int")
+
+
+def test_hosts_agree_on_a_path(spark):
+    pages = host_pages(spark)
+    won = {r.host: r.paths for r in winning_paths(pages).collect()}
+    assert won["h.example"][0] == ">body>div.s#.story" and set(won) == {"h.example", "one.example"}
+    found = sorted((r.page_id, r.text) for r in extract(pages).collect())
+    assert found == [(i, TEXT) for i in range(9)] + [(9, ""), (9, "")]
+    assert extract(pages.limit(0)).collect() == []
+
+
+def test_query_over_small_tables(spark, tables):
+    from lakeloom.llm.queries import QUERIES
+
+    rows = {r.page_id: r for r in QUERIES["op3_webtext"](spark, tables.root).collect()}
+    pages = tables.pages.collect()
+    assert len(rows) == len(pages)
+    for p in pages:
+        inner = re.search(r"<article>(.*)</article>", p.html, re.S)[1]
+        want = " ".join(html.unescape(re.sub(r"</?(?:b|i|em|a)\b[^>]*>", "", re.sub(r"<(?:/?p|/?h1|br)[^>]*>", " ", inner))).split())
+        assert rows[p.page_id].text == want and rows[p.page_id].n_chars == len(want) and rows[p.page_id].url == p.url
+
+
+def test_blocks_know_their_links():
+    blocks = Page("<div><a href=x>all link</a></div><div>half <a>link</a></div>").blocks
+    assert [(t, n) for _, t, n in blocks] == [("all link", 8), ("half link", 4)]
