@@ -1,13 +1,67 @@
 """Pipeline over ``documents``: reject toxic and poor texts, keep one of each group of near
-copies, pack what is left into training windows."""
+copies, pack what is left into training windows.
+
+Every stage takes (spark, docs, folder of tables) and works on all documents that the stage
+before kept; all but the last return the columns of ``documents``. A null text counts as
+empty (and fails the quality rules), repeated rows are one document to the similarity join,
+and rows with a null id are never taken for copies of others.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeloom.llm import jaccard, packing, quality, toxicity
+from lakeloom.llm.queries import VOCABULARY, table
+from lakeloom.llm.storage import stored
+from lakeloom.operators.layout import replicate_counted
+from lakeloom.session import tune
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below one half. The lexicon is learnt from labelled
+    documents of four ids in five, so the fifth still tells how well it does."""
+    labels = table(spark, sf_dir, "labels").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
+    scored = toxicity.score(docs, toxicity.learn(docs, labels), docs.columns, name="_score")
+    return scored.where("_score < 0.5").select(docs.columns)
+
+
+def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are more likely good than bad."""
+    model = quality.learn(stored(quality.measure(docs, []), "quality"))
+    return quality.judged(quality.measure(docs, docs.columns), model).where("kept").select(docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group that links connect."""
+    groups = stored(jaccard.similar_groups(docs), "groups")
+    copies = groups.where("doc_id != component_id").select("doc_id").distinct()
+    kept = docs.join(replicate_counted(copies), "doc_id", "left_anti").select(docs.columns)
+    seen = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if seen.limit(1).count():
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return kept
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.cut_documents(docs, public_tokenizers.path(VOCABULARY), end_id=1))
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("quality rules", reject_poor),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("packing", pack),
+]
 #: Learned scores and similarity joins have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sf_dir = sf_dir.rstrip("/")
+    docs = table(tune(spark), sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), "stage")
     return docs

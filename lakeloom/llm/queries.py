@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import arrow_store, bpe, chat, jaccard, packing, quality, toxicity, webtext
+from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, sharding, toxicity, webtext
 from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
@@ -80,3 +80,14 @@ def op3_webtext(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     texts = webtext.extract(pages, winners=stored(webtext.winning_paths(pages), "paths"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.balanced_shards(table(spark, folder, "documents"))
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return omh.compare_with_edit(table(spark, folder, "documents"))
