@@ -2,8 +2,13 @@
 
 Amounts arrive as doubles. A sum of doubles depends on the order of addition, hence
 on partitioning, so amounts are turned into whole units of their last digit before
-they are summed. Units fit a 64-bit decimal, which Spark adds several times faster
-than the result of a cast from double to decimal.
+they are summed. The caller names the scale, the number of digits after the point.
+A value with more digits than that is not rounded away but raises an error. Units fit
+a 64-bit decimal, which Spark adds several times faster than the result of a cast from
+double to decimal.
+
+There is one rounding rule, half away from zero in the arithmetic of doubles; it takes
+away what the last bits of a double add to its digits.
 """
 
 from __future__ import annotations
@@ -11,32 +16,50 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A double's digits beyond the scale may differ from zero by so much, in units.
+_NOISE = 1e-3
+
 
 def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _whole(value: Column, scale: int) -> Column:
+    """The nearest whole number of units, as double."""
+    return F.signum(value) * F.floor(F.abs(value) * float(10**scale) + 0.5)
+
+
 def amount(column: str | Column, scale: int = 2) -> Column:
-    """A double as ``decimal(18, scale)``, rounded half up: for keys and output."""
-    return _col(column).cast(f"decimal(18,{scale})")
+    """A double rounded to ``decimal(18, scale)``: for keys and output."""
+    return (_whole(_col(column), scale) / float(10**scale)).cast(f"decimal(18,{scale})")
 
 
-def units(column: str | Column, scale: int = 2) -> Column:
-    """A double as a whole number of ``10 ** -scale``, for exact sums of any length."""
-    return F.floor(_col(column) * float(10**scale) + 0.5).cast("decimal(18,0)")
+def units(column: str | Column, scale: int) -> Column:
+    """A double as a whole number of ``10 ** -scale``, for exact sums of any length. A
+    value with more than ``scale`` digits after the point raises an error."""
+    value = _col(column)
+    whole = _whole(value, scale)
+    # Doubles near 1e15 units have no digits to spare, so the bound grows with the value.
+    exact = F.abs(value * float(10**scale) - whole) <= _NOISE + F.abs(whole) * 1e-12
+    refused = F.raise_error(F.concat(F.lit(f"more than {scale} digits after the point: "), value.cast("string")))
+    return F.when(value.isNull() | exact, whole.cast("decimal(18,0)")).otherwise(refused.cast("decimal(18,0)"))
 
 
-def from_units(summed: Column, scale: int = 2) -> Column:
+def from_units(summed: Column, scale: int) -> Column:
     """A sum of units as double."""
     return summed.cast("double") / float(10**scale)
 
 
-def total(column: str | Column, scale: int = 2) -> Column:
-    """Exact sum of a double column, returned as double."""
-    return from_units(F.sum(units(column, scale)), scale)
+def total(column: str | Column, scale: int) -> Column:
+    """Exact sum of a double column with at most ``scale`` digits after the point, returned
+    as double. NaN and infinities count as they do in a plain sum."""
+    value = _col(column).cast("double")
+    special = F.isnan(value) | (F.abs(value) == float("inf"))
+    exact = from_units(F.sum(units(F.when(~special, value), scale)), scale)
+    return F.coalesce(F.sum(F.when(special, value)), exact)
 
 
-def mean(column: str | Column, scale: int = 2) -> Column:
+def mean(column: str | Column, scale: int) -> Column:
     """Mean from the exact sum, so it does not depend on partitioning."""
     return total(column, scale) / F.count(_col(column))
 

@@ -20,9 +20,14 @@ def full_name(*parts: Column | str) -> Column:
 
 
 def text_key(*parts: Column, sep: str = "|") -> Column:
-    """md5 over the parts as text. The separator keeps ('ab','c') and ('a','bc') apart,
-    and a null part has its own mark, so it does not make the whole key null."""
-    marked = [F.coalesce(p.cast("string"), F.lit("\\N")) for p in parts]
+    """md5 over the parts as text. The separator keeps ('ab','c') and ('a','bc') apart; a
+    separator or backslash inside a part is escaped, so no two lists of parts share a key.
+    A null part has its own mark, which no text can spell, and does not make the key null."""
+
+    def escaped(part: Column) -> Column:
+        return F.replace(F.replace(part.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep))
+
+    marked = [F.coalesce(escaped(p), F.lit("\\N")) for p in parts]
     return F.md5(F.concat_ws(sep, *marked))
 
 

@@ -15,7 +15,8 @@ def _sortable(data_type: DataType) -> bool:
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = (), last: bool = False) -> DataFrame:
-    """The first row of each key in ascending ``order_by``, or the last one.
+    """The first row of each key in ascending ``order_by``, or the last one. A null in
+    ``order_by`` never beats a value: nulls come last in rising and in falling order.
 
     Where ``order_by`` leaves a tie the other columns decide, so the survivor is the
     same on every run. This is an aggregate, the least (or greatest) row: a key that
@@ -23,14 +24,18 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     input is sorted by the key alone, which takes half the time of a ranking window.
     """
     order = {c if isinstance(c, str) else f"_order_{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order_by)}
-    leading = [c.alias(name) for name, c in order.items() if name not in keys]
+    leading = []
+    for name, c in order.items():
+        if name not in keys:
+            # The least of structs puts nulls first, the greatest puts them last.
+            leading += [c.alias(name)] if last else [c.isNull().alias(f"_null_{name}"), c.alias(name)]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not leading and not rest:
         return df.select(*keys).distinct().select(*df.columns)
     if all(_sortable(df.schema[c].dataType) for c in rest):
         row = (F.max if last else F.min)(F.struct(*leading, *rest))
     else:
-        by = F.struct(*leading, F.lit(0).alias("_none"))
+        by = F.struct(*leading, *[c for c in rest if _sortable(df.schema[c].dataType)], F.lit(0).alias("_none"))
         row = (F.max_by if last else F.min_by)(F.struct(*leading, *rest), by)
     picked = df.groupBy(*keys).agg(row.alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])

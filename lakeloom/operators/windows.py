@@ -28,10 +28,13 @@ def running_sum(
     ties: Sequence[str | Column] = (),
     descending: bool = True,
     slot: str = "minute",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` per key along ``time``, as column ``name``.
 
+    ``value`` is a whole number or decimal. A sum of doubles would depend on whether a key
+    is split, so doubles are refused; ``functions.exact.units`` makes whole numbers of them.
+
     ``frame="range"`` gives rows of equal time the same sum; ``"rows"`` adds them one
     by one in the order of ``ties``.
 
@@ -43,6 +46,9 @@ def running_sum(
     """
     if frame not in ("rows", "range"):
         raise ValueError("frame is 'rows' or 'range'")
+    if df.select(value.alias("v")).schema["v"].dataType.typeName() in ("double", "float"):
+        raise ValueError("a running sum needs whole numbers or decimals")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     by_time = F.desc_nulls_last if descending else F.asc_nulls_first
     hot = hot_keys(df, keys, at_least_rows=hot_rows, at_most_keys=HOT_KEYS).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")

@@ -69,7 +69,7 @@ def renormalize_roundtrip(t: Tables) -> DataFrame:
     SELECT s_suppkey, s_name, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_suppkey, s_name""")
 def denorm_sales_by_key(t: Tables) -> DataFrame:
-    sales = t.lineitem.groupBy("l_suppkey").agg(total("l_extendedprice").alias("amount"))
+    sales = t.lineitem.groupBy("l_suppkey").agg(total("l_extendedprice", 2).alias("amount"))
     return sales.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("s_suppkey", "s_name", "amount")
 
 

@@ -37,7 +37,7 @@ def _payments(t: Tables) -> tuple[str, DataFrame]:
 
 
 def _monthly(payments: DataFrame) -> DataFrame:
-    return payments.groupBy(F.month("paid").alias("month")).agg(total("amount").alias("revenue"))
+    return payments.groupBy(F.month("paid").alias("month")).agg(total("amount", 2).alias("revenue"))
 
 
 @query(_REVENUE)

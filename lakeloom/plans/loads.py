@@ -20,11 +20,12 @@ from lakeloom.plans.logs import _LINES, log_lines
 from lakeloom.plans.registry import query
 from lakeloom.session import scratch_path
 from lakeloom.sinks import catalog
+from lakeloom.sinks.folders import apply_upsert
 from lakeloom.sinks.files import write_csv, write_documents, write_parquet, write_partitioned
 from lakeloom.sources import files
 from lakeloom.sources.jsonpaths import json_by_paths
 from lakeloom.sources.tables import Tables
-from lakeloom.streaming.incremental import load_new_files
+from lakeloom.streaming.incremental import compact_days, fact_rows, load_new_files
 from lakeloom.streaming.intervals import load_interval
 
 # ---- upserts ---------------------------------------------------------------------
@@ -145,6 +146,24 @@ def gzip_parts_load(t: Tables) -> DataFrame:
     return files.gzip_parts(t.spark, f"{path}/part-", rows.schema)
 
 
+@query("SELECT p_partkey, replace(p_name, ' ', ',') AS first_word, CAST(2 AS INTEGER) AS n_words, true AS last_is_null FROM part")
+def array_literal_quoted(t: Tables) -> DataFrame:
+    """A quoted element with commas, and a NULL."""
+    listed = F.concat(F.lit('{"'), F.replace("p_name", F.lit(" "), F.lit(",")), F.lit('", NULL}'))
+    words = files.array_literal("listed")
+    read = t.part.select("p_partkey", listed.alias("listed")).select("p_partkey", words.alias("words"))
+    return read.select("p_partkey", F.get("words", F.lit(0)).alias("first_word"), F.size("words").alias("n_words"), F.get("words", F.lit(1)).isNull().alias("last_is_null"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', chr(10)) AS name, p_brand FROM part")
+def csv_multiline_load(t: Tables) -> DataFrame:
+    """Quoted fields with line breaks in them."""
+    path = scratch_path(t.spark, "multiline")
+    rows = t.part.select("p_partkey", F.replace("p_name", F.lit(" "), F.lit("\n")).alias("name"), "p_brand")
+    write_csv(rows, path, multi_line=True)
+    return files.csv_files(t.spark, path, schema=rows.schema, header=True, multi_line=True)
+
+
 @query("SELECT p_partkey, list_aggregate(string_split(p_name, ' '), 'string_agg', '/') AS words FROM part")
 def array_literal_load(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "words")
@@ -163,11 +182,23 @@ def text_log_load(t: Tables) -> DataFrame:
     return top_counts(parse_log(files.text_lines(t.spark, path)), "host", 10)
 
 
-@query("SELECT COUNT(*) AS n_small_tables, true AS all_have_bytes FROM (VALUES ('nation'), ('region'), ('supplier'))")
+def _folder_and_file(path: str):
+    """The end of a path; readers spell a blank in it in two ways."""
+    return F.replace(F.regexp_extract(path, "([^/]+/[^/]+)$", 1), F.lit("%20"), F.lit(" ")).alias("file")
+
+
+@query("""
+    SELECT o_orderpriority AS priority, COUNT(*) AS n_rows, true AS has_bytes FROM orders GROUP BY o_orderpriority""")
 def file_manifest(t: Tables) -> DataFrame:
-    found = files.manifest(t.spark, [t.path(n) for n in ("nation", "region", "supplier")])
-    tables = found.select(F.regexp_extract("path", r"/([a-z]+)\.parquet", 1).alias("name"), "length")
-    return tables.agg(F.countDistinct("name").alias("n_small_tables"), F.bool_and(F.col("length") > 0).alias("all_have_bytes"))
+    """Orders are stored by priority; the manifest of the files that result is joined with
+    the rows read from each of them."""
+    path = scratch_path(t.spark, "orders_by_priority")
+    write_partitioned(t.orders.select("o_orderkey", "o_orderpriority"), path, ["o_orderpriority"])
+    found = files.manifest(t.spark, path, "*.parquet").select(_folder_and_file("path"), "length")
+    read = t.spark.read.parquet(path).select("o_orderpriority", _folder_and_file("_metadata.file_path"))
+    rows = read.groupBy("file", "o_orderpriority").agg(F.count(F.lit(1)).alias("n")).join(found, "file")
+    by_priority = rows.groupBy(F.col("o_orderpriority").alias("priority"))
+    return by_priority.agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("length") > 0).alias("has_bytes"))
 
 
 @query("""
@@ -182,7 +213,7 @@ def columnar_copy(t: Tables) -> DataFrame:
     read = files.csv_files(t.spark, rows, schema=chosen.schema, header=True)
     write_parquet(read, columns, compression="zstd")
     shipped = t.spark.read.schema(chosen.schema).parquet(columns).where(in_year(F.col("l_shipdate"), 1998))
-    means = shipped.groupBy("l_partkey").agg(mean("l_quantity").alias("mean_quantity"))
+    means = shipped.groupBy("l_partkey").agg(mean("l_quantity", 2).alias("mean_quantity"))
     return means.orderBy(F.desc("mean_quantity"), "l_partkey").limit(20)
 
 
@@ -263,3 +294,56 @@ def interval_reload(t: Tables) -> DataFrame:
         load_interval(t.events, "ts", first, first + timedelta(days=1), target)
     stored = t.spark.read.schema(StructType([*t.events.schema.fields]).add("event_day", "date")).parquet(target)
     return _events_text(stored)
+
+
+@query(f"{_EVENTS_TEXT} WHERE CAST(ts AS DATE) > (SELECT MIN(CAST(ts AS DATE)) FROM events)")
+def interval_reload_empty_day(t: Tables) -> DataFrame:
+    """The first two days are loaded again, and the first has no rows any more."""
+    target = scratch_path(t.spark, "event_days")
+    first, last = _days(t.events)
+    load_interval(t.events, "ts", first, last + timedelta(days=1), target)
+    later = t.events.where(F.col("ts") >= F.lit(f"{first + timedelta(days=1)}").cast("timestamp_ntz"))
+    load_interval(later, "ts", first, first + timedelta(days=2), target)
+    return _events_text(t.spark.read.schema(StructType([*t.events.schema.fields]).add("event_day", "date")).parquet(target))
+
+
+@query(_EVENTS_TEXT)
+def incremental_compacted(t: Tables) -> DataFrame:
+    """Two deliveries for every day, whose folders are then merged."""
+    spark, events = t.spark, t.events
+    landing, target, state = (scratch_path(spark, n) for n in ("landing", "facts", "load_state"))
+    _, last = _days(events)
+    for n in range(2):
+        write_parquet(events.where(F.col("event_id") % 2 == n), f"{landing}/delivery-{n}")
+        load_new_files(spark, landing, events.schema, target, state, ["event_id"], "ts")
+    compact_days(spark, target, events.schema, last + timedelta(days=1))
+    return _events_text(fact_rows(spark, target, events.schema))
+
+
+def _segments(t: Tables) -> tuple[str, DataFrame, DataFrame]:
+    """A stored table of the customers of two segments, by segment, and a batch of all."""
+    columns = ["c_mktsegment", "c_custkey", "c_name", "c_acctbal"]
+    customers = t.customer.select(*columns)
+    target = scratch_path(t.spark, "customers")
+    write_partitioned(customers.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")), target, ["c_mktsegment"])
+    return target, customers, customers.where(F.col("c_mktsegment") != "MACHINERY").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+
+
+@query("""
+    SELECT c_mktsegment, c_custkey, c_name, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_acctbal ELSE c_acctbal + 1 END AS c_acctbal
+    FROM customer""")
+def insert_ignore_stored(t: Tables) -> DataFrame:
+    target, customers, batch = _segments(t)
+    for _ in range(2):
+        apply_upsert(target, batch, ["c_mktsegment", "c_custkey"], "c_mktsegment", ["c_name"])
+    return t.spark.read.schema(customers.schema).parquet(target)
+
+
+@query("""
+    SELECT c_mktsegment, c_custkey, c_name, CASE WHEN c_mktsegment = 'MACHINERY' THEN c_acctbal ELSE c_acctbal + 1 END AS c_acctbal
+    FROM customer""")
+def upsert_stored(t: Tables) -> DataFrame:
+    target, customers, batch = _segments(t)
+    for _ in range(2):
+        apply_upsert(target, batch, ["c_mktsegment", "c_custkey"], "c_mktsegment", ["c_name"], update=["c_acctbal"])
+    return t.spark.read.schema(customers.schema).parquet(target)

@@ -73,18 +73,19 @@ def star_songs(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT p_brand AS artist_id, 'artist of ' || p_brand AS "name", MIN(p_type) AS location FROM part GROUP BY p_brand""")
+    SELECT p_brand AS artist_id, 'artist of ' || p_brand AS "name", MIN(p_type) AS location,
+           CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude FROM part GROUP BY p_brand""")
 def star_artists(t: Tables) -> DataFrame:
-    return warehouse.artists(song_rows(t)).select("artist_id", "name", "location")
+    return warehouse.artists(song_rows(t))
 
 
 @query(f"""
-    SELECT user_id, gender, "level" FROM (
+    SELECT user_id, 'first' AS first_name, 'last' AS last_name, gender, "level" FROM (
         SELECT user_id, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender, "level",
                ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) AS rn
         FROM ({_LOGS}) WHERE event_type IN ('click', 'purchase')) WHERE rn = 1""")
 def star_users(t: Tables) -> DataFrame:
-    return warehouse.users(warehouse.events_from_logs(log_rows(t))).select("user_id", "gender", "level")
+    return warehouse.users(warehouse.events_from_logs(log_rows(t)))
 
 
 @query(f"""
@@ -121,7 +122,12 @@ def star_songplays_rounded(t: Tables) -> DataFrame:
     return _plays(t, rule="title_artist_seconds", keep_unmatched=False)
 
 
-@query("SELECT 'Login' AS page UNION ALL SELECT 'Error' WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'error' AND user_id = 8)")
+_PAGE = "CASE event_type " + " ".join(f"WHEN '{kind}' THEN '{page}'" for kind, page in PAGES.items()) + " END"
+
+
+@query(f"""
+    SELECT DISTINCT {_PAGE} AS page FROM events WHERE {_PAGE} NOT IN (
+        SELECT {_PAGE} FROM events WHERE user_id = 8 AND event_type <> 'signup')""")
 def star_pages_not_visited(t: Tables) -> DataFrame:
     return questions.pages_not_visited(log_rows(t), "8")
 
@@ -137,3 +143,30 @@ def star_count_users(t: Tables) -> DataFrame:
     WHERE event_type IN ('click', 'purchase') GROUP BY artist_id ORDER BY n_plays DESC, artist LIMIT 1""")
 def star_top_artist(t: Tables) -> DataFrame:
     return questions.most_played_artist(log_rows(t))
+
+
+@query(f"""
+    SELECT 'artist of ' || artist_id AS artist, song, length FROM ({_LOGS})
+    WHERE event_type IN ('click', 'purchase') AND user_id = 8 AND event_id = (
+        SELECT MIN(event_id) FROM events WHERE user_id = 8 AND event_type = 'click')""")
+def session_item_lookup(t: Tables) -> DataFrame:
+    item = t.events.where("user_id = 8 and event_type = 'click'").agg(F.min("event_id")).first()[0]
+    heard = questions.session_item_table(questions.clean_events(log_rows(t)))
+    return heard.where(sessionId=8, itemInSession=item).select("artist", "song", "length")
+
+
+@query(f"""
+    SELECT event_id AS item, 'artist of ' || artist_id AS artist, song, 'first last' AS "user" FROM ({_LOGS})
+    WHERE event_type IN ('click', 'purchase') AND user_id = 8 AND artist_id IS NOT NULL""")
+def user_session_lookup(t: Tables) -> DataFrame:
+    heard = questions.user_session_table(questions.clean_events(log_rows(t)))
+    return heard.where(userId=8, sessionId=8).select(F.col("itemInSession").alias("item"), "artist", "song", "user")
+
+
+@query(f"""
+    SELECT DISTINCT user_id AS listener, 'first last' AS "user" FROM ({_LOGS})
+    WHERE event_type IN ('click', 'purchase') AND song = (SELECT MIN(p_name) FROM part)""")
+def user_song_lookup(t: Tables) -> DataFrame:
+    song = t.part.agg(F.min("p_name")).first()[0]
+    heard = questions.user_song_table(questions.clean_events(log_rows(t)))
+    return heard.where(song=song).select(F.col("userId").alias("listener"), "user")

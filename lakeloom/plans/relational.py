@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.exact import amount, mean, net_revenue, total
+from lakeloom.functions.text import text_key
 from lakeloom.functions.times import in_year, is_weekend
 from lakeloom.operators.dedup import one_per_key
 from lakeloom.operators.layout import keys_of, many_to_one, replicate
@@ -295,7 +296,7 @@ def join_derived(t: Tables) -> DataFrame:
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_name""")
 def join_broadcast(t: Tables) -> DataFrame:
     joined = t.lineitem.join(replicate(t.supplier), F.col("l_suppkey") == F.col("s_suppkey"))
-    return joined.groupBy("s_name").agg(F.count(F.lit(1)).alias("n_lines"), total("l_extendedprice").alias("gross"))
+    return joined.groupBy("s_name").agg(F.count(F.lit(1)).alias("n_lines"), total("l_extendedprice", 2).alias("gross"))
 
 
 # ---- aggregates ------------------------------------------------------------------
@@ -315,7 +316,7 @@ def agg_count_by(t: Tables) -> DataFrame:
     SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
     FROM orders GROUP BY o_orderpriority""")
 def agg_sum_by(t: Tables) -> DataFrame:
-    return t.orders.groupBy("o_orderpriority").agg(total("o_totalprice").alias("spent"))
+    return t.orders.groupBy("o_orderpriority").agg(total("o_totalprice", 2).alias("spent"))
 
 
 @query("""
@@ -324,7 +325,7 @@ def agg_sum_by(t: Tables) -> DataFrame:
     GROUP BY l_partkey ORDER BY mean_quantity DESC, l_partkey LIMIT 20""")
 def agg_avg_top(t: Tables) -> DataFrame:
     shipped = t.lineitem.where(in_year(F.col("l_shipdate"), 1997))
-    means = shipped.groupBy("l_partkey").agg(mean("l_quantity").alias("mean_quantity"))
+    means = shipped.groupBy("l_partkey").agg(mean("l_quantity", 2).alias("mean_quantity"))
     return means.orderBy(F.desc("mean_quantity"), "l_partkey").limit(20)
 
 
@@ -455,3 +456,41 @@ def except_rows(t: Tables) -> DataFrame:
 
     # Both sides are made distinct before they meet, so no key is hot in the join.
     return of_year(1997).distinct().subtract(of_year(1998).distinct())
+
+
+@query("""
+    SELECT l_returnflag, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) AS taxed
+    FROM lineitem GROUP BY l_returnflag""")
+def agg_sum_fine(t: Tables) -> DataFrame:
+    """A sum of values with six digits after the point."""
+    taxed = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax")
+    return t.lineitem.groupBy("l_returnflag").agg(total(taxed, 6).alias("taxed"))
+
+
+@query("""
+    SELECT custkey, MIN(price) AS least_price FROM (
+        SELECT c_custkey AS custkey, CAST(NULL AS DOUBLE) AS price FROM customer UNION ALL SELECT o_custkey, o_totalprice FROM orders)
+    GROUP BY custkey""")
+def first_nulls_last(t: Tables) -> DataFrame:
+    """A null price, here that of a customer as such, is not the cheapest."""
+    customers = t.customer.select(F.col("c_custkey").alias("custkey"), F.lit(None).cast("double").alias("least_price"))
+    prices = t.orders.select(F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("least_price"))
+    return one_per_key(customers.unionByName(prices), ["custkey"], ["least_price"])
+
+
+@query("""
+    SELECT p_partkey, md5(replace(replace(p_name, '\\', '\\\\'), ' ', '\\ ') || ' ' || p_brand || ' ' || coalesce(CASE WHEN p_size > 25 THEN 'big' END, '\\N')) AS key
+    FROM part""")
+def md5_key_of_text(t: Tables) -> DataFrame:
+    """A key of parts that hold the separator, and of nulls."""
+    key = text_key(F.col("p_name"), F.col("p_brand"), F.when(F.col("p_size") > 25, "big"), sep=" ")
+    return t.part.select("p_partkey", key.alias("key"))
+
+
+@query("""
+    SELECT c_custkey, c_name, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS spent
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
+def spend_by_customer(t: Tables) -> DataFrame:
+    """Orders are added per customer before the name is looked up."""
+    spent = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(total("o_totalprice", 2).alias("spent"))
+    return spent.join(t.customer.select("c_custkey", "c_name"), "c_custkey").select("c_custkey", "c_name", "spent")

@@ -96,7 +96,7 @@ def weekday_styles(t: Tables) -> DataFrame:
     FROM orders GROUP BY year(o_orderdate), month(o_orderdate)""")
 def monthly_revenue(t: Tables) -> DataFrame:
     months = t.orders.groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    return months.agg(total("o_totalprice").alias("revenue")).orderBy("year", "month")
+    return months.agg(total("o_totalprice", 2).alias("revenue")).orderBy("year", "month")
 
 
 @query("""

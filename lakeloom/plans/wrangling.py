@@ -39,6 +39,14 @@ def running_sum_rows(t: Tables) -> DataFrame:
     return summed.select("event_id", "user_id", "period")
 
 
+@query(_PERIODS.format(order="ts DESC, event_id", frame="ROWS"))
+def running_sum_hot(t: Tables) -> DataFrame:
+    """The rows of every key are split by time, as those of keys with very many rows are."""
+    marker = _is("view").cast("long")
+    summed = running_sum(_home_and_click(t), ["user_id"], "ts", marker, "period", frame="rows", ties=["event_id"], hot_rows=2)
+    return summed.select("event_id", "user_id", "period")
+
+
 @query(f"""
     SELECT CAST(SUM(n) AS DOUBLE) / COUNT(n) AS mean_events FROM (
         SELECT user_id, period, COUNT(*) AS n FROM (

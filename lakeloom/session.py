@@ -12,11 +12,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Results depend on the time zone; the other settings let Spark re-plan skewed and
+# Results depend on the time zone and on errors for overflows and bad casts, which would
+# turn into nulls without a word; the other settings let Spark re-plan skewed and
 # badly estimated joins at run time, also where a later aggregate would otherwise
 # make it keep the skewed partition to save a shuffle.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

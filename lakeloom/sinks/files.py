@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
@@ -45,9 +47,17 @@ def write_sorted(df: DataFrame, path: str, order_by: Sequence[str], mode: str =
     df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).write.mode(mode).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists", **options) -> None:
-    """CSV with a header and every field quoted. Quotes inside a field are doubled."""
+def write_csv(
+    df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists", multi_line: bool = False, **options
+) -> None:
+    """CSV with a header and every field quoted. Quotes inside a field are doubled. A line
+    break in a text is an error, because plain readers split the record there, unless
+    ``multi_line`` says that it will be read with the same argument."""
     chosen = df.select(*columns) if columns else df
+    if not multi_line:
+        broken = F.raise_error(F.lit("a text holds a line break; write and read it with multi_line=True")).cast("string")
+        texts = [f.name for f in chosen.schema.fields if isinstance(f.dataType, StringType)]
+        chosen = chosen.withColumns({c: F.when(F.col(c).rlike("[\\r\\n]"), broken).otherwise(F.col(c)) for c in texts})
     chosen.write.mode(mode).options(header=True, quoteAll=True, quote='"', escape='"', **options).csv(path)
 
 

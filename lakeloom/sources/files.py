@@ -65,15 +65,17 @@ def csv_files(
     sep: str = ",",
     header: bool = False,
     infer: bool = False,
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV from a file, folder, glob or list of them.
 
     With neither ``schema`` nor ``infer`` every column is a string, named by the
     header or ``_c0``, ``_c1``, ... Doubled quotes inside a quoted field are read as
-    one quote.
+    one quote. A quoted field may hold line breaks only with ``multi_line``: a file is then
+    read whole by one task, so write such data in many files of moderate size.
     """
-    reader = spark.read.options(sep=sep, header=header, inferSchema=infer, quote='"', escape='"').options(**options)
+    reader = spark.read.options(sep=sep, header=header, inferSchema=infer, quote='"', escape='"', multiLine=multi_line).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -93,15 +95,24 @@ def gzip_single(
 
 
 def gzip_tables(spark: SparkSession, root: str, schemas: Mapping[str, Schema], sep: str = "|") -> dict[str, DataFrame]:
-    """One frame per table from ``<root>/<table>*`` gzip parts."""
-    return {name: gzip_parts(spark, f"{root}/{name}", schema, sep=sep) for name, schema in schemas.items()}
+    """One frame per table from its gzip parts: files in ``<root>/<table>/``, or files
+    named by the table and a digit, dot or hyphen after it, so ``part`` leaves ``partsupp``."""
+    return {name: csv_files(spark, f"{root}/{name}{{[0-9.-]*,/*}}", schema=schema, sep=sep) for name, schema in schemas.items()}
 
 
 def array_literal(column: str, element_type: str = "string"):
-    """``{a,b,c}`` text to an array; ``{}`` is an empty array."""
+    """``{a,b,c}`` text to an array; ``{}`` is an empty array. An element in double quotes
+    may hold commas, and quotes and backslashes after a backslash; NULL without quotes is null."""
     body = F.regexp_replace(F.trim(F.col(column)), r"^\{|\}$", "")
-    parts = F.transform(F.split(body, ","), lambda x: F.trim(F.regexp_replace(F.trim(x), '^"|"$', "")).try_cast(element_type))
-    return F.when(body == "", F.array().cast(f"array<{element_type}>")).otherwise(parts)
+    found = F.regexp_extract_all(body, F.lit(r'(?:^|,)(\s*"(?:[^"\\]|\\.)*"\s*|[^,]*)'), F.lit(1))
+
+    def element(raw):
+        text = F.trim(raw)
+        unquoted = F.regexp_replace(F.regexp_replace(text, '^"|"$', ""), r"\\(.)", "$1")
+        plain = F.when(F.upper(text) != "NULL", text)
+        return F.when(text.startswith('"'), unquoted).otherwise(plain).try_cast(element_type)
+
+    return F.when(F.trim(body) == "", F.array().cast(f"array<{element_type}>")).otherwise(F.transform(found, element))
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -21,14 +21,39 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements that never have content (HTML standard, fixed values).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Elements that end an open paragraph, and elements that an opening tag ends unless one of
+# the second set lies between (HTML standard, fixed values).
+ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
+)
+ENDED_BY = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+}
+# Where an open paragraph cannot be seen from inside.
+PARAGRAPH_SCOPE = frozenset("button caption td th table template object marquee svg".split())
 
 
 @dataclass
 class Node:
+    """An element with its texts and child elements in page order."""
+
     tag: str
     attrs: dict[str, str]
-    children: list["Node"] = field(default_factory=list)
-    texts: list[str] = field(default_factory=list)
+    content: list["Node | str"] = field(default_factory=list)
+
+    @property
+    def children(self) -> list["Node"]:
+        return [c for c in self.content if isinstance(c, Node)]
+
+    @property
+    def texts(self) -> list[str]:
+        return [c for c in self.content if isinstance(c, str)]
 
     def walk(self) -> Iterator["Node"]:
         stack = [self]
@@ -37,6 +62,16 @@ class Node:
             yield node
             stack.extend(reversed(node.children))
 
+    def titles(self) -> Iterator["Node"]:
+        """Page titles, without the titles of inline drawings."""
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            if node.tag == "title":
+                yield node
+            elif node.tag not in ("svg", "math"):
+                stack.extend(reversed(node.children))
+
     def kids(self, tag: str) -> list["Node"]:
         return [c for c in self.children if c.tag == tag]
 
@@ -44,7 +79,14 @@ class Node:
         return word in self.attrs.get("class", "").split()
 
     def all_text(self) -> str:
-        return "".join(t for n in self.walk() for t in n.texts)
+        out, stack = [], [self]
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                out.append(item)
+            else:
+                stack.extend(reversed(item.content))
+        return "".join(out)
 
 
 class _Tree(HTMLParser):
@@ -53,14 +95,35 @@ class _Tree(HTMLParser):
         self.root = Node("", {})
         self.open = [self.root]
 
-    def handle_starttag(self, tag, attrs):
+    def _end_before(self, ended, within) -> None:
+        """End the nearest open element of ``ended``, unless one of ``within`` is nearer."""
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in ended:
+                del self.open[depth:]
+                return
+            if self.open[depth].tag in within:
+                return
+
+    def _add(self, tag, attrs) -> Node:
+        if tag in ENDS_PARAGRAPH:
+            self._end_before({"p"}, PARAGRAPH_SCOPE)
+        if tag in ENDED_BY:
+            ended, within = ENDED_BY[tag]
+            self._end_before(ended, within)
         node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
+        self.open[-1].content.append(node)
+        return node
+
+    def handle_starttag(self, tag, attrs):
+        node = self._add(tag, attrs)
         if tag not in VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
+        node = self._add(tag, attrs)
+        # Only void elements and those of an inline drawing end at a slash.
+        if tag not in VOID and not any(n.tag in ("svg", "math") for n in self.open) and tag not in ("svg", "math"):
+            self.open.append(node)
 
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, 0, -1):
@@ -69,7 +132,7 @@ class _Tree(HTMLParser):
                 return
 
     def handle_data(self, data):
-        self.open[-1].texts.append(data)
+        self.open[-1].content.append(data)
 
 
 def parse_html(html: str) -> Node:
@@ -103,7 +166,7 @@ def extract_rows(
 def page_titles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """The text of each ``<title>``."""
     return extract_rows(
-        pages, id_col, html_col, lambda root: [(n.all_text(),) for n in root.walk() if n.tag == "title"], "title string"
+        pages, id_col, html_col, lambda root: [(n.all_text(),) for n in root.titles()], "title string"
     )
 
 

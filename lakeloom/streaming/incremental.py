@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ def _stored(spark: SparkSession, target: str, schema: StructType, folders: Seque
     return spark.read.schema(wide).option("basePath", target).parquet(*(folders or [target]))
 
 
-def _day_folders(spark: SparkSession, target: str) -> dict[str, str]:
+def day_folders(spark: SparkSession, target: str) -> dict[str, str]:
     """Path by name of the day folders ``target`` has: one listing, one entry per day."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(target)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -44,7 +46,7 @@ def add_batch(
     """
     spark = batch.sparkSession
     fresh = one_per_key(batch, keys, order_by).withColumn(DAY, F.to_date(time))
-    folders = _day_folders(spark, target)
+    folders = day_folders(spark, target)
     if folders:
         # One value per calendar day in the batch. Only the folders of these days are
         # listed and read.
@@ -101,6 +103,46 @@ def load_new_files(
     return fact_rows(spark, target, schema)
 
 
+def compact_days(spark: SparkSession, target: str, schema: StructType, before: date) -> int:
+    """Merge the folders that loads left in each day before ``before`` into one, and return
+    the number of days merged. Rows stay the same; days with one folder are left alone.
+
+    Merged rows are written to a side folder with a list of the folders they come from, which
+    are then removed and the merged one moved in. A run that was cut short is first brought
+    to its end by the next one. No load should add to these days meanwhile, and readers
+    should wait: between removal and move a day is not there.
+    """
+    paths, side = spark._jvm.org.apache.hadoop.fs.Path, f"{target.rstrip('/')}/_compact"
+    system = paths(target).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def finish() -> None:
+        for day, folder in day_folders(spark, side).items():
+            listed = paths(f"{folder}/_sources")
+            if system.exists(listed):
+                stream = system.open(listed)
+                names = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+                stream.close()
+                for name in names:
+                    system.delete(paths(f"{target}/{day}/{name}"), True)
+                for name, merged in day_folders(spark, folder).items():
+                    system.rename(paths(merged), paths(f"{target}/{day}/{name}"))
+        system.delete(paths(side), True)
+
+    finish()
+    days = {n: p for n, p in day_folders(spark, target).items() if n.startswith(f"{DAY}=") and n.removeprefix(f"{DAY}=") < before.isoformat()}
+    loads = {day: day_folders(spark, path) for day, path in days.items()}
+    many = {day: found for day, found in loads.items() if len(found) > 1}
+    if many:
+        rows = _stored(spark, target, schema, [path for found in many.values() for path in found.values()])
+        write_partitioned(rows.withColumn(LOAD, F.lit(f"merged-{uuid.uuid4().hex}")), side, [DAY, LOAD])
+        for day, found in many.items():
+            out = system.create(paths(f"{side}/{day}/_sources"))
+            out.write(bytearray("\n".join(found).encode()))
+            out.close()
+        finish()
+    return len(many)
+
+
 def fact_rows(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
     """The loaded events, without the load columns."""
     return _stored(spark, target, schema).select(*schema.fieldNames())

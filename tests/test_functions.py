@@ -47,7 +47,31 @@ def test_texts(spark):
 
 def test_exact_sums(spark):
     df = spark.range(1000).select(F.lit(0.1).alias("v"), (-F.col("id") / 100).alias("w"))
-    assert df.agg(exact.total("v")).first()[0] == 100.0
-    assert df.agg(exact.total("w")).first()[0] == -4995.0
-    assert df.agg(exact.mean("v")).first()[0] == 0.1
+    assert df.agg(exact.total("v", 2)).first()[0] == 100.0
+    assert df.agg(exact.total("w", 2)).first()[0] == -4995.0
+    assert df.agg(exact.mean("v", 2)).first()[0] == 0.1
     assert str(one(spark, exact.amount(F.lit(218.5), 0))[0]) == "219"
+
+
+def test_exact_sums_lose_nothing(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert small.agg(exact.total("v", 3)).first()[0] == 4.0
+    with pytest.raises(Exception, match="more than 2 digits"):
+        small.agg(exact.total("v", 2)).collect()
+    odd = spark.createDataFrame([(float("nan"), 1.0), (1.0, float("inf")), (None, 2.0)], "v double, w double")
+    nan, inf = odd.agg(exact.total("v", 2), exact.total("w", 2)).first()
+    assert nan != nan and inf == float("inf")
+    assert spark.range(0).select(F.lit(1.0).alias("v")).agg(exact.total("v", 2)).first()[0] is None
+
+
+def test_one_rounding_rule(spark):
+    for value in (0.285, -0.125, 2.675, -0.005, 1e12 + 0.25):
+        cents = F.round(F.lit(value), 2)
+        assert one(spark, exact.amount(cents))[0] * 100 == one(spark, exact.units(cents, 2))[0]
+    assert str(one(spark, exact.amount(F.lit(-0.125)))[0]) == "-0.13"
+
+
+def test_keys_of_parts_that_hold_the_separator(spark):
+    key = lambda *parts: one(spark, text.text_key(*map(F.lit, parts)))[0]
+    assert len({key("a|b", "c"), key("a", "b|c"), key("a", "b", "c"), key("a\\", "b|c"), key("a\\|b", "c")}) == 5
+    assert key("\\N", "x") != key(None, "x")

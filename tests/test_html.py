@@ -36,3 +36,18 @@ def test_titles_and_links(spark):
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
     assert rows(page_titles(pages), "title") == [("A <b>",)]
     assert rows(page_links(pages), "pos", "href", "link_text") == [(0, "/x", "to x"), (1, "/y", "")]
+
+
+def test_text_keeps_page_order(spark):
+    html = "<a href='/1'>foo <b>bar</b> baz <i>x<u>y</u></i>z</a><ul><li><a href=/2>one<li><a href=/3>two</ul>"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert rows(page_links(pages), "href", "link_text") == [("/1", "foo bar baz xyz"), ("/2", "one"), ("/3", "two")]
+
+
+def test_open_paragraphs_end_at_blocks(spark):
+    card = CARD.format(n=1, title="T", stars="One", price="1").replace('</i></p>\n  <h3>', '</i>\n  <h3>')
+    assert card.count("</p>") == 2
+    pages = spark.createDataFrame([(1, card)], "page_id int, html string")
+    assert rows(product_items(pages)) == [(1, 0, "T", "£1", "In stock", "One", "catalogue/1/index.html")]
+    drawing = spark.createDataFrame([(1, "<title>Page</title><svg><title>Icon</title></svg>")], "page_id int, html string")
+    assert rows(page_titles(drawing), "title") == [("Page",)]

@@ -70,7 +70,7 @@ def test_star_spend(spark):
     items = inline_rows(spark, [(1, 1, "Rubber Soul"), (2, 3, "Let It Be")], "customer_id int, item_number int, item_name string")
     star = facts.join(customer, "customer_id").join(store, "store_id").join(items, "customer_id").where("amount_spent > 30")
     assert rows(star.select("name", "store_id", "state", "item_name", "rewards")) == [("Toby", 1, "CA", "Let It Be", "N")]
-    spend = facts.where("customer_id = 2").groupBy("customer_id").agg(total("amount_spent"))
+    spend = facts.where("customer_id = 2").groupBy("customer_id").agg(total("amount_spent", 2))
     assert rows(spend) == [(2, 35.21)]
 
 

@@ -86,6 +86,7 @@ def test_gzip_parts_and_single(spark, tmp_path):
 def test_gzip_tables(spark, tmp_path):
     gz(tmp_path / "part.tbl.gz", "1|red\n2|blue\n")
     gz(tmp_path / "supplier.tbl.gz", "5|x\n")
+    gz(tmp_path / "partsupp.tbl.gz", "7|no\n8|no\n")
     loaded = files.gzip_tables(spark, str(tmp_path), {"part": "id int, color string", "supplier": "id int, name string"})
     assert {n: df.count() for n, df in loaded.items()} == {"part": 2, "supplier": 1}
 
@@ -96,6 +97,22 @@ def test_array_literal(spark):
     assert {r.v: r.a for r in got} == {"{a, b,c}": ["a", "b", "c"], "{}": [], None: None, '{"x"}': ["x"]}
 
 
+def test_array_literal_with_quotes_and_nulls(spark):
+    df = inline_rows(spark, [('{"a,b",c}',), ("{NULL,\"NULL\", x }",), ('{"say \\"hi\\"",}',), ("{1,,2}",)], "v string")
+    got = [r[0] for r in df.select(files.array_literal("v")).collect()]
+    assert got == [["a,b", "c"], [None, "NULL", "x"], ['say "hi"', ""], ["1", "", "2"]]
+    assert df.where("v like '{1%'").select(files.array_literal("v", "int")).first()[0] == [1, None, 2]
+
+
+def test_line_breaks_in_csv(spark, tmp_path):
+    df = inline_rows(spark, [(1, 'a\nb, "c"'), (2, None), (3, "x\r\ny")], "id int, v string")
+    with pytest.raises(Exception, match="multi_line"):
+        out.write_csv(df, str(tmp_path / "plain"))
+    out.write_csv(df, str(tmp_path / "broken"), multi_line=True)
+    read = files.csv_files(spark, str(tmp_path / "broken"), schema="id int, v string", header=True, multi_line=True)
+    assert {r.id: r.v for r in read.collect()} == {1: 'a\nb, "c"', 2: None, 3: "x\r\ny"}
+
+
 def test_manifest(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.csv").write_text("12345")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.session import scratch_path
 from lakeloom.sources.tables import inline_rows
-from lakeloom.streaming.incremental import add_batch, fact_rows, load_new_files
+from lakeloom.streaming.incremental import add_batch, compact_days, day_folders, fact_rows, load_new_files
 from lakeloom.streaming.intervals import load_interval
 
 
@@ -62,6 +62,50 @@ def test_interval_reload(spark, paths):
         load_interval(days, "time", date(2024, 1, 2), date(2024, 1, 2), paths["target"])
 
 
+def test_days_that_became_empty(spark, paths):
+    days = inline_rows(spark, [(i, f"2024-01-0{i}") for i in (1, 2, 3, 4)], "id int, day string").withColumn("time", F.col("day").cast("timestamp"))
+    load_interval(days, "time", date(2024, 1, 1), date(2024, 1, 5), paths["target"])
+    for _ in range(2):
+        load_interval(days.where("id = 3"), "time", date(2024, 1, 2), date(2024, 1, 4), paths["target"])
+        assert rows(spark.read.parquet(paths["target"]), "id") == [(1,), (3,), (4,)]
+
+
+def test_compaction_keeps_rows_and_survives_a_break(spark, paths):
+    schema = inline_rows(spark, [], "id int, time timestamp").schema
+
+    def load(name, ids):
+        batch = inline_rows(spark, [(i, f"2024-01-0{1 + i % 3}") for i in ids], "id int, day string")
+        add_batch(batch.select("id", F.col("day").cast("timestamp").alias("time")), paths["target"], name, ["id"], "time", ["time"])
+
+    def ids():
+        return sorted(r.id for r in fact_rows(spark, paths["target"], schema).collect())
+
+    def folders():
+        return {day: len(day_folders(spark, path)) for day, path in sorted(day_folders(spark, paths["target"]).items())}
+
+    for n in range(3):
+        load(f"load-{n}", range(3 * n, 3 * n + 3))
+    assert compact_days(spark, paths["target"], schema, date(2024, 1, 3)) == 2
+    assert list(folders().values()) == [1, 1, 3]
+    assert ids() == [*range(9)]
+    load("late", [0, 9, 10])
+    assert ids() == [*range(11)]
+    # A run that stops after removing the sources of one day is finished by the next.
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(paths["target"]).getFileSystem(spark._jsc.hadoopConfiguration())
+    day = "event_day=2024-01-01"
+    sources = day_folders(spark, f"{paths['target']}/{day}")
+    side = f"{paths['target']}/_compact/{day}"
+    spark.read.schema(schema).parquet(*sources.values()).write.parquet(f"{side}/load_id=merged-x")
+    out = system.create(path(f"{side}/_sources"))
+    out.write(bytearray("\n".join(sources).encode()))
+    out.close()
+    system.delete(path(next(iter(sources.values()))), True)
+    assert compact_days(spark, paths["target"], schema, date(2024, 1, 3)) == 1
+    assert ids() == [*range(11)]
+    assert compact_days(spark, paths["target"], schema, date(2024, 1, 3)) == 0
+
+
 def test_hourly_json_files(spark, paths, tmp_path):
     """Each hour another log file; plays enter the fact table once."""
     schema = inline_rows(spark, [], "session bigint, item bigint, ms bigint, time timestamp").schema

@@ -96,7 +96,7 @@ def test_one_per_key_folds_before_shuffle(visits):
 
 @pytest.mark.parametrize("last", [False, True])
 def test_one_per_key_equals_ranking_window(visits, last):
-    order = [F.desc_nulls_last(c) if last else F.asc_nulls_first(c) for c in ("time", "page", "id")]
+    order = [F.desc_nulls_last(c) if last else F.asc_nulls_last(c) for c in ("time", "page", "id")]
     rank = F.row_number().over(Window.partitionBy("user").orderBy(*order))
     want = visits.withColumn("r", rank).where("r = 1").drop("r")
     assert rows(one_per_key(visits, ["user"], ["time", "page", "id"], last)) == rows(want)
@@ -109,6 +109,13 @@ def test_one_per_key_of_other_shapes(spark):
     assert rows(one_per_key(df.select("k"), ["k"])) == [(1,), (None,)]
 
 
+def test_nulls_do_not_win(spark):
+    df = inline_rows(spark, [(1, None, "a"), (1, 5, "b"), (1, 7, None), (2, None, "c")], "k int, n int, s string")
+    assert rows(one_per_key(df, ["k"], ["n"])) == [(1, 5, "b"), (2, None, "c")]
+    assert rows(one_per_key(df, ["k"], ["n"], last=True)) == [(1, 7, None), (2, None, "c")]
+    assert rows(dimension_rows(df, "k", ["s"], "first_sorted")) == [(1, "a"), (2, "c")]
+
+
 def test_dimension_policies(spark):
     df = inline_rows(
         spark,
