@@ -2,7 +2,7 @@
 
 Words are the letters of the text's alphabet: its k-mers are runs of ``K`` words, numbered by
 occurrence, so the second "of the" differs from the first. A hash of each numbered k-mer
-places it in one of ``BINS`` bins and orders it there. A bin keeps its ``TUPLE`` least
+places it in one of ``BINS`` bins and orders it there. A bin keeps its two least
 k-mers, puts them back into text order, and hashes that tuple. Two texts' likeness is the
 share of bins, among those filled in either, whose tuples are equal: it falls when k-mers
 change and also when they change places, as edit distance does.
@@ -16,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, TUPLE, BINS = 2, 2, 64
+K, BINS = 2, 64
 #: Lower bits for a place in the text. Beyond so many words places repeat, alike for equal texts.
 _PLACE_BITS = 24
 _PLACE = (1 << _PLACE_BITS) - 1
 _BIN_BITS = BINS.bit_length() - 1
+_SPACE = " \t\n\x0b\f\r"
 
 
 def _let(value: Column, body) -> Column:
@@ -33,13 +34,17 @@ def _packed(hashed: Column, place: Column) -> Column:
     return F.shiftrightunsigned(hashed, 1).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place.bitwiseAND(F.lit(_PLACE)))
 
 
+def _hash(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit(~_PLACE))
+
+
 def _place(packed: Column) -> Column:
     return packed.bitwiseAND(F.lit(_PLACE))
 
 
 def _first_of_run(runs: Column, at: Column) -> Column:
     """Least index in a sorted array with the hash of index ``at``, by bisection."""
-    wanted = F.get(runs, at).bitwiseAND(F.lit(~_PLACE))
+    wanted = _hash(F.get(runs, at))
     start = F.struct(F.lit(0).alias("lo"), at.alias("hi"))
 
     def halve(state: Column, _: Column) -> Column:
@@ -54,52 +59,61 @@ def _first_of_run(runs: Column, at: Column) -> Column:
 
 
 def tuples(text: Column) -> Column:
-    """``BINS`` tuple hashes of a text, zero for a bin without a k-mer. Null counts as empty."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), "[ \t\n\x0b\f\r]+"), lambda w: w != "")
+    """Sorted array of the filled bins' tuples: the bin above, the tuple's hash below. A text
+    without words (null counts as empty) fills none."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{_SPACE}]+"))
 
     def of_words(w: Column) -> Column:
         last = F.greatest(F.size(w) - (K - 1), F.least(F.size(w), F.lit(1)))
-        grams = F.transform(F.slice(w, 1, last), lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, K)]))
-        return _let(grams, lambda g: _let(F.sort_array(F.transform(g, lambda h, i: _packed(h, i.cast("long")))), lambda runs: _of_runs(g, runs)))
+        grams = F.transform(F.slice(w, 1, last), lambda x, i: _packed(F.xxhash64(x, *[F.get(w, i + j) for j in range(1, K)]), i.cast("long")))
+        return _let(F.sort_array(grams), lambda runs: _let(_numbered(runs), _by_bin))
 
     return _let(words, of_words)
 
 
-def _of_runs(grams: Column, runs: Column) -> Column:
-    def numbered(packed: Column, i: Column) -> Column:
-        same = (i > 0) & (F.get(runs, i - 1).bitwiseAND(F.lit(~_PLACE)) == packed.bitwiseAND(F.lit(~_PLACE)))
-        occurrence = F.when(same, i - _first_of_run(runs, i)).otherwise(0)
-        return _packed(F.xxhash64(packed.bitwiseAND(F.lit(~_PLACE)), occurrence), _place(packed))
+def _numbered(runs: Column) -> Column:
+    """K-mers sorted by hash, where later occurrences of a k-mer get hashes of their own."""
+
+    def number(packed: Column, i: Column) -> Column:
+        again = (i > 0) & (_hash(F.get(runs, i - 1)) == _hash(packed))
+        return F.when(again, _packed(F.xxhash64(_hash(packed), i - _first_of_run(runs, i)), _place(packed))).otherwise(packed)
 
-    def bin_of(packed: Column) -> Column:
-        return F.shiftright(packed, 63 - _BIN_BITS).cast("int")
+    distinct = F.size(F.array_distinct(F.transform(runs, _hash))) == F.size(runs)
+    return F.when(distinct, runs).otherwise(F.sort_array(F.transform(runs, number)))
 
-    def chosen(ordered: Column) -> Column:
-        # Sorted by hash, whose upper bits are the bin: a bin's least k-mers come first.
-        least = F.filter(ordered, lambda x, i: F.when(i < TUPLE, True).otherwise(bin_of(F.get(ordered, i - TUPLE)) != bin_of(x)))
-        return _let(least, by_bin)
 
-    def by_bin(least: Column) -> Column:
-        def tuple_of(b: Column) -> Column:
-            # Places of the bin's k-mers in text order, then the k-mers that stand there.
-            places = F.sort_array(F.transform(F.filter(least, lambda x: bin_of(x) == b), lambda x: _place(x)))
-            return _let(places, lambda p: F.when(F.size(p) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(F.transform(p, lambda q: F.get(grams, q.cast("int"))))))
+def _bin(packed: Column) -> Column:
+    return F.shiftright(packed, 63 - _BIN_BITS)
 
-        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), tuple_of)
 
-    return _let(F.sort_array(F.transform(runs, numbered)), chosen)
+def _by_bin(ordered: Column) -> Column:
+    """The tuple of each filled bin. A hash's upper bits are the bin, so the first two
+    k-mers of a bin, in sorted order, are its least; they are hashed in text order."""
+
+    def tuple_at(first: Column, i: Column) -> Column:
+        second = F.get(ordered, i + 1)
+        alone = second.isNull() | (_bin(second) != _bin(first))
+        hashed = (
+            F.when(alone, F.xxhash64(_hash(first)))
+            .when(_place(first) < _place(second), F.xxhash64(_hash(first), _hash(second)))
+            .otherwise(F.xxhash64(_hash(second), _hash(first)))
+        )
+        return F.shiftleft(_bin(first), 63 - _BIN_BITS).bitwiseOR(F.shiftrightunsigned(hashed, 1 + _BIN_BITS))
+
+    opens = F.filter(F.transform(ordered, lambda x, i: F.when((i == 0) | (_bin(F.get(ordered, i - 1)) != _bin(x)), i)), lambda i: i.isNotNull())
+    return F.transform(opens, lambda i: tuple_at(F.get(ordered, i), i))
 
 
-def fingerprint(tuple_hashes: Column) -> Column:
-    """The tuples as text: eight hexadecimal digits for each bin."""
-    return F.array_join(F.transform(tuple_hashes, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
+def fingerprint(found: Column) -> Column:
+    """The tuples as text: sixteen hexadecimal digits for each filled bin."""
+    return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Share of equal bins among those filled in either; two empty texts are alike."""
-    pairs = F.zip_with(one, other, lambda x, y: F.when((x == 0) & (y == 0), F.lit(None)).otherwise((x == y).cast("int")))
-    filled = F.filter(pairs, lambda p: p.isNotNull())
-    return F.when(F.size(filled) == 0, F.lit(1.0)).otherwise(F.aggregate(filled, F.lit(0), lambda a, p: a + p) / F.size(filled))
+    """Share of equal bins among those filled in either; two texts without words are alike."""
+    either = F.size(F.array_union(F.transform(one, _bin), F.transform(other, _bin)))
+    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(one, other)) / either)
 
 
 #: Rows that a range of neighbouring ids should hold, and most ranges.
