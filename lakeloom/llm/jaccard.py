@@ -17,8 +17,9 @@ losing a link. Small sets whose elements crowd into k parts or fewer also give a
 for each element; two such sets that are linked share one.
 
 Equal sets are one node. Sets that share a signature are candidates, checked exactly: first
-each against one partner of its signature group, then, where a group still lies in several
-components, across these. Pairs inside a component need no check, so groups of thousands
+each against two partners of its signature group, then, where a group still lies in several
+components, across these. A set's parities, one bit for each of a thousand classes of
+elements, rule out most pairs that are not linked before whole sets are compared. Pairs inside a component need no check, so groups of thousands
 of near copies do not turn into all their pairs.
 """
 
@@ -44,6 +45,9 @@ _U = np.uint64
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63]
 #: Hashes of words that a worker keeps before starting anew, and sets it remembers as given.
 _MOST_KEPT = 1_000_000
+_PARITY_BITS = 1024
+#: Documents of different components in one signature's group that are paired as they are.
+_SMALL = 24
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -114,26 +118,67 @@ def signatures(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def fine_signatures(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Signatures of larger contents, for sets that plain ones bring together in large groups.
+
+    There are half as many parts, so of linked sets more than half of them differ in one
+    element or none. Each part is split into four; leaving out the quarter that differs, the
+    other three are the same in both sets. A set gives the contents with at least t elements,
+    t being the largest number for which more than half of k parts have as many whichever
+    quarter is left out; the rest of the argument is that of ``signatures``."""
+    n = len(elements)
+    if not n:
+        return np.empty(0, dtype=_U)
+    tops = _bands(percent)
+    out = []
+    for band in range(bisect_left(tops, n), bisect_left(tops, n * 100 // percent) + 1):
+        most = tops[band] * (100 - percent) // (100 + percent)  # parts that may differ in two or more
+        n_parts = most + 2 + most // 5
+        cell = ((elements >> _U(20)) % _U(n_parts)).astype(np.int64) * 4 + (elements >> _U(60)).astype(np.int64) % 4
+        counts = np.bincount(cell, minlength=4 * n_parts)
+        order, filled = np.argsort(cell, kind="stable"), np.flatnonzero(counts)
+        sums = np.zeros(4 * n_parts, dtype=_U)
+        sums[filled] = np.add.reduceat(_mix(elements + _U(band + 999))[order], np.concatenate([[0], np.cumsum(counts[filled])[:-1]]))
+        sums, counts = sums.reshape(-1, 4), counts.reshape(-1, 4)
+        content, sizes = sums.sum(axis=1, keepdims=True) - sums, counts.sum(axis=1, keepdims=True) - counts
+        least = int(np.sort(sizes.min(axis=1))[::-1][most])
+        name = _mix(content ^ _mix((_U(band + 1) << _U(44)) + np.arange(4 * n_parts, dtype=_U).reshape(-1, 4)))
+        out.append(name[sizes >= max(least, 1)])
+        if not least:
+            out.append(_mix(elements ^ _U(0x5A5A5A5A + band)))
+    return np.unique(np.concatenate(out))
+
+
+def _parity(elements: np.ndarray) -> np.ndarray:
+    """One bit for each of ``_PARITY_BITS`` classes of elements: whether their number is odd.
+    Two sets differ in at least as many elements as their bits differ."""
+    odd = np.bincount((elements >> _U(7)).astype(np.int64) & (_PARITY_BITS - 1), minlength=_PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """Each row's id, two hashes of its set (null for an empty one) and its size."""
+    """Each row's id, two hashes of its set (null for an empty one), its size and parity."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two, size = [], [], []
+            one, two, size, parity = [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, words)
                 data = found.tobytes()
                 size.append(len(found))
                 one.append(xxhash.xxh3_64_intdigest(data) - (1 << 63) if data else None)
                 two.append(xxhash.xxh64_intdigest(data, seed=7) - (1 << 63) if data else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (one, two, size))], ["id", "k1", "k2", "n"])
+                parity.append(_parity(found))
+            numbers = [pa.array(x, pa.int64()) for x in (one, two, size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(parity, pa.list_(pa.int64()))], ["id", "k1", "k2", "n", "parity"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(run, f"id {kind}, k1 bigint, k2 bigint, n bigint")
+    return docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(run, f"id {kind}, k1 bigint, k2 bigint, n bigint, parity array<bigint>")
 
 
-def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str) -> DataFrame:
+def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str, fine: bool = False) -> DataFrame:
     """``sig`` and ``k1`` of every text; a task gives those of equal sets once."""
+    signatures_of = fine_signatures if fine else signatures
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -149,7 +194,7 @@ def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str)
                     if len(seen) >= _MOST_KEPT:
                         seen.clear()
                     seen.add(key)
-                    own = signatures(found, percent)
+                    own = signatures_of(found, percent)
                     keys.append(key)
                     sigs.append(own)
                     counts.append(len(own))
@@ -170,14 +215,26 @@ def _shingle_arrays(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"rep {kind}, elements array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar enough."""
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and parities do not rule out."""
+    left = nodes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = nodes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.where(near & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, unique_ids: bool) -> DataFrame:
+    """Pairs (a, b) whose sets are similar enough. Texts of documents in pairs are read again."""
+    wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
+    chosen = docs.join(replicate_counted(wanted), "id", "left_semi")
+    sets = stored(_shingle_arrays(chosen if unique_ids else chosen.dropDuplicates(["id"]), words), "elements")
     left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("_ea"))
     right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("_eb"))
-    joined = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("_ea", "_eb"))
     either = F.size("_ea") + F.size("_eb") - common
-    return joined.where(common * 100 >= F.lit(percent) * either).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(common * 100 >= F.lit(percent) * either).select("a", "b")
 
 
 def similar_groups(
@@ -191,50 +248,56 @@ def similar_groups(
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     members = stored(_sets(docs, words, "id", "text"), "sets")
-    reps = stored(members.where("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "reps")
+    sets = members.where("n > 0 and id is not null").groupBy("k1", "k2")
+    reps = stored(sets.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("parity").alias("parity")), "reps")
+    unique_ids = not members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
 
     # Rows of a signature meet in one task: a hash and a key each, equal sets folded before.
     group = Window.partitionBy("sig")
     rows = _signature_rows(docs, words, percent, "text")
-    shared = rows.select("*", F.min("k1").over(group).alias("least"), F.max("k1").over(group).alias("most")).where("least < most").drop("least", "most")
-    keyed = stored(shared.distinct(), "signatures")
-    nodes = reps.select("k1", "rep", "n").join(keyed.select("k1").distinct(), "k1")
-    nodes = stored(nodes, "nodes")
-    grouped = stored(keyed.join(replicate_counted(nodes), "k1").select("sig", "rep", "n"), "groups")
-
-    wanted = replicate_counted(nodes.select(F.col("rep").alias("id")).distinct())
-    sets = stored(_shingle_arrays(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]) if _repeated(members) else docs.join(wanted, "id", "left_semi"), words), "elements")
-
-    def near(a: str, b: str):
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-
-    ends = grouped.groupBy("sig").agg(F.min(F.struct("rep", "n")).alias("lo"), F.max(F.struct("rep", "n")).alias("hi"))
-    star = grouped.join(ends, "sig")
-    first = star.where((F.col("rep") != F.col("lo.rep")) & near("n", "lo.n")).select(F.col("lo.rep").alias("a"), F.col("rep").alias("b"))
-    last = star.where((F.col("rep") != F.col("hi.rep")) & near("n", "hi.n")).select(F.col("rep").alias("a"), F.col("hi.rep").alias("b"))
-    tried = stored(first.unionByName(last).distinct(), "pairs")
-    links = stored(_verified(tried, sets, percent), "links")
+    shared = rows.select("*", F.min("k1").over(group).alias("least"), F.max("k1").over(group).alias("most")).where("least < most")
+    keyed = stored(shared, "signatures")
+    nodes = stored(reps.join(keyed.select("k1").distinct(), "k1").select("k1", "rep", "n", "parity"), "nodes")
+    named = replicate_counted(nodes.select("k1", "rep", "n"))
+
+    def by_reps(pairs: DataFrame) -> DataFrame:
+        """Pairs of keys as pairs of documents, the lower first."""
+        x, y = named.select(F.col("k1").alias("x"), F.col("rep").alias("rx")), named.select(F.col("k1").alias("y"), F.col("rep").alias("ry"))
+        return pairs.join(x, "x").join(y, "y").where("rx != ry").select(F.least("rx", "ry").alias("a"), F.greatest("rx", "ry").alias("b"))
+
+    ends = keyed.select(F.col("k1").alias("x"), F.explode(F.array("least", "most")).alias("y")).where("x != y").distinct()
+    same_key = nodes.groupBy("k1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("k1").alias("x"), F.col("k1").alias("y"))
+    tried = stored(by_reps(ends.unionByName(same_key)).distinct(), "pairs")
+    first = stored(_plausible(tried, nodes, percent), "plausible")
+    links = stored(_verified(first, docs, words, percent, unique_ids), "links")
     joined = components(links, "a", "b")
 
-    labelled = grouped.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    open_groups = labelled.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("sig")
-    left = stored(labelled.join(open_groups, "sig", "left_semi"), "open")
-    x, y = left.alias("x"), left.alias("y")
-    across = (
-        x.join(y, F.col("x.sig") == F.col("y.sig"))
-        .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & near("x.n", "y.n"))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    more = stored(_verified(across, sets, percent), "links")
-    if more.limit(1).count():
+    labels = nodes.select("k1", "rep", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    labels = stored(labels.select("k1", "rep", "n", F.coalesce("component", "rep").alias("comp")), "components")
+    named = replicate_counted(labels)
+
+    def open_groups(rows: DataFrame) -> DataFrame:
+        """Rows of signatures whose documents lie in several components, with their number."""
+        found = rows.join(named, "k1").withColumns({"_lo": F.min("comp").over(group), "_hi": F.max("comp").over(group), "members": F.count(F.lit(1)).over(group)})
+        return found.where("_lo < _hi").drop("_lo", "_hi")
+
+    def pairs_across(rows: DataFrame) -> DataFrame:
+        x, y = rows.alias("x"), rows.alias("y")
+        near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+        met = x.join(y, F.col("x.sig") == F.col("y.sig")).where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & near)
+        return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+
+    left = stored(open_groups(keyed.select("sig", "k1")), "open")
+    # Small groups give their pairs. Documents of larger ones, mostly passages that many
+    # texts share, meet again by signatures that hardly anything but linked texts share.
+    small, large = left.where(F.col("members") <= _SMALL), left.where(F.col("members") > _SMALL).select(F.col("rep").alias("id")).distinct()
+    again = docs.join(replicate_counted(stored(large, "large")), "id", "left_semi")
+    fine = open_groups(_signature_rows(again, words, percent, "text", fine=True).distinct())
+    across = pairs_across(small).unionByName(pairs_across(stored(fine, "fine"))).distinct().join(tried, ["a", "b"], "left_anti")
+    second = stored(_plausible(across, nodes, percent), "plausible")
+    if second.limit(1).count():
+        more = stored(_verified(second, docs, words, percent, unique_ids), "links")
         joined = components(links.unionByName(more), "a", "b")
-    own = many_to_one(members, reps.select("k1", "k2", "rep"), ["k1", "k2"])
+    own = many_to_one(members.drop("parity"), reps.select("k1", "k2", "rep"), ["k1", "k2"])
     found = many_to_one(own, joined.select(F.col("node").alias("rep"), "component"), ["rep"])
     return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
-
-
-def _repeated(members: DataFrame) -> bool:
-    """Whether any id has several rows."""
-    return bool(members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count())
