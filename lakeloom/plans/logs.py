@@ -114,8 +114,9 @@ def html_titles(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    SELECT page_id, CAST(pos AS INTEGER) AS pos, {_unescaped("regexp_extract(tag, 'href=\"([^\"]*)\"', 1)")} AS href FROM (
+    SELECT page_id, CAST(pos AS INTEGER) AS pos, {_unescaped("regexp_extract(tag, 'href=\"([^\"]*)\"', 1)")} AS href,
+           {_unescaped("regexp_extract(tag, '>([^<]*)$', 1)")} AS link_text FROM (
         SELECT page_id, unnest(range(len(tags))) AS pos, unnest(tags) AS tag
-        FROM (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*"') AS tags FROM pages))""")
+        FROM (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*') AS tags FROM pages))""")
 def html_links(t: Tables) -> DataFrame:
-    return page_links(t.pages).select("page_id", "pos", "href")
+    return page_links(t.pages)

@@ -11,7 +11,7 @@ from lakeloom.functions.text import full_name, text_key, timestamp_text
 from lakeloom.functions.times import WEEKDAY_STYLES, date_key as date_number, date_parts as parts_of, epoch_date as to_day
 from lakeloom.functions.times import epoch_millis as to_millis, epoch_seconds as to_seconds, weekday
 from lakeloom.plans.registry import query
-from lakeloom.sources.jsonpaths import path_columns
+from lakeloom.sources.jsonpaths import select_paths
 from lakeloom.sources.tables import Tables
 
 def _event_ms():
@@ -111,4 +111,4 @@ def map_access(t: Tables) -> DataFrame:
 @query("SELECT event_id, TRY_CAST(props->>'$.k' AS BIGINT) AS k, TRY_CAST(props->>'$.none' AS BIGINT) AS missing FROM events")
 def jsonpath_extract(t: Tables) -> DataFrame:
     target = StructType().add("k", LongType()).add("missing", LongType())
-    return t.events.select("event_id", *path_columns(F.col("props"), ["$.k", "$.none"], target))
+    return select_paths(t.events, "props", ["$.k", "$.none"], target, keep=["event_id"])

@@ -2,32 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def path_columns(json: Column, paths: Sequence[str], target: StructType) -> list[Column]:
-    """One typed column per path. Text that does not fit its type becomes null."""
+# A path of plain names, which a struct can stand for.
+_NAMES = re.compile(r"\$(?:\.[A-Za-z_]\w*)+")
+
+
+def _struct_of(tree: Mapping) -> StructType:
+    return StructType([StructField(name, _struct_of(below) if below else StringType()) for name, below in tree.items()])
+
+
+def _tree_of(paths: Sequence[str]) -> dict:
+    """Nested names of the paths that one parse can answer: plain ones, none of which leads
+    through another."""
+    plain = {tuple(p.split(".")[1:]) for p in paths if _NAMES.fullmatch(p)}
+    inner = {p[:n] for p in plain for n in range(1, len(p))}
+    tree: dict = {}
+    for path in sorted(plain):
+        if path not in inner and not any(path[:n] in plain for n in range(1, len(path))):
+            node = tree
+            for name in path:
+                node = node.setdefault(name, {})
+    return tree
+
+
+def select_paths(df: DataFrame, json: str, paths: Sequence[str], target: StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns ``keep`` and one typed column per path of the text column ``json``. Text
+    that does not fit its type becomes null. Plain paths are answered by one parse of each
+    text; a path with brackets, or one that leads through another, has a parse of its own."""
     if len(paths) != len(target.fields):
         raise ValueError(f"{len(paths)} paths for {len(target.fields)} columns")
+    tree = _tree_of(paths)
+    parsed = df.select(*keep, json, F.from_json(json, _struct_of(tree)).alias("_parsed")) if tree else df
     columns = []
-    for path, field in zip(paths, target.fields):
-        value = F.get_json_object(json, path)
+    for path, field in zip(paths, target.fields, strict=True):
+        names = path.split(".")[1:]
+        node = tree if _NAMES.fullmatch(path) else None
+        for name in names:
+            node = node.get(name) if node is not None else None
+        value = F.get_json_object(json, path) if node is None else F.col(".".join(["_parsed", *names]))
         if field.dataType != StringType():
             value = value.try_cast(field.dataType)
         columns.append(value.alias(field.name))
-    return columns
+    return parsed.select(*keep, *columns)
 
 
 def json_by_paths(
     spark: SparkSession, source: str | list[str], paths: Sequence[str], target: StructType
 ) -> DataFrame:
     """Read JSON lines and map them by ``paths``."""
-    lines = spark.read.text(source)
-    return lines.select(*path_columns(F.col("value"), paths, target))
+    return select_paths(spark.read.text(source), "value", paths, target)
 
 
 def read_path_list(spark: SparkSession, mapping_file: str) -> list[str]:

@@ -11,7 +11,7 @@ from lakeloom import schemas
 from lakeloom.sinks import catalog
 from lakeloom.sinks import files as out
 from lakeloom.sources import files
-from lakeloom.sources.jsonpaths import json_by_paths, read_path_list
+from lakeloom.sources.jsonpaths import json_by_paths, read_path_list, select_paths
 from lakeloom.sources.tables import inline_rows, stored_table
 
 
@@ -40,6 +40,19 @@ def test_json_by_name(spark, tmp_path):
     assert rows(files.json_by_name(spark, str(tmp_path), exact, ignore_case=False)) == [("5",), (None,)]
 
 
+def test_paths_of_one_text_share_a_parse(spark):
+    text = '{"a": {"b": 1, "c": [1, {"d": "x"}]}, "e": "2", "f g": 3, "n": null}'
+    df = inline_rows(spark, [(1, text), (2, "broken"), (3, None), (4, '{"a": 5}')], "id int, a string")
+    target = inline_rows(spark, [], "b bigint, c string, d string, e int, g int, n string, a string").schema
+    paths = ["$.a.b", "$.a.c", "$.a.c[1].d", "$.e", "$['f g']", "$.n", "$.a"]
+    got = select_paths(df, "a", paths, target, keep=["id"])
+    values = {r.id: tuple(r)[1:] for r in got.collect()}
+    assert values[1][:6] == (1, '[1,{"d":"x"}]', "x", 2, 3, None) and values[1][6].startswith('{"b":1')
+    assert values[2] == values[3] == (None,) * 7 and values[4] == (None,) * 6 + ("5",)
+    simple = select_paths(df, "a", ["$.e", "$.n", "$.x.y"], inline_rows(spark, [], "e int, n string, y string").schema)
+    assert plan_text(simple).count("from_json") + plan_text(simple).count("JsonToStructs") <= 1
+
+
 def test_json_by_paths(spark, tmp_path):
     (tmp_path / "log.json").write_text('{"ts": 12, "user": {"id": "7"}, "x": "?"}\n{"ts": null}\n')
     (tmp_path / "map.txt").write_text(json.dumps({"jsonpaths": ["$['ts']", "$.user.id", "$.x"]}))
