@@ -1,8 +1,12 @@
 import random
 
+import pytest
 from conftest import rows
 
 from lakeloom.operators.upsert import insert_ignore, upsert
+from lakeloom.session import scratch_path
+from lakeloom.sinks.files import write_partitioned
+from lakeloom.sinks.folders import DONE, SIDE, apply_upsert, finish_replacement
 from lakeloom.sources.tables import inline_rows
 
 USERS = "user_id int, name string, level string, n int"
@@ -43,3 +47,28 @@ def test_against_row_by_row_inserts(spark):
         updating = upsert(updating, df, ["user_id"], ["level"], ["n"])
     assert {r[0]: tuple(r[1:]) for r in ignoring.collect()} == kept
     assert {r[0]: tuple(r[1:]) for r in updating.collect()} == updated
+
+
+def test_stored_upsert_survives_a_break(spark):
+    target = scratch_path(spark, "stored")
+    first = inline_rows(spark, [("a", 1, "x"), ("b", 2, "x"), ("c", 3, "x")], "part string, id int, v string")
+    write_partitioned(first, target, ["part"])
+    batch = inline_rows(spark, [("a", 1, "y"), ("a", 9, "y"), ("d", 4, "y")], "part string, id int, v string")
+
+    def stored():
+        return rows(spark.read.schema(first.schema).parquet(target), "part", "id", "v")
+
+    for _ in range(2):
+        apply_upsert(target, batch, ["part", "id"], "part")
+        assert stored() == [("a", 1, "x"), ("a", 9, "y"), ("b", 2, "x"), ("c", 3, "x"), ("d", 4, "y")]
+    # Written whole at the side, not moved in: the next run moves it. Not written whole: dropped.
+    write_partitioned(inline_rows(spark, [("b", 2, "z")], "part string, id int, v string"), f"{target}/{SIDE}", ["part"])
+    finish_replacement(spark, target)
+    assert ("b", 2, "x") in stored()
+    write_partitioned(inline_rows(spark, [("b", 2, "z")], "part string, id int, v string"), f"{target}/{SIDE}", ["part"])
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{SIDE}/{DONE}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+    apply_upsert(target, batch, ["part", "id"], "part", update=["v"])
+    assert stored() == [("a", 1, "y"), ("a", 9, "y"), ("b", 2, "z"), ("c", 3, "x"), ("d", 4, "y")]
+    with pytest.raises(ValueError):
+        apply_upsert(target, batch, ["id"], "part")
