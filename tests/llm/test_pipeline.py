@@ -18,7 +18,9 @@ def test_stages_over_small_tables(spark, tables):
     assert ids[0] > ids[1] > ids[2] and ids[2] >= ids[3]
     gone = [labels[i] for i in ids[0] - ids[1] if i in labels]
     assert gone and all(r.toxic == 1 for r in gone)
-    poor = [labels[i] for i in ids[1] - ids[2] if i in labels]
+    # Texts of less than 20 words fail the base rules whatever their label says.
+    short = {r.doc_id for r in states[1].collect() if len((r.text or "").split()) < 20}
+    poor = [labels[i] for i in ids[1] - ids[2] - short if i in labels]
     assert poor and sum(r.quality == 0 for r in poor) >= 0.8 * len(poor)
     texts = {r.doc_id: r.text for r in states[2].collect()}
     assert ids[3] == {c for _, c in brute(texts).values()}
