@@ -2,10 +2,12 @@
 
 Words are the letters of the text's alphabet: its k-mers are runs of ``K`` words, numbered by
 occurrence, so the second "of the" differs from the first. A hash of each numbered k-mer
-places it in one of ``BINS`` bins and orders it there. A bin keeps its two least
-k-mers, puts them back into text order, and hashes that tuple. Two texts' likeness is the
-share of bins, among those filled in either, whose tuples are equal: it falls when k-mers
-change and also when they change places, as edit distance does.
+places it in one of ``BINS`` bins and orders it there. A bin that holds a k-mer keeps the two
+least from its start on (where it has but one, the second is the next of the bins that
+follow, around the end), puts them back into text order, and hashes that tuple. So each
+tuple has an order wherever the text has two k-mers. Two texts' likeness is the share of
+bins, among those filled in either, whose tuples are equal: it falls when k-mers change and
+also when they change places, as edit distance does.
 
 Everything happens inside a row. Arrays of 64-bit integers hold a hash in the upper and a
 place in the lower bits, so sorting them sorts by hash and then by place.
@@ -88,14 +90,14 @@ def _bin(packed: Column) -> Column:
 
 
 def _by_bin(ordered: Column) -> Column:
-    """The tuple of each filled bin. A hash's upper bits are the bin, so the first two
-    k-mers of a bin, in sorted order, are its least; they are hashed in text order."""
+    """The tuple of each filled bin. A hash's upper bits are the bin, so the bin's first k-mer
+    and the one after it, in sorted order and around its end, are the least two from the bin's
+    start on; they are hashed in text order. A text's only k-mer is hashed by itself."""
 
     def tuple_at(first: Column, i: Column) -> Column:
-        second = F.get(ordered, i + 1)
-        alone = second.isNull() | (_bin(second) != _bin(first))
+        second = F.coalesce(F.get(ordered, i + 1), F.get(ordered, F.lit(0)))
         hashed = (
-            F.when(alone, F.xxhash64(_hash(first)))
+            F.when(F.size(ordered) == 1, F.xxhash64(_hash(first)))
             .when(_place(first) < _place(second), F.xxhash64(_hash(first), _hash(second)))
             .otherwise(F.xxhash64(_hash(second), _hash(first)))
         )

@@ -69,6 +69,33 @@ def test_order_and_occurrence_matter(spark):
     assert alike(base, shuffled) < 0.1
 
 
+def plain_omh(one, other, rounds=200):
+    """Share of permutations in which the two least k-mers of all, in text order, are equal."""
+
+    def sketch(text, salt):
+        grams = [f"{a} {b}" for a, b in zip(text.split(), text.split()[1:], strict=False)]
+        numbered = [(hashlib.md5(f"{salt} {g} {grams[:i].count(g)}".encode()).digest(), i, g) for i, g in enumerate(grams)]
+        return [g for _, _, g in sorted(sorted(numbered)[:2], key=lambda x: x[1])]
+
+    return sum(sketch(one, s) == sketch(other, s) for s in range(rounds)) / rounds
+
+
+@pytest.mark.parametrize("n", [20, 50, 77, 100])
+def test_short_texts_keep_their_order(spark, n):
+    rng = random.Random(n)
+    pairs = []
+    for t in range(30):
+        words = [f"t{t}w{i}" for i in range(n)]
+        sentences = [words[i : i + n // 5] for i in range(0, n, n // 5)]
+        rng.shuffle(sentences)
+        pairs.append((" ".join(words), " ".join(w for s in sentences for w in s)))
+    found = hashes(spark, [x for pair in pairs for x in pair])
+    got = sum(alike(a, b) for a, b in zip(found[::2], found[1::2], strict=True)) / len(pairs)
+    want = sum(plain_omh(*pair) for pair in pairs) / len(pairs)
+    print(f"{n} words: {got:.3f}, plain {want:.3f}")
+    assert abs(got - want) < 0.06
+
+
 def test_occurrences_number_repeated_kmers(spark):
     # Copies of one k-mer differ by their number, so how many there are is told apart.
     three, four, many, more = hashes(spark, ["a " * 4, "a " * 5, "a " * 1000, "a " * 1001])
