@@ -1,6 +1,7 @@
 """Document fingerprints by Order MinHash, in built-in functions only.
 
-Words are the letters of the text's alphabet: its k-mers are runs of ``K`` words, numbered by
+Words are the letters of the text's alphabet (of a word too long for one, as in writing
+without spaces, its runs of characters are): its k-mers are runs of ``K`` words, numbered by
 occurrence, so the second "of the" differs from the first. A hash of each numbered k-mer
 places it in one of ``BINS`` bins and orders it there. A bin that holds a k-mer keeps the two
 least from its start on (where it has but one, the second is the next of the bins that
@@ -24,6 +25,8 @@ _PLACE_BITS = 24
 _PLACE = (1 << _PLACE_BITS) - 1
 _BIN_BITS = BINS.bit_length() - 1
 _SPACE = " \t\n\x0b\f\r"
+#: A word of more bytes counts as its overlapping runs of so many characters.
+_WORD_BYTES, _RUN_CHARS = 48, 4
 
 
 def _let(value: Column, body) -> Column:
@@ -60,6 +63,18 @@ def _first_of_run(runs: Column, at: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(at))), start, halve)["lo"]
 
 
+def _letters(words: Column) -> Column:
+    """Words, with the runs of characters that start at each place in words too long."""
+
+    def runs(word: Column) -> Column:
+        of_characters = lambda c: F.transform(F.slice(c, 1, F.size(c) - (_RUN_CHARS - 1)), lambda x, i: F.concat(x, *[F.get(c, i + j) for j in range(1, _RUN_CHARS)]))
+        return _let(F.split(word, ""), of_characters)
+
+    long = lambda word: F.octet_length(word) > _WORD_BYTES
+    split = F.flatten(F.transform(words, lambda word: F.when(long(word), runs(word)).otherwise(F.array(word))))
+    return F.when(F.exists(words, long), split).otherwise(words)
+
+
 def tuples(text: Column) -> Column:
     """Sorted array of the filled bins' tuples: the bin above, the tuple's hash below. A text
     without words (null counts as empty) fills none."""
@@ -71,7 +86,7 @@ def tuples(text: Column) -> Column:
         grams = F.transform(F.slice(w, 1, last), lambda x, i: _packed(F.xxhash64(x, *[F.get(w, i + j) for j in range(1, K)]), i.cast("long")))
         return _let(F.sort_array(grams), lambda runs: _let(_numbered(runs), _by_bin))
 
-    return _let(words, of_words)
+    return _let(words, lambda w: _let(_letters(w), of_words))
 
 
 def _numbered(runs: Column) -> Column:

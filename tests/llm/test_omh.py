@@ -132,6 +132,24 @@ def test_edge_rows(spark):
     assert omh.fingerprints(docs).where("doc_id = 1").first().fingerprint == ""
 
 
+def test_texts_without_spaces(spark):
+    rng = random.Random(6)
+    base = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(3000))
+    other = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(3000))
+    coded = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(3000))
+    texts = [base, base[:900] + "z" + base[901:], base[:900] + base[901:], base[1500:] + base[:1500], other, coded, coded[:50] + "x" + coded[50:]]
+    one, changed, shorter, turned, far, data, longer = hashes(spark, texts)
+    print(alike(one, changed), alike(one, shorter), alike(one, turned), alike(data, longer))
+    assert min(alike(one, changed), alike(one, shorter), alike(data, longer)) > 0.9
+    assert 0.2 < alike(one, turned) < 0.9 and alike(one, far) == 0
+    # One long word does not hide the words around it, nor words the change in it.
+    around = " ".join(f"w{i}" for i in range(200))
+    with_long, without = hashes(spark, [f"{around} {coded[:60]}", around])
+    assert 0.3 < alike(with_long, without) < 1
+    # Four-byte characters beyond the length, and a length just within it.
+    assert hashes(spark, ["😀" * 12, "😀" * 13])[0] != hashes(spark, ["😀" * 13])[0]
+
+
 def test_query_over_small_tables(spark, tables):
     from lakeloom.llm.queries import QUERIES
 
