@@ -1,15 +1,16 @@
 """Sharding by balanced label propagation, in built-in functions only.
 
 Linked documents are those with equal texts. A shard is a label. Documents start where a hash
-of their id puts them; in each round the documents of a group ask to move to the shard that
-holds most of the group, and of the documents that want to go from one shard to another as
-many may as want to go the other way, or as the target has room for. Documents of a group
-in one shard are alike, so a round works on counts per group and shard: a group of any size
-is at most one row for each shard.
-
-The law is ``rows``: in the end shards differ by one row at most. Documents are numbered in
-their shard, linked ones first; those beyond the shard's quota are the ones without links,
-as long as there are enough, and go to the free places of other shards in order.
+of their id puts them; in each round a group that is not yet whole asks for the shard that
+holds most of it, among those with room for all of it, and a shard grants what its room
+takes, larger groups first. Refused groups ask again, so rounds end when no group asks that
+some shard has room for. Groups that are large for a shard come first, in falling order, and
+groups that no shard has room for come last, over as few shards as the room left needs.
+Documents of a group in one shard are alike, so a round works on one row for each group.
+
+The law is ``rows``: in the end shards differ by one row at most. Linked documents never
+exceed a shard's quota. Documents are numbered in their shard, linked ones first; those
+beyond the quota have no links, and go to the free places of other shards in order.
 """
 
 from __future__ import annotations
@@ -25,50 +26,103 @@ SHARDS, ROUNDS, OVERHEAD_BYTES = 40, 6, 16
 _WINDOW_ROWS, _MOST_WINDOWS = 20_000, 1 << 14
 
 
-def _unit(*parts) -> Column:
-    """A number from 0 to 1 that depends on the parts alone."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40)
-
-
-def _round(placed: DataFrame, shards: int, room: dict[int, int], step: int) -> DataFrame:
-    """One round over ``group``, ``shard``, ``n``. What a shard pair exchanges is decided on
-    at most shards x shards numbers; each group's part of it by a hash."""
-    of_group = Window.partitionBy("group")
-    best = F.max(F.struct("n", F.xxhash64("group", "shard").alias("h"), "shard")).over(of_group)["shard"]
-    asked = placed.withColumn("to", best)
-    wanted = {(r["shard"], r["to"]): r["n"] for r in asked.where("shard != to").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
-    share: dict[tuple[int, int], float] = {}
-    arriving: dict[int, int] = {}
-    for (a, b), n in wanted.items():
-        arriving[b] = arriving.get(b, 0) + max(0, n - wanted.get((b, a), 0))
-    for (a, b), n in wanted.items():
-        back = min(n, wanted.get((b, a), 0))
-        extra = (n - back) * min(1.0, max(0, room.get(b, 0)) / arriving[b]) if arriving[b] else 0
-        share[a, b] = (back + extra) / n
-    table = F.array(*[F.array(*[F.lit(float(share.get((a, b), 0.0))) for b in range(shards)]) for a in range(shards)])
-    part = F.when(F.col("shard") == F.col("to"), 0.0).otherwise(F.get(F.get(table, F.col("shard")), F.col("to")))
-    moved = F.floor(F.col("n") * part + _unit(F.lit(step), "group", "shard")).cast("long")
-    going = asked.withColumn("moved", F.least("n", F.greatest(moved, F.lit(0).cast("long"))))
-    pieces = F.array(
-        F.struct(F.col("shard").alias("s"), (F.col("n") - F.col("moved")).alias("m")), F.struct(F.col("to").alias("s"), F.col("moved").alias("m"))
-    )
-    split = going.select("group", F.inline(pieces)).where("m > 0")
-    return split.groupBy("group", F.col("s").alias("shard")).agg(F.sum("m").alias("n"))
-
-
-def _shards_of_groups(linked: DataFrame, shards: int, quota: list[int], rounds: int) -> DataFrame:
-    """Rounds until the last, or until no document asks to move; each is written. The room of
-    a shard is its quota less its linked documents: loose ones give way."""
-    placed = linked
-    for step in range(rounds):
-        held = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        room = {s: quota[s] - held.get(s, 0) for s in range(shards)}
-        nxt = stored(_round(placed, shards, room, step), "labels")
-        changed = nxt.join(placed, ["group", "shard", "n"], "left_anti").limit(1).count()
-        placed = nxt
-        if not changed:
-            break
-    return placed
+#: A group of at least one in so many of a shard's rows is large. There are no more than so
+#: many for each shard, so they are placed one by one.
+_LARGE_PART = 50
+
+
+def _bins(rows: int, at_least: int = 1) -> int:
+    return max(at_least, min(_MOST_WINDOWS, rows // _WINDOW_ROWS + 1))
+
+
+def _before(rows: DataFrame, keys: list[str], order: list, amount: Column) -> DataFrame:
+    """Add ``before``: the amounts of the rows before, of equal ``keys``, in the order of
+    ``bin`` and then ``order``. The rows of a bin meet in a window, bins in another."""
+    totals = rows.groupBy(*keys, "bin").agg(F.sum(amount).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*keys, "bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    return summed.join(F.broadcast(offsets), [*keys, "bin"]).withColumn("before", F.col("_offset") + F.col("_inside")).drop("_offset", "_inside")
+
+
+def _asked(waiting: DataFrame, room: list[int], step: int, rounds: int) -> DataFrame:
+    """Add ``to``: the shard with most of the group among those with room for all of it; where
+    none of its own has room, and after so many rounds, any that has, by a hash. Else null."""
+    fits = lambda s: F.get(F.lit(room), s) >= F.col("size")
+    some = F.filter(F.lit(list(range(len(room)))), fits)
+    any_ = F.get(some, F.pmod(F.xxhash64(F.lit(step), "group"), F.greatest(F.size(some), F.lit(1))).cast("int"))
+    own = F.get(F.filter("own", fits), F.lit(0)) if step < rounds else F.lit(None).cast("int")
+    return waiting.withColumn("to", F.coalesce(own, any_))
+
+
+def _place_small(waiting: DataFrame, room: list[int], rounds: int) -> tuple[list[DataFrame], DataFrame]:
+    """Rounds until no group asks; what each grants, and the groups that fit nowhere. ``room``
+    is lowered. In each, a shard that is asked grants its first request at least."""
+    granted, step = [], 0
+    while True:
+        asked = stored(_asked(waiting, room, step, rounds), "asked")
+        wanted = asked.where("to is not null").groupBy("to").count().collect()
+        if not wanted:
+            return granted, asked.drop("to")
+        # Larger groups come first: by power of two, and in bins of bounded size below it.
+        bins = _bins(max(r["count"] for r in wanted))
+        level = 64 - F.length(F.bin("size"))
+        numbered = asked.where("to is not null").withColumn("bin", level.cast("long") * bins + F.pmod(F.xxhash64("group"), F.lit(bins)))
+        summed = _before(numbered, ["to"], [F.desc("size"), "group"], F.col("size"))
+        judged = stored(summed.withColumn("granted", F.col("before") + F.col("size") <= F.get(F.lit(room), F.col("to"))), "granted")
+        for r in judged.where("granted").groupBy("to").agg(F.sum("size").alias("n")).collect():
+            room[r["to"]] -= r["n"]
+        granted.append(judged.where("granted").select("group", F.col("to").alias("shard")))
+        left = judged.where("not granted").select("group", "size", "own")
+        waiting = left.unionByName(asked.where("to is null").select("group", "size", "own"))
+        step += 1
+
+
+def _place_groups(linked: DataFrame, quota: list[int], rounds: int) -> tuple[DataFrame, dict[str, list[tuple[int, int]]]]:
+    """The shard of each group that is whole, and for the others the shards and numbers of
+    rows that they are cut into. ``linked`` has ``group``, ``size`` and ``own``: its shards,
+    the one with most of it first."""
+    spark, room, shards = linked.sparkSession, list(quota), range(len(quota))
+    large = F.col("size") * _LARGE_PART >= max(quota)
+    whole, cut = [], []
+    for r in sorted(linked.where(large).collect(), key=lambda r: (-r["size"], r["group"])):
+        fits = [s for s in [*r["own"], *sorted(shards, key=lambda s: -room[s])] if room[s] >= r["size"]]
+        if fits:
+            room[fits[0]] -= r["size"]
+            whole.append((r["group"], fits[0]))
+        else:
+            cut.append((r["size"], r["group"]))
+    granted, left = _place_small(linked.where(~large), room, rounds)
+    # Each of these has more rows than any shard has room for, so there are fewer than shards.
+    cut += [(r["size"], r["group"]) for r in left.select("size", "group").collect()]
+    pieces: dict[str, list[tuple[int, int]]] = {}
+    for size, group in sorted(cut):
+        for s in sorted(shards, key=lambda s: (-room[s], s)):
+            n = min(size, room[s])
+            if n:
+                pieces.setdefault(group, []).append((s, n))
+                room[s] -= n
+                size -= n
+    plan = spark.createDataFrame([*whole, *((g, -1) for g in pieces)], "group string, shard int")
+    for part in granted:
+        plan = plan.unionByName(part)
+    return stored(plan, "plan"), pieces
+
+
+def _cut(rows: DataFrame, pieces: dict[str, list[tuple[int, int]]], n_rows: int, shards: int) -> DataFrame:
+    """Labels for the rows of cut groups: rows are numbered, and go to the pieces in order."""
+    ends = []
+    for group, parts in pieces.items():
+        end = 0
+        for shard, n in parts:
+            ends.append((group, end, end + n, shard))
+            end += n
+    bin_ = F.pmod(F.xxhash64("id", "text_crc32"), F.lit(_bins(n_rows, shards)))
+    numbered = _before(rows.withColumn("bin", bin_), ["group"], ["id", "size"], F.lit(1))
+    listed = rows.sparkSession.createDataFrame(ends, "group string, first long, upto long, piece int")
+    at = numbered.join(F.broadcast(listed), "group").where("first <= before and before < upto")
+    return at.select("id", "size", "text_crc32", F.col("piece").alias("label"), F.lit(True).alias("linked"))
 
 
 def balanced_shards(
@@ -78,7 +132,7 @@ def balanced_shards(
     (from 0 in each shard, without gaps).
 
     Shards differ by one row at most. Rows with equal texts are linked and share a shard
-    where quotas allow; a null text counts as empty. Repeated rows are rows of their own.
+    where some shard has room for all of them when their turn comes; a null text counts as empty. Repeated rows are rows of their own.
     Other columns are not read. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
@@ -93,23 +147,18 @@ def balanced_shards(
     quota = [n_rows // shards + (s < n_rows % shards) for s in range(shards)]
 
     counted = base.groupBy("group", F.col("start").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
-    many = counted.withColumn("all", F.sum("n").over(Window.partitionBy("group"))).where("all > 1").select("group", "shard", "n")
-    linked = stored(many, "labels")
-    settled = _shards_of_groups(linked, shards, quota, rounds)
-    by_shard = Window.partitionBy("group").orderBy("shard")
-    ends = settled.select("group", "shard", F.sum("n").over(by_shard).alias("end"), F.sum("n").over(Window.partitionBy("group")).alias("all"))
-    # A group's shards with the upper ends of their parts of it, at most one for each shard.
-    plan = stored(ends.groupBy("group").agg(F.array_sort(F.collect_list(F.struct((F.col("end") / F.col("all")).alias("upto"), "shard"))).alias("parts")), "plan")
+    ranked = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("group", "shard").alias("h"), "shard")), asc=False)
+    many = counted.groupBy("group").agg(F.sum("n").alias("size"), F.transform(ranked, lambda x: x["shard"]).alias("own")).where("size > 1")
+    plan, pieces = _place_groups(stored(many, "groups"), quota, rounds)
 
     joined = many_to_one(base, plan, ["group"])
-    draw = _unit(F.lit("part"), "id", "size")
-    parts = F.filter("parts", lambda p: p["upto"] > draw)
-    linked_here = F.col("parts").isNotNull()
-    wished = joined.select(
+    wished = joined.where("shard is null or shard >= 0").select(
         "id", "size", "text_crc32",
-        F.when(linked_here, F.coalesce(F.get(parts, F.lit(0))["shard"], F.element_at("parts", -1)["shard"])).otherwise(F.col("start")).alias("label"),
-        linked_here.alias("linked"),
+        F.coalesce("shard", "start").alias("label"), F.col("shard").isNotNull().alias("linked"),
     )
+    if pieces:
+        rows_of_cut = base.where(F.col("group").isin(list(pieces))).select("id", "size", "text_crc32", "group")
+        wished = wished.unionByName(_cut(rows_of_cut, pieces, n_rows, shards))
     return _numbered(wished, shards, quota, n_rows).select(F.col("id").alias(id_column), "size", "text_crc32", "shard", "slot")
 
 

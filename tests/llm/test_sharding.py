@@ -56,6 +56,35 @@ def test_a_group_of_a_third_of_all_rows_is_split(spark):
     check(sharding.balanced_shards(spark.createDataFrame(only, "doc_id bigint, text string"), shards=10).collect(), only, 10)
 
 
+@pytest.mark.parametrize("large_part", [50, 1])
+def test_only_groups_that_fit_nowhere_are_cut(spark, monkeypatch, large_part):
+    # With 1, all groups that fit a quota are placed in rounds, few rows to a window.
+    monkeypatch.setattr(sharding, "_LARGE_PART", large_part)
+    monkeypatch.setattr(sharding, "_WINDOW_ROWS", 20_000 if large_part > 1 else 7)
+    texts = [(i, f"single {i}") for i in range(500)] + [(10_000 + i, "hot") for i in range(600)]
+    texts += [(20_000 + i, f"pair {i // 2}") for i in range(500)] + [(30_000 + i, f"nine {i // 9}") for i in range(180)]
+    rows = sharding.balanced_shards(spark.createDataFrame(texts, "doc_id bigint, text string"), shards=40).collect()
+    check(rows, texts, 40)
+    groups, cut = cut_groups(rows, texts)
+    hot = len({r.shard for r in rows if r.doc_id // 10_000 == 1})
+    print(f"cut {cut} of {groups}, hot in {hot}")
+    assert groups == 271 and cut == 1
+    assert hot <= 24  # 14 quotas; small groups have a third of each
+
+
+def test_tight_quotas_and_equal_rows_of_a_cut_group(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "_LARGE_PART", 1)
+    # No loose rows: 25 places in each of 8 shards hold 12 pairs and one row of a cut pair.
+    texts = [(i, f"pair {i // 2}") for i in range(200)]
+    rows = sharding.balanced_shards(spark.createDataFrame(texts, "doc_id bigint, text string"), shards=8).collect()
+    check(rows, texts, 8)
+    assert cut_groups(rows, texts) == (100, 4)
+    same = [(7, "hot")] * 50 + [(100 + i, f"pair {i // 2}") for i in range(40)] + [(500 + i, f"single {i}") for i in range(10)]
+    rows = sharding.balanced_shards(spark.createDataFrame(same, "doc_id bigint, text string"), shards=5).collect()
+    check(rows, same, 5)
+    assert cut_groups(rows, same)[1] == 1
+
+
 def test_nulls_repeated_rows_and_empty_table(spark):
     texts = [(None, None), (1, ""), (1, ""), (1, None), (2, "é" * 50_000)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
