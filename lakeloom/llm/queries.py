@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, sharding, toxicity, webtext
+from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, ranking, sharding, toxicity, webtext
 from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
@@ -91,3 +91,29 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return omh.compare_with_edit(table(spark, folder, "documents"))
+
+
+@query
+def op12_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op12_ranking"] = f"""
+WITH doc_terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+worth AS (
+    SELECT tf.term, tf.doc_id,
+        CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+            * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS worth
+    FROM tf JOIN df USING (term) JOIN lengths USING (doc_id), totals
+),
+scores AS (SELECT item_id, doc_id, CAST(sum(worth) AS BIGINT) AS score FROM wanted JOIN worth USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
