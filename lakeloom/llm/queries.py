@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, ranking, sharding, toxicity, webtext
+from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, ranking, repair, sharding, toxicity, webtext
 from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
@@ -93,6 +95,16 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return omh.compare_with_edit(table(spark, folder, "documents"))
 
 
+@query
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    repaired = repair.repair(repair.damage(conversations)).withColumnRenamed("conv_id", "_conv")
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(repaired, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    numbers = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    return joined.fillna({**numbers, "audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()})
+
+
 @query
 def op12_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
