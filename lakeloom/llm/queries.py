@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, ranking, repair, sharding, toxicity, webtext
+from lakeloom.llm import arrow_store, bpe, chat, jaccard, omh, packing, quality, ranking, repair, sharding, toxicity, urls, webtext
+from lakeloom.llm.repair_sql import REPAIR
 from lakeloom.llm.storage import stored
 from lakeloom.session import tune
 
@@ -105,6 +106,16 @@ def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
     return joined.fillna({**numbers, "audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()})
 
 
+SQL["op13_repair"] = REPAIR
+
+URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+
+
+@query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), [urls.Rule.parse(r) for r in URL_RULES])
+
+
 @query
 def op12_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
