@@ -108,10 +108,10 @@ def path_tree(paths: DataFrame) -> DataFrame:
             break
         rows = rows.withColumn("_segment", F.when(deep, F.try_element_at("_segments", F.lit(level + 1))))
         counted = rows.where(deep).groupBy("host", "template", "_segment").agg(F.count(F.lit(1)).alias("_n"))
-        of_parent = Window.partitionBy("host", "template")
-        # One row for each child of a node, counted before.
-        common = (F.col("_n") >= LITERAL_PATHS) & (F.col("_n") * 100 >= F.sum("_n").over(of_parent) * LITERAL_PERCENT)
-        literal = counted.select("host", "template", "_segment", common.alias("_literal")).where("_literal")
+        # A node may have a child for each of its paths; only the common ones meet its total.
+        total = counted.groupBy("host", "template").agg(F.sum("_n").alias("_total"))
+        often = many_to_one(counted.where(F.col("_n") >= LITERAL_PATHS), total, ["host", "template"])
+        literal = often.where(F.col("_n") * 100 >= F.col("_total") * LITERAL_PERCENT).select("host", "template", "_segment", F.lit(True).alias("_literal"))
         kept = F.when(F.coalesce("_literal", F.lit(False)) | (F.col("_segment") == REST), F.col("_segment")).otherwise(form(F.col("_segment")))
         grown = F.when(F.col("_segment").isNull(), F.col("template")).otherwise(F.concat("template", F.array(kept)))
         rows = stored(many_to_one(rows, literal, ["host", "template", "_segment"]).select(*columns, "_segments", grown.alias("template")), "paths")
