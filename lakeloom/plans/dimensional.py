@@ -14,7 +14,8 @@ from lakeloom.operators.numbering import dense_keys
 from lakeloom.operators.upsert import upsert
 from lakeloom.plans.olap import places
 from lakeloom.plans.registry import query
-from lakeloom.session import checkpointed
+from lakeloom.session import checkpointed, scratch_path
+from lakeloom.sinks.files import write_parquet
 from lakeloom.sources.tables import Tables, as_view
 
 # The date from which loaded dimension rows are valid.
@@ -343,11 +344,30 @@ def dq_orphans(t: Tables) -> DataFrame:
     ("lineitem", "bounds:l_discount", "SELECT COUNT(*) AS n FROM lineitem WHERE NOT l_discount BETWEEN 0.0 AND 0.09"),
 ))
 def dq_freshness(t: Tables) -> DataFrame:
-    return quality.all_of(
-        [
-            quality.volume(t.events, "events", at_least=100),
-            quality.fresh(t.events, "events", "ts", "2024-01-02 00:00:00"),
-            quality.fresh(t.events, "events", "ts", "2099-01-01 00:00:00"),
-            quality.within_bounds(t.lineitem, "lineitem", "l_discount", 0.0, 0.09),
-        ]
-    )
+    recent = [quality.rows_between(100), *[quality.newest_from("ts", f"{day} 00:00:00") for day in ("2024-01-02", "2099-01-01")]]
+    discounts = quality.in_one_scan(t.lineitem, "lineitem", [quality.bounded("l_discount", 0.0, 0.09)])
+    return quality.in_one_scan(t.events, "events", recent).unionByName(discounts)
+
+
+@query(_report_sql(
+    ("orders", "has_rows", _empty_sql("orders")),
+    ("orders", "not_null:o_custkey", _null_sql("orders", "o_custkey")),
+    ("orders", "bounds:o_totalprice", "SELECT COUNT(*) AS n FROM orders WHERE NOT o_totalprice BETWEEN 1000.0 AND 400000.0"),
+    ("orders", "fresh:o_orderdate", "SELECT CASE WHEN MAX(o_orderdate) >= TIMESTAMP '1998-01-01' THEN 0 ELSE 1 END AS n FROM orders"),
+    ("events", "volume", "SELECT CASE WHEN COUNT(*) > 5 THEN 1 ELSE 0 END AS n FROM events"),
+    ("events", "not_null:user_id", _null_sql("events", "user_id")),
+    ("events", "not_null:event_type", _null_sql("events", "event_type")),
+    ("events", "fresh:ts", "SELECT CASE WHEN MAX(ts) >= TIMESTAMP '2099-01-01' THEN 0 ELSE 1 END AS n FROM events"),
+))
+def dq_one_pass(t: Tables) -> DataFrame:
+    """All checks of two tables in the passes that write them; nothing is read again."""
+    checks = {
+        "orders": [quality.rows_there(), quality.null_free("o_custkey"), quality.bounded("o_totalprice", 1000.0, 400000.0), quality.newest_from("o_orderdate", "1998-01-01 00:00:00")],
+        "events": [quality.rows_between(0, 5), quality.null_free("user_id"), quality.null_free("event_type"), quality.newest_from("ts", "2099-01-01 00:00:00")],
+    }
+    reports = []
+    for name, wanted in checks.items():
+        observed = quality.Observed(name, wanted)
+        write_parquet(getattr(t, name), scratch_path(t.spark, name), watch=observed)
+        reports.append(observed.report())
+    return quality.all_of(reports)

@@ -14,6 +14,7 @@ from lakeloom.functions.text import timestamp_text
 from lakeloom.functions.times import in_year
 from lakeloom.operators.lookup import QueryTable
 from lakeloom.operators.modeling import date_dimension
+from lakeloom.operators.quality import Observed, observed_counts
 from lakeloom.operators import upsert as conflicts
 from lakeloom.operators.weblogs import parse_log, top_counts
 from lakeloom.plans.logs import _LINES, log_lines
@@ -25,6 +26,7 @@ from lakeloom.sinks.files import write_csv, write_documents, write_parquet, writ
 from lakeloom.sources import files
 from lakeloom.sources.jsonpaths import json_by_paths
 from lakeloom.sources.tables import Tables
+from lakeloom.streaming.eventtime import load_in_event_time
 from lakeloom.streaming.incremental import compact_days, fact_rows, load_new_files
 from lakeloom.streaming.intervals import load_interval
 
@@ -320,6 +322,54 @@ def incremental_compacted(t: Tables) -> DataFrame:
     return _events_text(fact_rows(spark, target, events.schema))
 
 
+_DELAY = timedelta(hours=36)
+
+
+@query("""
+    WITH cut AS (SELECT CAST(CAST(MIN(ts) AS DATE) + CAST((CAST(MAX(ts) AS DATE) - CAST(MIN(ts) AS DATE)) // 2 AS INTEGER) AS TIMESTAMP) AS middle FROM events),
+    arrivals AS (
+        SELECT 1 AS delivery, event_id, ts FROM events, cut WHERE ts < middle AND event_id % 10 NOT IN (3, 4)
+        UNION ALL
+        SELECT 2, event_id, ts FROM events, cut WHERE event_id % 10 <> 4 AND (ts >= middle - INTERVAL 1 DAY OR event_id % 10 = 3)
+        UNION ALL
+        SELECT 3, event_id, ts FROM events WHERE event_id % 10 IN (4, 7)),
+    marks AS (
+        SELECT a.delivery, MAX(make_timestamp((epoch_us(b.ts) // 1000) * 1000)) - INTERVAL 36 HOUR AS mark
+        FROM (SELECT DISTINCT delivery FROM arrivals) a JOIN arrivals b ON b.delivery < a.delivery GROUP BY a.delivery),
+    told AS (
+        SELECT event_id, CASE WHEN ts <= mark THEN 'late' ELSE 'accepted' END AS outcome
+        FROM arrivals LEFT JOIN marks USING (delivery))
+    SELECT event_id, outcome, CASE WHEN outcome = 'late' THEN COUNT(*) ELSE 1 END AS n_rows FROM told GROUP BY event_id, outcome""")
+def event_time_load(t: Tables) -> DataFrame:
+    """Three deliveries: the second repeats a day and brings rows kept back from the first,
+    the third repeats some rows and brings others far too late."""
+    spark = t.spark
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = _days(t.events)
+    cut = first + timedelta(days=(last - first).days // 2)
+    paths = {n: scratch_path(spark, n) for n in ("landing", "accepted", "late", "load_state")}
+    time, kind = F.col("ts"), F.col("event_id") % 10
+    at, before = (F.lit(f"{d}").cast("timestamp") for d in (cut, cut - timedelta(days=1)))
+    deliveries = [(time < at) & ~kind.isin(3, 4), (kind != 4) & ((time >= before) | (kind == 3)), kind.isin(4, 7)]
+    accepted = late = None
+    for n, condition in enumerate(deliveries):
+        write_parquet(events.where(condition), f"{paths['landing']}/delivery-{n}")
+        accepted, late = load_in_event_time(
+            spark, paths["landing"], events.schema, paths["accepted"], paths["late"], paths["load_state"], ["event_id"], "ts", _DELAY
+        )
+    told = [rows.select("event_id", F.lit(outcome).alias("outcome")) for rows, outcome in ((accepted, "accepted"), (late, "late"))]
+    return told[0].unionByName(told[1]).groupBy("event_id", "outcome").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in ("orders", "lineitem", "customer")))
+def load_report_observed(t: Tables) -> DataFrame:
+    """Rows are counted in the passes that store the tables."""
+    observed = [Observed(name) for name in ("orders", "lineitem", "customer")]
+    for o in observed:
+        write_parquet(getattr(t, o.table), scratch_path(t.spark, o.table), watch=o)
+    return observed_counts(t.spark, observed)
+
+
 def _segments(t: Tables) -> tuple[str, DataFrame, DataFrame]:
     """A stored table of the customers of two segments, by segment, and a batch of all."""
     columns = ["c_mktsegment", "c_custkey", "c_name", "c_acctbal"]

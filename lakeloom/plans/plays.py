@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import timestamp_text
 from lakeloom.plans import questions, warehouse
 from lakeloom.plans.registry import query
+from lakeloom.session import scratch_path
+from lakeloom.sinks.files import write_documents
 from lakeloom.sources.tables import Tables
 
 # The page each kind of event stands for.
@@ -100,7 +104,9 @@ def star_times(t: Tables) -> DataFrame:
 def _plays_sql(join: str, same_length: str) -> str:
     return f"""
     SELECT md5(concat_ws('|', CAST(l.user_id AS VARCHAR), CAST(ms AS VARCHAR), CAST(event_id AS VARCHAR), CAST(l.user_id AS VARCHAR)))
-             AS songplay_id, l.user_id, l."level", s.song_id, s.artist_id, year(ts) AS "year", month(ts) AS "month"
+             AS songplay_id, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S.%f') AS start_time, l.user_id, l."level",
+             s.song_id, s.artist_id, l.user_id AS session_id, 'San Jose, CA' AS location, 'browser' AS user_agent,
+             year(ts) AS "year", month(ts) AS "month"
     FROM ({_LOGS}) l {join} JOIN (
         SELECT title, artist_id, {same_length.format("duration")} AS len, MIN(song_id) AS song_id FROM ({_SONGS}) GROUP BY 1, 2, 3) s
       ON l.song = s.title AND l.artist_id = s.artist_id AND {same_length.format("l.length")} = s.len
@@ -109,7 +115,7 @@ def _plays_sql(join: str, same_length: str) -> str:
 
 def _plays(t: Tables, **options) -> DataFrame:
     plays = warehouse.build_star(log_rows(t), song_rows(t), **options)["songplays"]
-    return plays.select("songplay_id", "user_id", "level", "song_id", "artist_id", "year", "month")
+    return plays.withColumn("start_time", timestamp_text(F.col("start_time")))
 
 
 @query(_plays_sql("LEFT", "{}"))
@@ -122,6 +128,26 @@ def star_songplays_rounded(t: Tables) -> DataFrame:
     return _plays(t, rule="title_artist_seconds", keep_unmatched=False)
 
 
+@query(f"""
+    SELECT 'staging_logs' AS table_name, COUNT(*) AS row_count, CAST(NULL AS BIGINT) AS published_rows FROM events
+    UNION ALL SELECT 'staging_songs', COUNT(*), NULL FROM part
+    UNION ALL SELECT 'songs', COUNT(*), COUNT(*) FROM part
+    UNION ALL SELECT 'artists', COUNT(DISTINCT p_brand), COUNT(DISTINCT p_brand) FROM part
+    UNION ALL SELECT 'users', COUNT(DISTINCT user_id), COUNT(DISTINCT user_id) FROM ({_LOGS}) WHERE event_type IN ('click', 'purchase')
+    UNION ALL SELECT 'time', COUNT(DISTINCT ms), COUNT(DISTINCT ms) FROM ({_LOGS}) WHERE event_type IN ('click', 'purchase')
+    UNION ALL SELECT 'songplays', COUNT(*), COUNT(*) FROM ({_LOGS}) WHERE event_type IN ('click', 'purchase')""")
+def star_run_report(t: Tables) -> DataFrame:
+    """The whole run: JSON in, staged, built, checked, published; rows as counted while they
+    were written, beside those of the star that readers find."""
+    spark = t.spark
+    songs, logs, out = (scratch_path(spark, n) for n in ("song_documents", "log_documents", "star"))
+    write_documents(song_rows(t), songs)
+    write_documents(log_rows(t), logs)
+    _, report = warehouse.run(spark, songs, logs, out)
+    found = [df.agg(F.count(F.lit(1)).alias("published_rows")).withColumn("table_name", F.lit(n)) for n, df in warehouse.published_star(spark, out).items()]
+    return report.join(reduce(DataFrame.unionByName, found), "table_name", "left").select("table_name", "row_count", "published_rows")
+
+
 _PAGE = "CASE event_type " + " ".join(f"WHEN '{kind}' THEN '{page}'" for kind, page in PAGES.items()) + " END"
 
 

@@ -15,6 +15,7 @@ from lakeloom.operators.dedup import dimension_rows, one_per_key
 from lakeloom.operators.layout import many_to_one
 from lakeloom.operators.modeling import time_dimension
 from lakeloom.sinks.files import write_parquet, write_partitioned
+from lakeloom.sinks.publish import Release, publish_checked, read_published
 from lakeloom.sources.files import json_tree
 
 PLAY = "NextSong"
@@ -137,46 +138,75 @@ def build_star(logs: DataFrame, song_rows: DataFrame, user_policy: str = "latest
     }
 
 
-def checks(star: dict[str, DataFrame]) -> DataFrame:
-    """Rows present, ids not null, keys unique, references whole."""
-    fact = star["songplays"]
-    keys = {"users": "user_id", "songs": "song_id", "artists": "artist_id", "time": "start_time", "songplays": "songplay_id"}
-    reports = [quality.has_rows(star)]
-    for name, key in keys.items():
-        reports += [quality.no_nulls(star[name], name, [key]), quality.unique_key(star[name], name, [key])]
+#: Key of each table of the star.
+KEYS = {"users": "user_id", "songs": "song_id", "artists": "artist_id", "time": "start_time", "songplays": "songplay_id"}
+
+
+def checks_of_keys(star: dict[str, DataFrame]) -> DataFrame:
+    """Keys unique, references whole."""
+    reports = [quality.unique_key(star[name], name, [key]) for name, key in KEYS.items()]
     for name in ("users", "songs", "artists", "time"):
-        reports.append(quality.no_orphans(fact, "songplays", keys[name], star[name], keys[name]))
+        reports.append(quality.no_orphans(star["songplays"], "songplays", KEYS[name], star[name], KEYS[name]))
     return quality.all_of(reports)
 
 
+def checks(star: dict[str, DataFrame]) -> DataFrame:
+    """Rows present and ids not null, in one scan of each table, keys and references."""
+    present = [quality.in_one_scan(star[name], name, [quality.rows_there(), quality.null_free(key)]) for name, key in KEYS.items()]
+    return quality.all_of([*present, checks_of_keys(star)])
+
+
+def watched(star: dict[str, DataFrame]) -> dict[str, quality.Observed]:
+    """Checks that are taken in the passes that write the tables."""
+    return {name: quality.Observed(name, [quality.rows_there(), quality.null_free(KEYS[name])]) for name in star}
+
+
 def run(
     spark: SparkSession,
     song_root: str,
     log_root: str,
     out: str,
     song_folders: Sequence[str] = ("year",),
+    keep: int = 2,
     **options,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Stage, build, write, check; returns the stored star and its load report.
+    """Stage, build, write, check, publish; returns the published star and its load report.
 
     The JSON files are parsed once and staged as Parquet, from which every table reads
-    just its columns. ``song_folders`` may name ``artist_id`` too, which gives a folder
-    per artist and suits small catalogues only.
+    just its columns. Rows are counted and nulls are looked for in the passes that write;
+    keys and references are checked on the stored tables. All of it happens in a version
+    of its own, and only then do readers (``published_star``) get to see it; if a check
+    fails they keep the version before. ``song_folders`` may name ``artist_id`` too, which
+    gives a folder per artist and suits small catalogues only.
     """
-    out = out.rstrip("/")
     sources = {"staging_songs": (song_root, schemas.SONG), "staging_logs": (log_root, schemas.LOG)}
-    staged = {}
-    for name, (root, schema) in sources.items():
-        write_parquet(json_tree(spark, root, schema), f"{out}/{name}", mode="overwrite")
-        staged[name] = spark.read.schema(schema).parquet(f"{out}/{name}")
-    star = build_star(staged["staging_logs"], staged["staging_songs"], **options)
     folders = {"songs": list(song_folders), "time": ["year", "month"], "songplays": ["year", "month"]}
-    stored = {}
-    for name, rows in star.items():
-        if name in folders:
-            write_partitioned(rows, f"{out}/{name}", folders[name], mode="overwrite")
-        else:
-            write_parquet(rows, f"{out}/{name}", mode="overwrite")
-        stored[name] = spark.read.schema(rows.schema).parquet(f"{out}/{name}").select(*rows.columns)
-    quality.require(checks(stored))
-    return stored, quality.load_report({**staged, **stored})
+    observed: dict[str, quality.Observed] = {}
+
+    def build(release: Release) -> dict[str, DataFrame]:
+        staged = {}
+        for name, (root, schema) in sources.items():
+            observed[name] = quality.Observed(name)
+            write_parquet(json_tree(spark, root, schema), release.table(name), watch=observed[name])
+            staged[name] = spark.read.schema(schema).parquet(release.table(name))
+        star = build_star(staged["staging_logs"], staged["staging_songs"], **options)
+        observed.update(watched(star))
+        stored = {}
+        for name, rows in star.items():
+            if name in folders:
+                write_partitioned(rows, release.table(name), folders[name], watch=observed[name])
+            else:
+                write_parquet(rows, release.table(name), watch=observed[name])
+            stored[name] = spark.read.schema(rows.schema).parquet(release.table(name)).select(*rows.columns)
+        return stored
+
+    def checked(stored: dict[str, DataFrame]) -> DataFrame:
+        return quality.all_of([*[observed[name].report() for name in stored], checks_of_keys(stored)])
+
+    stored, _ = publish_checked(spark, out, build, checked, keep)
+    return stored, quality.observed_counts(spark, list(observed.values()))
+
+
+def published_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The star that was published last, all tables of one run."""
+    return read_published(spark, out, schemas.STAR)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+#: Takes the frame that goes to the writer and returns it, measured (``operators.quality.Observed``).
+Watch = Callable[[DataFrame], DataFrame]
 
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
-    writer = df.write.mode(mode)
+
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None, watch: Watch | None = None
+) -> None:
+    writer = (watch(df) if watch else df).write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)
     writer.parquet(path)
@@ -23,6 +28,7 @@ def write_partitioned(
     mode: str = "errorifexists",
     sort_by: Sequence[str] = (),
     replace_only_present: bool = False,
+    watch: Watch | None = None,
 ) -> None:
     """Parquet in one folder per value of ``by``.
 
@@ -34,7 +40,7 @@ def write_partitioned(
     placed = df.hint("rebalance", *by)
     if sort_by:
         placed = placed.sortWithinPartitions(*by, *sort_by)
-    writer = placed.write.partitionBy(*by)
+    writer = (watch(placed) if watch else placed).write.partitionBy(*by)
     if replace_only_present:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:

@@ -9,27 +9,27 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.upsert import insert_ignore, upsert
 from lakeloom.sinks.files import write_partitioned
+from lakeloom.sinks.storage import Folders
 
-SIDE, DONE = "_replacing", "_written"
-
-
-def _system(spark: SparkSession, path: str):
-    paths = spark._jvm.org.apache.hadoop.fs.Path
-    return paths, paths(path).getFileSystem(spark._jsc.hadoopConfiguration())
+SIDE, DONE, OLD = "_replacing", "_written", "_old"
 
 
 def finish_replacement(spark: SparkSession, target: str) -> None:
     """Move in the folders of a replacement that was written whole, drop one that was not.
-    Folders already moved are no longer at the side, so this may run again at any point."""
-    side = f"{target.rstrip('/')}/{SIDE}"
-    paths, system = _system(spark, target)
-    if system.exists(paths(f"{side}/{DONE}")):
-        for status in system.listStatus(paths(side)):
-            if status.isDirectory():
-                place = paths(f"{target}/{status.getPath().getName()}")
-                system.delete(place, True)
-                system.rename(status.getPath(), place)
-    system.delete(paths(side), True)
+    Folders already moved are no longer at the side, so this may run again at any point. An
+    old folder goes only after the new one is in its place."""
+    target, folders = target.rstrip("/"), Folders(spark, target)
+    side = f"{target}/{SIDE}"
+    if folders.exists(f"{side}/{DONE}"):
+        for name, path in folders.folders(side).items():
+            if name != OLD:
+                folders.make(f"{side}/{OLD}")
+                folders.replace(path, f"{target}/{name}", f"{side}/{OLD}/{name}")
+    # A folder whose old form is still aside, with nothing in its place, was in between.
+    for name, path in folders.folders(f"{side}/{OLD}").items():
+        if not folders.exists(f"{target}/{name}"):
+            folders.move(path, f"{target}/{name}")
+    folders.delete(side)
 
 
 def replace_folders(rows: DataFrame, target: str, partition: str) -> None:
@@ -37,9 +37,8 @@ def replace_folders(rows: DataFrame, target: str, partition: str) -> None:
     new folders are written at the side before the first old one goes."""
     spark = rows.sparkSession
     side = f"{target.rstrip('/')}/{SIDE}"
-    paths, system = _system(spark, target)
     write_partitioned(rows, side, [partition])
-    system.create(paths(f"{side}/{DONE}")).close()
+    Folders(spark, target).write_text(f"{side}/{DONE}", "")
     finish_replacement(spark, target)
 
 

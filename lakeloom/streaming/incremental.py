@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from lakeloom.operators.dedup import one_per_key
 from lakeloom.session import tune
 from lakeloom.sinks.files import write_partitioned
+from lakeloom.sinks.storage import Folders
 
 DAY, LOAD = "event_day", "load_id"
 
@@ -25,12 +26,7 @@ def _stored(spark: SparkSession, target: str, schema: StructType, folders: Seque
 
 def day_folders(spark: SparkSession, target: str) -> dict[str, str]:
     """Path by name of the day folders ``target`` has: one listing, one entry per day."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return {}
-    found = [status.getPath() for status in system.listStatus(folder) if status.isDirectory()]
-    return {path.getName(): path.toString() for path in found}
+    return Folders(spark, target).folders(target)
 
 
 def add_batch(
@@ -108,25 +104,25 @@ def compact_days(spark: SparkSession, target: str, schema: StructType, before: d
     the number of days merged. Rows stay the same; days with one folder are left alone.
 
     Merged rows are written to a side folder with a list of the folders they come from, which
-    are then removed and the merged one moved in. A run that was cut short is first brought
-    to its end by the next one. No load should add to these days meanwhile, and readers
-    should wait: between removal and move a day is not there.
+    are then moved aside, the merged one moved in, and only then the old ones deleted. A run
+    that was cut short is first brought to its end by the next one. No load should add to
+    these days meanwhile, and readers should wait: between the moves a day is not there.
     """
-    paths, side = spark._jvm.org.apache.hadoop.fs.Path, f"{target.rstrip('/')}/_compact"
-    system = paths(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    target, side = target.rstrip("/"), f"{target.rstrip('/')}/_compact"
+    folders = Folders(spark, target)
 
     def finish() -> None:
-        for day, folder in day_folders(spark, side).items():
-            listed = paths(f"{folder}/_sources")
-            if system.exists(listed):
-                stream = system.open(listed)
-                names = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
-                stream.close()
-                for name in names:
-                    system.delete(paths(f"{target}/{day}/{name}"), True)
-                for name, merged in day_folders(spark, folder).items():
-                    system.rename(paths(merged), paths(f"{target}/{day}/{name}"))
-        system.delete(paths(side), True)
+        for day, folder in folders.folders(side).items():
+            if folders.exists(f"{folder}/_sources"):
+                old = f"{folder}/_old"
+                folders.make(old)
+                for name in folders.read_text(f"{folder}/_sources").split("\n"):
+                    if folders.exists(f"{target}/{day}/{name}"):
+                        folders.move(f"{target}/{day}/{name}", f"{old}/{name}")
+                for name, merged in folders.folders(folder).items():
+                    if name != "_old":
+                        folders.move(merged, f"{target}/{day}/{name}")
+        folders.delete(side)
 
     finish()
     days = {n: p for n, p in day_folders(spark, target).items() if n.startswith(f"{DAY}=") and n.removeprefix(f"{DAY}=") < before.isoformat()}
@@ -136,9 +132,7 @@ def compact_days(spark: SparkSession, target: str, schema: StructType, before: d
         rows = _stored(spark, target, schema, [path for found in many.values() for path in found.values()])
         write_partitioned(rows.withColumn(LOAD, F.lit(f"merged-{uuid.uuid4().hex}")), side, [DAY, LOAD])
         for day, found in many.items():
-            out = system.create(paths(f"{side}/{day}/_sources"))
-            out.write(bytearray("\n".join(found).encode()))
-            out.close()
+            folders.write_text(f"{side}/{day}/_sources", "\n".join(found))
         finish()
     return len(many)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.sinks.files import write_partitioned
+from lakeloom.sinks.storage import Folders
 from lakeloom.streaming.incremental import day_folders
 
 
@@ -29,5 +30,4 @@ def load_interval(df: DataFrame, time: str, start: date, end: date, target: str,
     spark = df.sparkSession
     for name, path in day_folders(spark, target).items():
         if name in days - filled:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            Folders(spark, target).delete(path)

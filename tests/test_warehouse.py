@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import pytest
 from conftest import rows
@@ -6,6 +7,7 @@ from conftest import rows
 from lakeloom import schemas
 from lakeloom.operators.quality import QualityError
 from lakeloom.plans import warehouse
+from lakeloom.sinks.publish import published
 from lakeloom.sources.tables import inline_rows
 
 SONGS = [
@@ -100,7 +102,28 @@ def test_run(spark, tmp_path):
             ("artists", 2), ("songplays", 4), ("songs", 4), ("staging_logs", 7), ("staging_songs", 4), ("time", 2), ("users", 2),
         ]
         assert rows(stored["songs"], "song_id", "year", "artist_id")[0] == ("SO1", 2009, "AR1")
-        assert (tmp_path / "out" / "songplays" / "year=2018" / "month=11").exists()
+        version = published(spark, paths[2]).path
+        assert pathlib.Path(version, "songplays", "year=2018", "month=11").exists()
+        star = warehouse.published_star(spark, paths[2])
+        assert {n: df.count() for n, df in star.items()} == {"artists": 2, "songplays": 4, "songs": 4, "time": 2, "users": 2}
+
+
+def test_a_failed_check_leaves_the_old_star(spark, tmp_path):
+    for folder, data in (("songs", SONGS), ("logs", LOGS)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "s.json").write_text("\n".join(json.dumps(x) for x in data))
+    paths = [str(tmp_path / n) for n in ("songs", "logs", "out")]
+    warehouse.run(spark, *paths, rule="title_artist")
+    before = published(spark, paths[2])
+    old = warehouse.published_star(spark, paths[2])
+    (tmp_path / "logs" / "s.json").write_text(json.dumps(LOGS[-1]))
+    with pytest.raises(QualityError, match="songplays has_rows"):
+        warehouse.run(spark, *paths)
+    assert published(spark, paths[2]) == before
+    assert warehouse.published_star(spark, paths[2])["songplays"].count() == 4
+    # Frames made before still read their version; nothing of the failed one is left.
+    assert old["songplays"].count() == 4
+    assert [p.name for p in (tmp_path / "out" / "versions").iterdir()] == [before.version]
 
 
 def test_run_reports_missing_rows(spark, tmp_path):
