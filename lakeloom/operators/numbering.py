@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,3 +52,24 @@ def hashed_key(df: DataFrame, parts: Sequence[str | Column], name: str) -> DataF
     """A key computed from each row alone: no shuffle, and the same on every run."""
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]
     return df.withColumn(name, text_key(*columns))
+
+
+def lasting_keys(batch: DataFrame, known: DataFrame | None, natural: Sequence[str], name: str, first: int = 1) -> DataFrame:
+    """The map of natural keys to surrogate keys after a batch: ``natural`` columns and ``name``.
+
+    Keys in ``known``, the map of earlier batches, keep their number for good. New ones are
+    numbered on from the largest, in their own order, by ``dense_keys``, so no task sees them
+    all; the same batch again adds nothing. Repeated rows are one key. A null part is a
+    value like others, so a key of nulls has one number. Store the result and give it to the
+    next batch; reading and writing one map at a time is up to the caller.
+    """
+    keys = batch.select(*natural).distinct()
+    if known is None:
+        return dense_keys(keys, natural, name, first).select(*natural, name)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in natural])
+    there = known.select(*[F.col(k).alias(f"_known_{k}") for k in natural])
+    new = keys.join(there, same, "left_anti")
+    # One number.
+    last = known.agg(F.max(name)).first()[0]
+    numbered = dense_keys(new, natural, name, first if last is None else last + 1)
+    return known.select(*natural, name).unionByName(numbered.select(*natural, name))

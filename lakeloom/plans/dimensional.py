@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from lakeloom.functions.exact import amount, net_revenue, total
 from lakeloom.functions.text import text_key, timestamp_text
 from lakeloom.operators import modeling, quality
 from lakeloom.operators.dedup import dimension_rows, one_per_key
-from lakeloom.operators.layout import keys_of, replicate_counted
-from lakeloom.operators.numbering import dense_keys
+from lakeloom.operators.layout import keys_of, replicate, replicate_counted
+from lakeloom.operators.history import first_history, merge_history
+from lakeloom.operators.numbering import dense_keys, hashed_key, lasting_keys
 from lakeloom.operators.upsert import upsert
 from lakeloom.plans.olap import places
 from lakeloom.plans.registry import query
@@ -29,6 +32,22 @@ def surrogate_key(t: Tables) -> DataFrame:
     return dense_keys(t.part.select("p_partkey", "p_name"), ["p_partkey"], "part_key")
 
 
+@query("""
+    SELECT ROW_NUMBER() OVER (ORDER BY p_partkey % 3, p_partkey) + 100 AS part_key, p_partkey FROM part""")
+def surrogate_key_incremental(t: Tables) -> DataFrame:
+    """Three batches of keys, each with those before; the last one comes twice."""
+    known = None
+    for n in (1, 2, 3, 3):
+        batch = t.part.where(F.col("p_partkey") % 3 < n)
+        known = checkpointed(lasting_keys(batch, known, ["p_partkey"], "part_key", first=101))
+    return known.select("part_key", "p_partkey")
+
+
+@query("SELECT md5(concat_ws('|', p_brand, CAST(p_partkey AS VARCHAR), p_type)) AS part_key, p_partkey FROM part")
+def hashed_key_part(t: Tables) -> DataFrame:
+    return hashed_key(t.part, ["p_brand", "p_partkey", "p_type"], "part_key").select("part_key", "p_partkey")
+
+
 _WORDS = """
     SELECT p_partkey, p_brand, unnest(range(len(string_split(p_name, ' ')))) AS pos, unnest(string_split(p_name, ' ')) AS word
     FROM part"""
@@ -44,19 +63,27 @@ def explode_1nf(t: Tables) -> DataFrame:
     return _words(t)
 
 
-@query(f"SELECT ROW_NUMBER() OVER (ORDER BY p_partkey, pos) AS word_id, word, p_partkey FROM ({_WORDS})")
+@query(f"""
+    SELECT 'words' AS "table", ROW_NUMBER() OVER (ORDER BY p_partkey, pos) AS word_id, word, p_partkey, CAST(NULL AS VARCHAR) AS p_brand FROM ({_WORDS})
+    UNION ALL SELECT DISTINCT 'parts', NULL, NULL, p_partkey, p_brand FROM ({_WORDS})""")
 def normalize_2nf(t: Tables) -> DataFrame:
-    _, children = modeling.second_normal_form(_words(t), "p_partkey", "word", "word_id", "pos")
-    return children
+    """Both tables of the split: parents, and children with an id each."""
+    parents, children = modeling.second_normal_form(_words(t), "p_partkey", "word", "word_id", "pos")
+    both = children.withColumn("table", F.lit("words")).unionByName(parents.withColumn("table", F.lit("parts")), allowMissingColumns=True)
+    return both.select("table", "word_id", "word", "p_partkey", "p_brand")
 
 
-@query("""
-    SELECT c_custkey, c_name, segment_id FROM customer JOIN (
-        SELECT c_mktsegment, ROW_NUMBER() OVER (ORDER BY c_mktsegment) AS segment_id
-        FROM (SELECT DISTINCT c_mktsegment FROM customer)) USING (c_mktsegment)""")
+_SEGMENTS = "SELECT c_mktsegment, ROW_NUMBER() OVER (ORDER BY c_mktsegment) AS segment_id FROM (SELECT DISTINCT c_mktsegment FROM customer)"
+
+
+@query(f"""
+    SELECT 'customers' AS "table", c_custkey, c_name, segment_id, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer JOIN ({_SEGMENTS}) USING (c_mktsegment)
+    UNION ALL SELECT 'segments', NULL, NULL, segment_id, c_mktsegment FROM ({_SEGMENTS})""")
 def normalize_3nf(t: Tables) -> DataFrame:
-    rows, _ = modeling.third_normal_form(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_mktsegment", "segment_id")
-    return rows
+    """Both tables of the split: rows with a reference, and the values it refers to."""
+    rows, values = modeling.third_normal_form(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_mktsegment", "segment_id")
+    both = rows.withColumn("table", F.lit("customers")).unionByName(values.withColumn("table", F.lit("segments")), allowMissingColumns=True)
+    return both.select("table", "c_custkey", "c_name", "segment_id", "c_mktsegment")
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -74,6 +101,21 @@ def denorm_sales_by_key(t: Tables) -> DataFrame:
     return sales.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("s_suppkey", "s_name", "amount")
 
 
+@query("""
+    SELECT o_orderkey, c_name, o_orderpriority, year(o_orderdate) AS "year", n_lines, amount
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN (SELECT l_orderkey, COUNT(*) AS n_lines, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+          FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""")
+def denorm_transactions(t: Tables) -> DataFrame:
+    """One wide row for each transaction: who, when, how much. Lines are added up first, so
+    each join brings one row for a transaction."""
+    sums = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), total("l_extendedprice", 2).alias("amount"))
+    customers = replicate(t.customer.select("c_custkey", "c_name"))
+    orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.select("o_orderkey", "c_name", "o_orderpriority", F.year("o_orderdate").alias("year"), "n_lines", "amount")
+
+
 # ---- dimensions ------------------------------------------------------------------
 
 
@@ -139,6 +181,32 @@ def dim_store(t: Tables) -> DataFrame:
     return _dates_as_text(store_dimension(t))
 
 
+@query("""
+    WITH batches AS (
+        SELECT DATE '2024-01-01' AS day, c_custkey, c_name, c_mktsegment AS segment FROM customer WHERE c_custkey % 5 <> 0
+        UNION ALL
+        SELECT DATE '2024-02-01', c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END FROM customer
+        UNION ALL
+        SELECT DATE '2024-03-01', c_custkey, c_name, CASE WHEN c_custkey % 11 = 0 THEN 'LEFT' WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END
+        FROM customer WHERE c_custkey % 13 <> 0),
+    changes AS (
+        SELECT *, LAG(segment) OVER (PARTITION BY c_custkey ORDER BY day) AS before FROM batches)
+    SELECT c_custkey, c_name, segment, CAST(day AS VARCHAR) AS start_date,
+           CAST(COALESCE(LEAD(day) OVER (PARTITION BY c_custkey ORDER BY day), CASE WHEN c_custkey % 13 = 0 THEN DATE '2024-03-01' END) AS VARCHAR) AS end_date
+    FROM changes WHERE before IS DISTINCT FROM segment""")
+def dim_customer_history(t: Tables) -> DataFrame:
+    """Three dated lists of customers, the last one twice: segments change, customers come and go."""
+    customers = t.customer.select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"))
+    key, attributes = F.col("c_custkey"), ["c_name", "segment"]
+    moved = customers.withColumn("segment", F.when(key % 7 == 0, "MOVED").otherwise(F.col("segment")))
+    left = moved.withColumn("segment", F.when(key % 11 == 0, "LEFT").otherwise(F.col("segment")))
+    history = first_history(customers.where(key % 5 != 0), "c_custkey", attributes, date(2024, 1, 1))
+    last = left.where(key % 13 != 0)
+    for day, batch in ((date(2024, 2, 1), moved), (date(2024, 3, 1), last), (date(2024, 3, 1), last)):
+        history = checkpointed(merge_history(history, batch, "c_custkey", attributes, day, whole=True))
+    return _dates_as_text(history)
+
+
 _RANKED = """
     SELECT user_id, event_type FROM (
         SELECT user_id, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order}) AS rn FROM events)

@@ -23,8 +23,10 @@ from lakeloom.session import scratch_path
 from lakeloom.sinks import catalog
 from lakeloom.sinks.folders import apply_upsert
 from lakeloom.sinks.files import write_csv, write_documents, write_parquet, write_partitioned
+from lakeloom.sinks.ranged import RangedTable
 from lakeloom.sources import files
 from lakeloom.sources.jsonpaths import json_by_paths
+from lakeloom.sources.quoted import csv_records
 from lakeloom.sources.tables import Tables
 from lakeloom.streaming.eventtime import load_in_event_time
 from lakeloom.streaming.incremental import compact_days, fact_rows, load_new_files
@@ -85,6 +87,29 @@ def lww_table_lookup(t: Tables) -> DataFrame:
     return _last_events(t).store(scratch_path(t.spark, "last_events")).where(user_id=8)
 
 
+@query(_LAST_WRITE)
+def lww_table_merged(t: Tables) -> DataFrame:
+    """Half of the events make the table, the other half is merged in, twice."""
+    columns = ["user_id", "event_type", "event_id", "value", "ts"]
+    events = t.events.select(*columns)
+    later = F.col("event_id") % 2 == 1
+    table = RangedTable.create(events.where(~later), scratch_path(t.spark, "last_events"), ["user_id"], ["event_type"], ["ts", "event_id"], ranges=8)
+    for _ in range(2):
+        table.merge(events.where(later))
+    return table.rows(t.spark).drop("ts")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+    WHERE l_orderkey = (SELECT MIN(o_orderkey) FROM orders WHERE o_orderpriority = '1-URGENT') ORDER BY l_linenumber""")
+def point_lookup_stored(t: Tables) -> DataFrame:
+    """Lines of one order from a stored table, by its key."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    table = RangedTable.create(lines, scratch_path(t.spark, "lines"), ["l_orderkey"], ["l_linenumber"], ranges=8)
+    wanted = t.orders.where(F.col("o_orderpriority") == "1-URGENT").agg(F.min("o_orderkey")).first()[0]
+    return table.where(t.spark, l_orderkey=wanted)
+
+
 # ---- round trips -----------------------------------------------------------------
 
 
@@ -166,6 +191,27 @@ def csv_multiline_load(t: Tables) -> DataFrame:
     return files.csv_files(t.spark, path, schema=rows.schema, header=True, multi_line=True)
 
 
+@query("""
+    SELECT o_orderkey, o_orderstatus || chr(10) || '"' || o_orderpriority || '",' || chr(10) AS note, o_custkey FROM orders""")
+def csv_multiline_split(t: Tables) -> DataFrame:
+    """One large file with line breaks, quotes and commas in its texts, read in many blocks."""
+    spark, path, read = t.spark, scratch_path(t.spark, "multiline"), scratch_path(t.spark, "records")
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('",\n'))
+    rows = t.orders.select("o_orderkey", note.alias("note"), "o_custkey")
+    write_csv(rows.coalesce(1), path, multi_line=True)
+    # The tables here fill a fraction of an ordinary block; smaller ones cut the file.
+    small = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "4096"}
+    old = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        write_parquet(csv_records(spark, path, rows.schema, header=True), read)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    return spark.read.schema(rows.schema).parquet(read)
+
+
 @query("SELECT p_partkey, list_aggregate(string_split(p_name, ' '), 'string_agg', '/') AS words FROM part")
 def array_literal_load(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "words")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ def write_partitioned(
     sort_by: Sequence[str] = (),
     replace_only_present: bool = False,
     watch: Watch | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Parquet in one folder per value of ``by``.
 
@@ -40,7 +41,7 @@ def write_partitioned(
     placed = df.hint("rebalance", *by)
     if sort_by:
         placed = placed.sortWithinPartitions(*by, *sort_by)
-    writer = (watch(placed) if watch else placed).write.partitionBy(*by)
+    writer = (watch(placed) if watch else placed).write.options(**(options or {})).partitionBy(*by)
     if replace_only_present:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
@@ -64,7 +65,9 @@ def write_csv(
         broken = F.raise_error(F.lit("a text holds a line break; write and read it with multi_line=True")).cast("string")
         texts = [f.name for f in chosen.schema.fields if isinstance(f.dataType, StringType)]
         chosen = chosen.withColumns({c: F.when(F.col(c).rlike("[\\r\\n]"), broken).otherwise(F.col(c)) for c in texts})
-    chosen.write.mode(mode).options(header=True, quoteAll=True, quote='"', escape='"', **options).csv(path)
+    # White space at the ends of a text is part of it; the writer would cut it off.
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    chosen.write.mode(mode).options(header=True, quoteAll=True, quote='"', escape='"', **exact, **options).csv(path)
 
 
 def write_documents(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,12 @@ def finish_replacement(spark: SparkSession, target: str) -> None:
     folders.delete(side)
 
 
-def replace_folders(rows: DataFrame, target: str, partition: str) -> None:
+def replace_folders(rows: DataFrame, target: str, partition: str, sort_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> None:
     """Replace the folders of ``partition`` that occur in ``rows``, leaving all others. All
     new folders are written at the side before the first old one goes."""
     spark = rows.sparkSession
     side = f"{target.rstrip('/')}/{SIDE}"
-    write_partitioned(rows, side, [partition])
+    write_partitioned(rows, side, [partition], sort_by=sort_by, options=options)
     Folders(spark, target).write_text(f"{side}/{DONE}", "")
     finish_replacement(spark, target)
 

@@ -8,6 +8,9 @@ import random
 import pytest
 from conftest import rows
 
+from lakeloom.session import scratch_path
+from lakeloom.sinks.files import write_csv
+from lakeloom.sources.files import csv_files
 from lakeloom.sources.quoted import csv_records, quoted_lines, records
 from lakeloom.sources.tables import inline_rows
 
@@ -65,6 +68,16 @@ def test_a_record_over_many_blocks_and_a_break_at_each_edge(spark, tmp_path):
             assert rows(csv_records(spark, str(tmp_path / "x.csv"), schema(spark), header=True)) == data
 
 
+def test_written_texts_keep_their_ends(spark):
+    data = [(1, " a ", "b\n"), (2, "\n", "\t")]
+    path = scratch_path(spark, "ends")
+    write_csv(inline_rows(spark, data, SCHEMA), path, multi_line=True)
+    assert rows(csv_records(spark, path, schema(spark), header=True)) == data
+    path = scratch_path(spark, "ends")
+    write_csv(inline_rows(spark, [(1, " a ", "\t")], SCHEMA), path)
+    assert rows(csv_files(spark, path, schema=SCHEMA, header=True)) == [(1, " a ", "\t")]
+
+
 def test_odd_files(spark, tmp_path):
     path = tmp_path / "x.csv"
     for content, want in (

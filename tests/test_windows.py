@@ -1,3 +1,4 @@
+import contextlib
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeloom.operators.dedup import dimension_rows, last_write_wins, one_per_key
-from lakeloom.operators.windows import mean_between_markers, running_sum
+from lakeloom.operators.windows import mean_between_markers, prefix_sums, running_sum
 from lakeloom.plans import questions
 from lakeloom.sources.tables import inline_rows
 
@@ -24,10 +25,10 @@ def visits(spark):
     return df.withColumn("time", F.timestamp_seconds(F.col("second") + 1541030400)).cache()
 
 
-@pytest.mark.parametrize(("slot", "hot_rows"), [("hour", 1), ("day", 1), ("day", 100), ("minute", 10**6)])
+@pytest.mark.parametrize("hot_rows", [1, 100, 10**6])
 @pytest.mark.parametrize("frame", ["rows", "range"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_running_sum_equals_plain_window(visits, slot, hot_rows, frame, descending):
+def test_running_sum_equals_plain_window(visits, hot_rows, frame, descending):
     by = F.desc_nulls_last("time") if descending else F.asc_nulls_first("time")
     w = Window.partitionBy("user")
     if frame == "rows":
@@ -37,11 +38,51 @@ def test_running_sum_equals_plain_window(visits, slot, hot_rows, frame, descendi
     value = (F.col("page") == "Home").cast("long")
     want = visits.select("id", F.sum(value).over(w).alias("s"))
     got = running_sum(
-        visits, ["user"], "time", value, "s", frame=frame, ties=["id"], descending=descending, slot=slot, hot_rows=hot_rows
+        visits, ["user"], "time", value, "s", frame=frame, ties=["id"], descending=descending, hot_rows=hot_rows
     )
     assert rows(got, "id", "s") == rows(want)
 
 
+@contextlib.contextmanager
+def many_ranges(spark):
+    """Small shuffles keep their partitions, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("frame", ["rows", "range"])
+def test_a_hot_key_with_all_rows_in_one_moment(spark, frame):
+    """No task holds more than a part of its rows, and the sums are those of one window."""
+    n = 8000
+    df = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 != 0, 1).alias("u"), F.lit(5).alias("t"), (F.col("id") % 4).alias("v"))
+    with many_ranges(spark):
+        got = running_sum(df, ["u"], "t", F.col("v"), "s", frame=frame, ties=["id"], hot_rows=100).collect()
+        parts = prefix_sums(df, ["u"], [F.asc("t"), F.asc("id")], "v", "s").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in parts.collect()) < n / 3
+    w = Window.partitionBy("u").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    w = w if frame == "rows" else Window.partitionBy("u").orderBy("t").rangeBetween(Window.unboundedPreceding, 0)
+    assert sorted(((r.id, r.s) for r in got), key=repr) == rows(df.select("id", F.sum("v").over(w).alias("s")))
+
+
+def test_input_is_read_twice_at_most(spark, tmp_path):
+    """Once for the counts of keys; then once for the window, or once to split hot keys off."""
+    spark.range(3000).select("id", (F.col("id") % 5).alias("u"), F.col("id").alias("t")).write.parquet(str(tmp_path / "in"))
+    for hot_rows in (10, 10**6):
+        read = spark.sparkContext.accumulator(0)
+
+        def seen(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        df = spark.read.parquet(str(tmp_path / "in")).mapInArrow(seen, "id bigint, u bigint, t bigint")
+        assert running_sum(df, ["u"], "t", F.lit(1), "s", ties=["id"], hot_rows=hot_rows).where("s > 0").count() == 3000
+        assert read.value <= 2 * 3000
+
+
 def test_frames_differ_only_on_equal_times(spark):
     df = inline_rows(spark, [(1, 1, 10, 1), (2, 1, 10, 1), (3, 1, 20, 1)], "id int, u int, s int, v int")
     df = df.withColumn("t", F.timestamp_seconds("s"))
