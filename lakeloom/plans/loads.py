@@ -14,7 +14,7 @@ from lakeloom.functions.text import timestamp_text
 from lakeloom.functions.times import in_year
 from lakeloom.operators.lookup import QueryTable
 from lakeloom.operators.modeling import date_dimension
-from lakeloom.operators.quality import Observed, observed_counts
+from lakeloom.operators.quality import Observed, observed_counts, require
 from lakeloom.operators import upsert as conflicts
 from lakeloom.operators.weblogs import parse_log, top_counts
 from lakeloom.plans.logs import _LINES, log_lines
@@ -27,7 +27,7 @@ from lakeloom.sinks.ranged import RangedTable
 from lakeloom.sources import files
 from lakeloom.sources.jsonpaths import json_by_paths
 from lakeloom.sources.quoted import csv_records
-from lakeloom.sources.tables import Tables
+from lakeloom.sources.tables import Tables, inline_rows, stored_table
 from lakeloom.streaming.eventtime import load_in_event_time
 from lakeloom.streaming.incremental import compact_days, fact_rows, load_new_files
 from lakeloom.streaming.intervals import load_interval
@@ -292,11 +292,75 @@ def staged_load(t: Tables) -> DataFrame:
         catalog.load_fact(staging.where(F.col("event_type") == event_type), names["facts"])
     catalog.load_dimension(staging.select("user_id").distinct(), names["users"])
     catalog.load_dimension(date_dimension(staging, "ts"), names["dates"])
-    counts = [
-        spark.table(full).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n, full in names.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    # One number for each table, counted before the tables are dropped.
+    counts = [(n, spark.table(full).count()) for n, full in names.items()]
+    catalog.drop_tables(spark, list(names.values()))
+    return inline_rows(spark, counts, "table_name string, row_count bigint")
+
+
+@query("""
+    SELECT 'loaded' AS step, COUNT(*) AS n_rows FROM orders
+    UNION ALL SELECT 'selected', COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+    UNION ALL SELECT 'cleared', 0
+    UNION ALL SELECT 'tables left', 0""")
+def insert_select_drop(t: Tables) -> DataFrame:
+    """Create and load a table, check it, select from it into another, clear it, drop both."""
+    spark, run = t.spark, uuid.uuid4().hex[:12]
+    source, chosen = f"orders_{run}", f"urgent_{run}"
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    orders = t.orders.select(*columns)
+    folder = scratch_path(spark, "insert_select")
+    require(catalog.create_and_load(orders, source, orders.schema, folder))
+    catalog.create_tables(spark, {chosen: orders.schema}, folder)
+    catalog.insert_select(stored_table(spark, source).where("o_orderpriority = '1-URGENT'"), chosen)
+    steps = [("loaded", stored_table(spark, source).count()), ("selected", stored_table(spark, chosen).count())]
+    catalog.clear_table(spark, source)
+    steps.append(("cleared", stored_table(spark, source).count()))
+    catalog.drop_tables(spark, [source, chosen])
+    steps.append(("tables left", sum(spark.catalog.tableExists(n) for n in (source, chosen))))
+    return inline_rows(spark, steps, "step string, n_rows bigint")
+
+
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def json_tree_load(t: Tables) -> DataFrame:
+    """Documents in a tree of folders, below one root."""
+    root = scratch_path(t.spark, "order_tree")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    rows.withColumn("folder", F.col("o_orderkey") % 3).write.partitionBy("folder").json(root)
+    return files.json_tree(t.spark, root, rows.schema)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_inferred_load(t: Tables) -> DataFrame:
+    """Documents of a glob whose schema is inferred."""
+    root = scratch_path(t.spark, "customer_documents")
+    write_documents(t.customer.select("c_custkey", "c_name", "c_acctbal"), f"{root}/one")
+    return files.json_glob(t.spark, f"{root}/*/*.json").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def gzip_single_load(t: Tables) -> DataFrame:
+    """One gzip file, spread over tasks after it is unpacked."""
+    path = scratch_path(t.spark, "suppliers")
+    rows = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
+    rows.coalesce(1).write.options(sep=";", compression="gzip").csv(path)
+    return files.gzip_single(t.spark, path, rows.schema, partitions=4)
+
+
+@query("""
+    SELECT flag, meaning, COUNT(*) AS n_lines FROM lineitem
+    JOIN (VALUES ('R', 'returned'), ('A', 'accepted'), ('N', 'open')) AS m(flag, meaning) ON l_returnflag = flag GROUP BY flag, meaning""")
+def inline_rows_join(t: Tables) -> DataFrame:
+    """Literal rows as a small table beside a large one, which is folded first."""
+    meanings = inline_rows(t.spark, [("R", "returned"), ("A", "accepted"), ("N", "open")], "flag string, meaning string")
+    counted = t.lineitem.groupBy(F.col("l_returnflag").alias("flag")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return counted.join(meanings, "flag").select("flag", "meaning", "n_lines")
+
+
+@query(_LAST_WRITE + " AND event_type = 'click'")
+def lookup_without_key(t: Tables) -> DataFrame:
+    """A filter that does not follow the table's key: a whole scan, which has to be asked for."""
+    return _last_events(t).where(strict=False, event_type="click")
 
 
 _EVENTS_TEXT = """

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.exact import from_units, net_revenue, units
 from lakeloom.functions.times import in_month, in_year
-from lakeloom.operators.layout import replicate
+from lakeloom.operators.layout import estimated_bytes, replicate
 from lakeloom.plans.registry import query
 from lakeloom.plans.olap import REV_SCALE, places
 from lakeloom.session import scratch_path
-from lakeloom.sinks.catalog import write_bucketed
+from lakeloom.sinks.catalog import drop_tables, write_bucketed
+from lakeloom.sinks.files import write_parquet
 from lakeloom.sources.tables import Tables
 
 
+#: Bytes of lines, by Catalyst's estimate, that a bucket is made for.
+BUCKET_BYTES = 256 << 20
+
+
 def discounted() -> Column:
     return units(F.col("l_extendedprice") * F.col("l_discount"), REV_SCALE)
 
@@ -103,16 +108,16 @@ def ssb_same_dist(t: Tables) -> DataFrame:
     return by_ship_date(joined, discounted())
 
 
-def part_buckets(t: Tables, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+def part_buckets(t: Tables, buckets: int | None = None, run: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Daily sales per part, and parts, stored in matching buckets.
 
     Lines are summed to one row per part and day before they are bucketed: a part with
-    a third of all lines fills its bucket with no more rows than there are days. The
-    number of buckets is that of shuffle partitions, which a cluster sizes to its data.
+    a third of all lines fills its bucket with no more rows than there are days. There are
+    as many buckets as the lines have blocks of ``BUCKET_BYTES``, and one for each core.
     """
-    buckets = buckets or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(t.spark.sparkContext.defaultParallelism, estimated_bytes(t.lineitem) // BUCKET_BYTES)
     daily = t.lineitem.groupBy("l_partkey", "l_shipdate").agg(F.sum(discounted()).alias("revenue"))
-    run = uuid.uuid4().hex
+    run = run or uuid.uuid4().hex
     sales = write_bucketed(
         daily, f"daily_part_sales_{run}", ["l_partkey"], buckets, ["l_partkey", "l_shipdate"], scratch_path(t.spark, "sales")
     )
@@ -128,4 +133,8 @@ def same_dist_join(sales: DataFrame, parts: DataFrame) -> DataFrame:
 
 @query(_SAME_DIST)
 def ssb_same_dist_bucketed(t: Tables) -> DataFrame:
-    return same_dist_join(*part_buckets(t))
+    """The answer is kept, so that the tables can be dropped again."""
+    run, path = uuid.uuid4().hex, scratch_path(t.spark, "daily_sales")
+    write_parquet(same_dist_join(*part_buckets(t, run=run)), path)
+    drop_tables(t.spark, [f"daily_part_sales_{run}", f"parts_{run}"])
+    return t.spark.read.parquet(path).orderBy("ship_date")

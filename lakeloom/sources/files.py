@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 Schema = StructType | str
 
@@ -32,30 +32,42 @@ def json_glob(spark: SparkSession, glob: str, schema: Schema | None = None) -> D
     return reader.json(glob)
 
 
+def _by_name(text: Column, target: StructType) -> Column:
+    """A struct of the target's fields from a JSON object's text. Its names are folded once,
+    in a list that every field looks into."""
+    folded = F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v")))
+
+    def field(entries: Column, name: str, kind: DataType) -> Column:
+        value = F.get(F.filter(entries, lambda e: (e["k"] == name.lower()) & e["v"].isNotNull()), F.lit(0))["v"]
+        if isinstance(kind, StructType):
+            return _by_name(value, kind)
+        if isinstance(kind, ArrayType):
+            texts = F.from_json(value, "array<string>")
+            if isinstance(kind.elementType, StructType):
+                return F.transform(texts, lambda x: _by_name(x, kind.elementType))
+            return F.transform(texts, lambda x: x if kind.elementType == StringType() else x.try_cast(kind.elementType))
+        return value if kind == StringType() else value.try_cast(kind)
+
+    # A list of one, so that the entries are bound once, not computed for each field.
+    row = F.transform(F.array(folded), lambda e: F.struct(*[field(e, f.name, f.dataType).alias(f.name) for f in target.fields]))
+    return F.when(folded.isNotNull(), F.get(row, F.lit(0)))
+
+
 def json_by_name(
     spark: SparkSession, path: str | list[str], target: StructType, ignore_case: bool = True
 ) -> DataFrame:
-    """JSON lines whose fields map to the target columns by name.
+    """JSON lines whose fields map to the target columns by name, at any depth.
 
     The JSON reader matches names letter by letter. To ignore case each line is read
     as a map, still in one pass and without inferring a schema; where several
-    spellings occur in one line the first non-null one counts.
+    spellings occur in one object the first non-null one counts. A field of the target may
+    be a struct, or an array of structs or values: what a line has there is read in the
+    same way. A line that is no object gives a row of nulls.
     """
     if not ignore_case:
         return spark.read.schema(target).json(path)
-    fields = F.from_json("value", "map<string,string>")
-    entries = spark.read.text(path).select(F.map_entries(fields).alias("entries"))
-
-    def lookup(name: str):
-        same = F.filter("entries", lambda e: (F.lower(e["key"]) == name.lower()) & e["value"].isNotNull())
-        return F.get(same, F.lit(0))["value"]
-
-    return entries.select(
-        *[
-            (lookup(f.name) if f.dataType == StringType() else lookup(f.name).try_cast(f.dataType)).alias(f.name)
-            for f in target.fields
-        ]
-    )
+    rows = spark.read.text(path).select(_by_name(F.col("value"), target).alias("r"))
+    return rows.select(*[F.col("r")[f.name].alias(f.name) for f in target.fields])
 
 
 def csv_files(

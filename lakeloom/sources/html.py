@@ -13,8 +13,10 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Ship this module's code with each task, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -89,52 +91,114 @@ class Node:
         return "".join(out)
 
 
-class _Tree(HTMLParser):
+class _Open(HTMLParser):
+    """Follows which elements are open. Subclasses are told of each element (``opened``, with
+    its depth), of the depth below which all are closed (``closed``), and of texts."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = Node("", {})
-        self.open = [self.root]
+        self.tags = [""]
+        self._drawings = 0
+
+    def opened(self, tag: str, attrs: list[tuple[str, str | None]], depth: int) -> None:
+        raise NotImplementedError
+
+    def closed(self, depth: int) -> None:
+        raise NotImplementedError
+
+    def _cut(self, depth: int) -> None:
+        self._drawings -= sum(t in ("svg", "math") for t in self.tags[depth:])
+        del self.tags[depth:]
+        self.closed(depth)
 
     def _end_before(self, ended, within) -> None:
         """End the nearest open element of ``ended``, unless one of ``within`` is nearer."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in ended:
-                del self.open[depth:]
+        for depth in range(len(self.tags) - 1, 0, -1):
+            if self.tags[depth] in ended:
+                self._cut(depth)
                 return
-            if self.open[depth].tag in within:
+            if self.tags[depth] in within:
                 return
 
-    def _add(self, tag, attrs) -> Node:
+    def _start(self, tag, attrs, alone: bool) -> None:
         if tag in ENDS_PARAGRAPH:
             self._end_before({"p"}, PARAGRAPH_SCOPE)
         if tag in ENDED_BY:
-            ended, within = ENDED_BY[tag]
-            self._end_before(ended, within)
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].content.append(node)
-        return node
+            self._end_before(*ENDED_BY[tag])
+        self.opened(tag, attrs, len(self.tags))
+        if tag in VOID or alone:
+            self.closed(len(self.tags))
+        else:
+            self.tags.append(tag)
+            self._drawings += tag in ("svg", "math")
 
     def handle_starttag(self, tag, attrs):
-        node = self._add(tag, attrs)
-        if tag not in VOID:
-            self.open.append(node)
+        self._start(tag, attrs, False)
 
     def handle_startendtag(self, tag, attrs):
-        node = self._add(tag, attrs)
         # Only void elements and those of an inline drawing end at a slash.
-        if tag not in VOID and not any(n.tag in ("svg", "math") for n in self.open) and tag not in ("svg", "math"):
-            self.open.append(node)
+        self._start(tag, attrs, self._drawings > 0 or tag in ("svg", "math"))
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
+        for depth in range(len(self.tags) - 1, 0, -1):
+            if self.tags[depth] == tag:
+                self._cut(depth)
                 return
 
+
+class _Tree(_Open):
+    def __init__(self) -> None:
+        super().__init__()
+        self.root = Node("", {})
+        self.open = [self.root]
+
+    def opened(self, tag, attrs, depth):
+        node = Node(tag, {k: v or "" for k, v in attrs})
+        self.open[-1].content.append(node)
+        self.open.append(node)
+
+    def closed(self, depth):
+        del self.open[depth:]
+
     def handle_data(self, data):
         self.open[-1].content.append(data)
 
 
+class _Elements(_Open):
+    """Titles and links of a page as they go by, without a tree: what is kept is their texts.
+    Titles of inline drawings are none, and a title within a title is part of it."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.found: list[tuple[str, str | None, list[str]]] = []
+        self._listening: list[tuple[int, list[str]]] = []
+        self._in_title = 0
+
+    def opened(self, tag, attrs, depth):
+        if tag == "a":
+            href = next((v or "" for k, v in reversed(attrs) if k == "href"), None)
+            if href is None:
+                return
+            entry = ("link", href, [])
+        elif tag == "title" and not self._drawings and not self._in_title:
+            entry = ("title", None, [])
+            self._in_title = depth
+        else:
+            return
+        self.found.append(entry)
+        self._listening.append((depth, entry[2]))
+
+    def closed(self, depth):
+        if self._in_title >= depth:
+            self._in_title = 0
+        while self._listening and self._listening[-1][0] >= depth:
+            self._listening.pop()
+
+    def handle_data(self, data):
+        for _, texts in self._listening:
+            texts.append(data)
+
+
 def parse_html(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)
@@ -163,22 +227,46 @@ def extract_rows(
     return pages.select(id_col, html_col).mapInPandas(run, f"{id_col} {id_type}, pos int, {fields}")
 
 
+def page_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Titles and links of every page from one parse: the page's id, ``kind`` (title or link),
+    ``pos`` among those of its kind, ``href`` (null for titles) and ``text``. Arrow batches,
+    without a tree of the page. A null page has none."""
+    kind = pages.schema[id_col].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                ids, kinds, places, hrefs, texts = [], [], [], [], []
+                for page_id, html in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    if not html.is_valid:
+                        continue
+                    parser, seen = _Elements(), {"title": 0, "link": 0}
+                    parser.feed(html.as_py())
+                    parser.close()
+                    for what, href, heard in parser.found:
+                        ids.append(page_id)
+                        kinds.append(what)
+                        places.append(seen[what])
+                        hrefs.append(href)
+                        texts.append("".join(heard))
+                        seen[what] += 1
+                columns = [pa.array(ids, part.schema.field(0).type), pa.array(kinds, pa.string()), pa.array(places, pa.int32()), pa.array(hrefs, pa.string()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "kind", "pos", "href", "text"])
+
+    return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, kind string, pos int, href string, text string")
+
+
 def page_titles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """The text of each ``<title>``."""
-    return extract_rows(
-        pages, id_col, html_col, lambda root: [(n.all_text(),) for n in root.titles()], "title string"
-    )
+    found = page_elements(pages, id_col, html_col).where("kind = 'title'")
+    return found.select(id_col, "pos", F.col("text").alias("title"))
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Every ``<a href>`` with its link text, in page order."""
-    return extract_rows(
-        pages,
-        id_col,
-        html_col,
-        lambda root: [(n.attrs["href"], n.all_text()) for n in root.walk() if n.tag == "a" and "href" in n.attrs],
-        "href string, link_text string",
-    )
+    found = page_elements(pages, id_col, html_col).where("kind = 'link'")
+    return found.select(id_col, "pos", "href", F.col("text").alias("link_text"))
 
 
 def _product(card: Node) -> tuple:

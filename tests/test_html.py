@@ -1,6 +1,9 @@
-from conftest import rows
+from conftest import plan_text, rows
+from hypothesis import given
+from hypothesis import strategies as st
 
-from lakeloom.sources.html import page_links, page_titles, product_items
+from lakeloom.sources.html import _Elements, page_elements, page_links, page_titles, parse_html, product_items
+from lakeloom.sources.tables import inline_rows
 
 CARD = """
 <article class="product_pod">
@@ -51,3 +54,29 @@ def test_open_paragraphs_end_at_blocks(spark):
     assert rows(product_items(pages)) == [(1, 0, "T", "£1", "In stock", "One", "catalogue/1/index.html")]
     drawing = spark.createDataFrame([(1, "<title>Page</title><svg><title>Icon</title></svg>")], "page_id int, html string")
     assert rows(page_titles(drawing), "title") == [("Page",)]
+
+
+PIECES = [
+    '<a href="x">', "<a>", '<A HREF=y name="z">', "</a>", "<p>", "</p>", "<div>", "</div>", "<svg>", "</svg>", "<title>", "</title>", "<li>", "<ul>", "</ul>",
+    "<br>", "<br/>", "<svg/>", "<td>", "</table>", "text ", "&amp;", "<script>a</script>", "<!-- c -->", '<a href="s"/>', "</x>", "<math>", '<a href="q" href>',
+]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=25))
+def test_elements_equal_those_of_the_tree(pieces):
+    """Titles and links without a tree are those that a walk over the tree finds."""
+    html = "".join(pieces)
+    root, events = parse_html(html), _Elements()
+    events.feed(html)
+    events.close()
+    links = [(n.attrs["href"], n.all_text()) for n in root.walk() if n.tag == "a" and "href" in n.attrs]
+    titles = [n.all_text() for n in root.titles()]
+    assert [(h, "".join(t)) for k, h, t in events.found if k == "link"] == links
+    assert ["".join(t) for k, _, t in events.found if k == "title"] == titles
+
+
+def test_titles_and_links_from_one_parse(spark):
+    pages = inline_rows(spark, [(1, '<title>T</title><a href="a">x<b>y</b></a><a href="b">z'), (2, None), (3, "")], "page_id int, html string")
+    found = page_elements(pages)
+    assert rows(found) == [(1, "link", 0, "a", "xy"), (1, "link", 1, "b", "z"), (1, "title", 0, None, "T")]
+    assert plan_text(found).count("MapInArrow") == 1

@@ -53,6 +53,34 @@ def test_paths_of_one_text_share_a_parse(spark):
     assert plan_text(simple).count("from_json") + plan_text(simple).count("JsonToStructs") <= 1
 
 
+def test_brackets_and_places_share_one_parse(spark):
+    lines = ['{"a":{"b":[1,{"c":"x"}],"d e":1.5},"f":true}', '{"a":{"b":[]}}', "broken", None, '{"a":1,"a":2,"f":"g"}', '[{"a":1}]']
+    df = inline_rows(spark, [(i, x) for i, x in enumerate(lines)], "id int, j string")
+    paths = ["$['a']['d e']", "$.a.b[1].c", "$['a'].b[0]", "$.f", "$.a", "$.a.b[*].c"]
+    target = inline_rows(spark, [], "d double, c string, b int, f string, a string, w string").schema
+    got = select_paths(df, "j", paths, target, keep=["id"])
+    assert rows(got.select("id", "d", "c", "b", "f")) == [
+        (0, 1.5, "x", 1, "true"), (1, None, None, None, None), (2, None, None, None, None), (3, None, None, None, None), (4, None, None, None, "g"), (5, None, None, None, None),
+    ]
+    assert rows(got.where("id in (0, 1)").select("id", "a")) == [(0, '{"b":[1,{"c":"x"}],"d e":1.5}'), (1, '{"b":[]}')]
+    plan = plan_text(select_paths(df, "j", paths[:5], target[:5]))
+    assert plan.count("parseJson(") == 1
+    named = select_paths(df, "j", ["$['a']['d e']", '$["f"]'], target[:2])
+    assert "parseJson" not in plan_text(named) and "get_json_object" not in plan_text(named)
+
+
+def test_nested_targets_by_name(spark, tmp_path):
+    (tmp_path / "x.json").write_text(
+        '{"USER":{"Id":5,"Tags":["a","b"],"Plays":[{"SONG":"x","n":"2"},{"song":null,"Song":"y"}]},"Level":"free"}\n{"user":7}\n{"user":{"ID":null,"id":3}}\n[]\n'
+    )
+    target = inline_rows(spark, [], "user struct<id:int,tags:array<string>,plays:array<struct<song:string,n:int>>>, level string").schema
+    found = [(None if r.user is None else r.user.asDict(True), r.level) for r in files.json_by_name(spark, str(tmp_path), target).collect()]
+    assert found == [
+        ({"id": 5, "tags": ["a", "b"], "plays": [{"song": "x", "n": 2}, {"song": "y", "n": None}]}, "free"),
+        (None, None), ({"id": 3, "tags": None, "plays": None}, None), (None, None),
+    ]
+
+
 def test_json_by_paths(spark, tmp_path):
     (tmp_path / "log.json").write_text('{"ts": 12, "user": {"id": "7"}, "x": "?"}\n{"ts": null}\n')
     (tmp_path / "map.txt").write_text(json.dumps({"jsonpaths": ["$['ts']", "$.user.id", "$.x"]}))
