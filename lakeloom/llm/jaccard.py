@@ -4,23 +4,25 @@ Two sets with a Jaccard similarity of at least s differ in at most (a + b)(1 - s
 elements, a and b being their sizes. Sizes fall into bands; a set takes part in the bands
 that its own size and that of a larger partner can fall into, and in a band whose largest
 size is r no linked pair differs in more than k = 2r(1 - s)/(1 + s) elements. In each band
-the domain of elements is split by hash into somewhat more than k parts. Of more than k
-parts, a pair that differs in k elements must agree in one, so the hash of a part's content
-is a signature that linked sets share: with one part per difference, the subsets of parts
-that PartEnum enumerates are the single parts.
-
-A set gives the signatures of its parts with at least t elements, t being the largest number
-for which more than k parts have as many. Of two linked sets take the one with the larger t:
-more than k of its parts are that large, one of them is the same in both, and the other set
-gives it too. So parts of few elements, which unrelated texts may share, are left out without
-losing a link. Small sets whose elements crowd into k parts or fewer also give a signature
-for each element; two such sets that are linked share one.
-
-Equal sets are one node. Sets that share a signature are candidates, checked exactly: first
-each against two partners of its signature group, then, where a group still lies in several
-components, across these. A set's parities, one bit for each of a thousand classes of
-elements, rule out most pairs that are not linked before whole sets are compared. Pairs inside a component need no check, so groups of thousands
-of near copies do not turn into all their pairs.
+the domain of elements is split by hash into more than k parts. A pair that differs in k
+elements agrees in all parts but k, so of any k + 1 parts of a set that hold something one
+is the same in a linked set: the hash of a part's content is the signature they share, the
+subsets of parts being single parts.
+
+Which k + 1 parts count may be chosen by any property of their content, the same for all
+sets: take of two linked sets the stricter one; the part they share passes for the other
+too. Here the rarest signatures are chosen, those with the fewest sets. So passages that many
+texts share do not bring them together: a text has enough parts with something of its own,
+and often those alone prove that it has no partner. Sets whose elements crowd into k parts or
+fewer give all parts and each element; two such sets that are linked share an element.
+
+Equal sets are one node. Sets that share a chosen signature are candidates: first each is
+checked against two partners of its signature group. Where a group still lies in several
+components its sets meet once more in a task, without becoming rows for each pair: their
+parities, one bit for each of a thousand classes of elements, are compared as arrays, and
+only pairs of different components that sizes and parities do not rule out come out, to be
+checked exactly. Large groups are dealt out in blocks. Pairs inside a component need no
+check, so groups of thousands of near copies do not turn into all their pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
-from lakeloom.llm.storage import stored
+from lakeloom.llm.storage import discard, stored
 from lakeloom.operators.layout import many_to_one, replicate_counted
 
 WORDS, PERCENT = 5, 80
@@ -46,8 +48,8 @@ _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27
 #: Hashes of words that a worker keeps before starting anew, and sets it remembers as given.
 _MOST_KEPT = 1_000_000
 _PARITY_BITS = 1024
-#: Documents of different components in one signature's group that are paired as they are.
-_SMALL = 24
+#: Sets of one signature that a task compares at once; larger groups are dealt out in blocks.
+_BLOCK = 8192
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -93,60 +95,29 @@ def _bands(percent: int) -> list[int]:
     return tops
 
 
-def signatures(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """PartEnum signatures of a set of 64-bit hashes; none for an empty set."""
+def signatures(elements: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of a set of 64-bit hashes, with the band of each and the number of
+    signatures that the band can ``spare`` (-1: none may be left out)."""
     n = len(elements)
     if not n:
-        return np.empty(0, dtype=_U)
+        return np.empty(0, dtype=_U), np.empty(0, dtype=np.int16), np.empty(0, dtype=np.int32)
     tops = _bands(percent)
-    out = []
+    out, bands, spares = [], [], []
     for band in range(bisect_left(tops, n), bisect_left(tops, n * 100 // percent) + 1):
         k = 2 * tops[band] * (100 - percent) // (100 + percent)
         n_parts = 1 if not k else k + 2 + k // 5
         part = ((elements >> _U(20)) % _U(n_parts)).astype(np.int64)
-        sizes = np.bincount(part, minlength=n_parts)
         order = np.argsort(part, kind="stable")
-        filled = np.flatnonzero(sizes)
-        starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
+        filled, starts = np.unique(part[order], return_index=True)
         content = np.add.reduceat(_mix(elements + _U(band))[order], starts)
-        name = _mix(content ^ _mix((_U(band) << _U(40)) + filled.astype(_U)))
-        having = np.sort(sizes[filled])[::-1]
-        least = int(having[k]) if len(having) > k else 0
-        out.append(name[sizes[filled] >= least])
-        if not least:
-            out.append(_mix(elements ^ _U(0xA5A5A5A5 + band)))
-    return np.unique(np.concatenate(out))
-
-
-def fine_signatures(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Signatures of larger contents, for sets that plain ones bring together in large groups.
-
-    There are half as many parts, so of linked sets more than half of them differ in one
-    element or none. Each part is split into four; leaving out the quarter that differs, the
-    other three are the same in both sets. A set gives the contents with at least t elements,
-    t being the largest number for which more than half of k parts have as many whichever
-    quarter is left out; the rest of the argument is that of ``signatures``."""
-    n = len(elements)
-    if not n:
-        return np.empty(0, dtype=_U)
-    tops = _bands(percent)
-    out = []
-    for band in range(bisect_left(tops, n), bisect_left(tops, n * 100 // percent) + 1):
-        most = tops[band] * (100 - percent) // (100 + percent)  # parts that may differ in two or more
-        n_parts = most + 2 + most // 5
-        cell = ((elements >> _U(20)) % _U(n_parts)).astype(np.int64) * 4 + (elements >> _U(60)).astype(np.int64) % 4
-        counts = np.bincount(cell, minlength=4 * n_parts)
-        order, filled = np.argsort(cell, kind="stable"), np.flatnonzero(counts)
-        sums = np.zeros(4 * n_parts, dtype=_U)
-        sums[filled] = np.add.reduceat(_mix(elements + _U(band + 999))[order], np.concatenate([[0], np.cumsum(counts[filled])[:-1]]))
-        sums, counts = sums.reshape(-1, 4), counts.reshape(-1, 4)
-        content, sizes = sums.sum(axis=1, keepdims=True) - sums, counts.sum(axis=1, keepdims=True) - counts
-        least = int(np.sort(sizes.min(axis=1))[::-1][most])
-        name = _mix(content ^ _mix((_U(band + 1) << _U(44)) + np.arange(4 * n_parts, dtype=_U).reshape(-1, 4)))
-        out.append(name[sizes >= max(least, 1)])
-        if not least:
-            out.append(_mix(elements ^ _U(0x5A5A5A5A + band)))
-    return np.unique(np.concatenate(out))
+        found = _mix(content ^ _mix((_U(band) << _U(40)) + filled.astype(_U)))
+        spare = len(filled) - (k + 1)
+        if spare < 0:
+            found = np.concatenate([found, _mix(elements ^ _U(0xA5A5A5A5 + band))])
+        out.append(found)
+        bands.append(np.full(len(found), band, dtype=np.int16))
+        spares.append(np.full(len(found), max(spare, -1), dtype=np.int32))
+    return np.concatenate(out), np.concatenate(bands), np.concatenate(spares)
 
 
 def _parity(elements: np.ndarray) -> np.ndarray:
@@ -176,17 +147,16 @@ def _sets(docs: DataFrame, words: int, id_column: str, text_column: str) -> Data
     return docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(run, f"id {kind}, k1 bigint, k2 bigint, n bigint, parity array<bigint>")
 
 
-def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str, fine: bool = False) -> DataFrame:
-    """``sig`` and ``k1`` of every text; a task gives those of equal sets once."""
-    signatures_of = fine_signatures if fine else signatures
+def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str) -> DataFrame:
+    """``sig``, ``k1``, ``band`` and ``spare`` of every text; a task gives those of equal sets once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i in range(0, len(texts), 1000):
-                keys, sigs, counts = [], [], []
-                for text in texts[i : i + 1000]:
+            texts = batch.column(0)
+            for i in range(0, len(texts), 500):
+                keys, found_rows = [], []
+                for text in texts.slice(i, 500).to_pylist():
                     found = shingles(text, words)
                     key = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
                     if not len(found) or key in seen:
@@ -194,47 +164,138 @@ def _signature_rows(docs: DataFrame, words: int, percent: int, text_column: str,
                     if len(seen) >= _MOST_KEPT:
                         seen.clear()
                     seen.add(key)
-                    own = signatures_of(found, percent)
                     keys.append(key)
-                    sigs.append(own)
-                    counts.append(len(own))
+                    found_rows.append(signatures(found, percent))
                 if keys:
-                    columns = [np.concatenate(sigs).view(np.int64), np.repeat(np.array(keys, dtype=np.int64), counts)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "k1"])
+                    sig, band, spare = (np.concatenate(c) for c in zip(*found_rows, strict=True))
+                    key_rows = np.repeat(np.array(keys, dtype=np.int64), [len(r[0]) for r in found_rows])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (sig.view(np.int64), key_rows, band, spare)], ["sig", "k1", "band", "spare"])
 
-    return docs.select(text_column).mapInArrow(run, "sig bigint, k1 bigint")
+    return docs.select(text_column).mapInArrow(run, "sig bigint, k1 bigint, band smallint, spare int")
 
 
-def _shingle_arrays(docs: DataFrame, words: int) -> DataFrame:
+def _chosen(rows: DataFrame) -> DataFrame:
+    """``sig`` and ``k1`` of the signatures that several sets have and that are among the rarest
+    of their set and band."""
+    # Rows of a signature meet in one task: some numbers each, equal sets folded before.
+    group = Window.partitionBy("sig")
+    shared = rows.withColumns({"_least": F.min("k1").over(group), "_most": F.max("k1").over(group), "size": F.count(F.lit(1)).over(group)})
+    shared = shared.where("_least < _most").drop("_least", "_most").distinct()
+    # All signatures that only one set has come first; of the others as many are needed as
+    # exceed what the band can spare, and those of equal size with the last of them.
+    of_set = Window.partitionBy("k1", "band")
+    ranked = shared.withColumns({"_rank": F.row_number().over(of_set.orderBy("size", "sig")), "_shared": F.count(F.lit(1)).over(of_set)})
+    needed = F.when(F.col("spare") < 0, F.col("_shared")).otherwise(F.col("_shared") - F.col("spare"))
+    bound = F.max(F.when(F.col("_rank") == needed, F.col("size"))).over(of_set)
+    return ranked.withColumn("_bound", bound).where("size <= _bound").select("sig", "k1").distinct()
+
+
+def _set_arrays(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["rep", "elements"])
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                found = [shingles(t, words) for t in part.column(1).to_pylist()]
+                keys = [xxhash.xxh3_64_intdigest(f.tobytes()) - (1 << 63) for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(keys, pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))], ["id", "k1", "elements"]
+                )
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"rep {kind}, elements array<bigint>")
+    return docs.select("id", "text").mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, k1 bigint, elements array<bigint>")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that sizes and parities do not rule out."""
-    left = nodes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    right = nodes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    """Pairs (a, b) of nodes that sizes and parities do not rule out."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     joined = pairs.join(left, "a").join(right, "b")
     return joined.where(near & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, unique_ids: bool) -> DataFrame:
-    """Pairs (a, b) whose sets are similar enough. Texts of documents in pairs are read again."""
-    wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
-    chosen = docs.join(replicate_counted(wanted), "id", "left_semi")
-    sets = stored(_shingle_arrays(chosen if unique_ids else chosen.dropDuplicates(["id"]), words), "elements")
-    left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("_ea"))
-    right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("_eb"))
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes whose sets are similar enough, stored. Texts of documents in pairs
+    are read again; of a repeated id the text that has the node's set counts."""
+    wanted = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    chosen = docs.join(replicate_counted(wanted.select("node.id").distinct()), "id", "left_semi")
+    arrays = _set_arrays(chosen, words).select(F.struct("id", "k1").alias("node"), "elements")
+    sets = stored(arrays.groupBy("node").agg(F.first("elements").alias("elements")), "elements")
+    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("_ea"))
+    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("_eb"))
     common = F.size(F.array_intersect("_ea", "_eb"))
     either = F.size("_ea") + F.size("_eb") - common
-    return pairs.join(left, "a").join(right, "b").where(common * 100 >= F.lit(percent) * either).select("a", "b")
+    found = stored(pairs.join(left, "a").join(right, "b").where(common * 100 >= F.lit(percent) * either).select("a", "b"), "links")
+    discard(wanted, sets)
+    return found
+
+
+def near_pairs(n: np.ndarray, component: np.ndarray, parity: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different components, not both of side 1 or both of side 2, that
+    sizes and parities do not rule out."""
+    order = np.argsort(n, kind="stable")
+    n, component, parity, side = n[order], component[order], parity[order], side[order]
+    lefts, rights = [], []
+    for start in range(0, len(n), 64):
+        stop = min(start + 64, len(n))
+        # Sets beyond the size that the largest of these can be linked to are not near.
+        end = int(np.searchsorted(n, n[stop - 1] * 100 // percent, side="right"))
+        x, y = slice(start, stop), slice(start, end)
+        met = (component[x, None] != component[None, y]) & (n[x, None] * 100 >= n[None, y] * percent)
+        met &= np.arange(start, stop)[:, None] < np.arange(start, end)[None, :]
+        met &= (side[x, None] != side[None, y]) | (side[x, None] == 0)
+        a, b = np.nonzero(met)
+        for i in range(0, len(a), 1 << 16):
+            p, q = a[i : i + (1 << 16)] + start, b[i : i + (1 << 16)] + start
+            differ = np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1, dtype=np.int64)
+            close = differ * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+            lefts.append(order[p[close]])
+            rights.append(order[q[close]])
+    return (np.concatenate(lefts), np.concatenate(rights)) if lefts else (np.empty(0, dtype=np.int64),) * 2
+
+
+def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of keys (x, y) from rows of ``sig``, ``members``, ``k1``, ``n``, ``comp`` (a number for
+    the component) and ``parity``: sets of one signature in different components."""
+    blocks = F.ceil(F.col("members") / F.lit(_BLOCK))
+    own = F.pmod(F.xxhash64("k1"), blocks)
+    # A group of several blocks goes to a task for each two of them.
+    deals = F.transform(F.sequence(F.lit(0).cast("bigint"), blocks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), F.when(own < other, 1).when(own > other, 2).otherwise(0).alias("side")))
+    dealt = rows.select("sig", "k1", "n", "comp", "parity", F.explode(deals).alias("d")).select("sig", "d.i", "d.j", "d.side", "k1", "n", "comp", "parity")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(parts: list[tuple]) -> pa.RecordBatch | None:
+            keys, n, comp, parity, side = (np.concatenate(c) for c in zip(*parts, strict=True))
+            a, b = near_pairs(n, comp, parity, side, percent)
+            low, high = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["x", "y"]) if len(a) else None
+
+        current, held = None, []
+        for batch in batches:
+            sig, i, j, side, keys, n, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(7))
+            lists = batch.column(7)
+            parity = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) if len(lists) else np.empty((0, 1), dtype=np.int64)
+            names = np.stack([sig, i, j], axis=1)
+            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if start == stop:
+                    continue
+                name = tuple(names[start].tolist())
+                if held and name != current:
+                    found = pairs(held)
+                    if found is not None:
+                        yield found
+                    held = []
+                current = name
+                part = slice(start, stop)
+                held.append((keys[part], n[part], comp[part], parity[part], side[part]))
+        if held:
+            found = pairs(held)
+            if found is not None:
+                yield found
+
+    sorted_rows = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return sorted_rows.mapInArrow(run, "x bigint, y bigint")
 
 
 def similar_groups(
@@ -243,61 +304,46 @@ def similar_groups(
     """Each row's id, ``n_shingles`` and ``component_id``, the least id its links reach.
 
     A text without words (or null) has an empty set and is linked with nothing, one with
-    fewer than ``words`` words is one element. Rows with a repeated id are one node if
-    their texts are equal. Columns other than the two named are not read.
+    fewer than ``words`` words is one element. A row with a null id is no node: it has
+    the component of rows with its very set, or null. Rows with a repeated id are nodes of
+    their own if their sets differ. Columns other than the two named are not read.
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     members = stored(_sets(docs, words, "id", "text"), "sets")
     sets = members.where("n > 0 and id is not null").groupBy("k1", "k2")
     reps = stored(sets.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("parity").alias("parity")), "reps")
-    unique_ids = not members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
 
-    # Rows of a signature meet in one task: a hash and a key each, equal sets folded before.
-    group = Window.partitionBy("sig")
-    rows = _signature_rows(docs, words, percent, "text")
-    shared = rows.select("*", F.min("k1").over(group).alias("least"), F.max("k1").over(group).alias("most")).where("least < most")
-    keyed = stored(shared, "signatures")
-    nodes = stored(reps.join(keyed.select("k1").distinct(), "k1").select("k1", "rep", "n", "parity"), "nodes")
-    named = replicate_counted(nodes.select("k1", "rep", "n"))
-
-    def by_reps(pairs: DataFrame) -> DataFrame:
-        """Pairs of keys as pairs of documents, the lower first."""
-        x, y = named.select(F.col("k1").alias("x"), F.col("rep").alias("rx")), named.select(F.col("k1").alias("y"), F.col("rep").alias("ry"))
-        return pairs.join(x, "x").join(y, "y").where("rx != ry").select(F.least("rx", "ry").alias("a"), F.greatest("rx", "ry").alias("b"))
-
-    ends = keyed.select(F.col("k1").alias("x"), F.explode(F.array("least", "most")).alias("y")).where("x != y").distinct()
+    keyed = stored(_chosen(_signature_rows(docs, words, percent, "text")), "signatures")
+    named = reps.select("k1", F.struct(F.col("rep").alias("id"), "k1").alias("node"), "n", "parity")
+    nodes = stored(named.join(keyed.select("k1").distinct(), "k1"), "nodes")
+    by_key = replicate_counted(nodes.select("k1", "node"))
+
+    def by_nodes(pairs: DataFrame) -> DataFrame:
+        """Pairs of keys as pairs of nodes, the lower first."""
+        x, y = by_key.select(F.col("k1").alias("x"), F.col("node").alias("nx")), by_key.select(F.col("k1").alias("y"), F.col("node").alias("ny"))
+        return pairs.join(x, "x").join(y, "y").where("nx != ny").select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b"))
+
+    groups = keyed.groupBy("sig").agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count(F.lit(1)).alias("members")).where("least < most")
+    groups = stored(groups, "groups")
+    in_groups = many_to_one(keyed, groups, ["sig"], "inner")
+    ends = in_groups.select(F.col("k1").alias("x"), F.explode(F.array("least", "most")).alias("y")).where("x != y").distinct()
+    # Different sets with one 64-bit key, if there ever are any.
     same_key = nodes.groupBy("k1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("k1").alias("x"), F.col("k1").alias("y"))
-    tried = stored(by_reps(ends.unionByName(same_key)).distinct(), "pairs")
+    tried = stored(by_nodes(ends.unionByName(same_key)).distinct(), "pairs")
     first = stored(_plausible(tried, nodes, percent), "plausible")
-    links = stored(_verified(first, docs, words, percent, unique_ids), "links")
+    links = _verified(first, docs, words, percent)
     joined = components(links, "a", "b")
 
-    labels = nodes.select("k1", "rep", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = stored(labels.select("k1", "rep", "n", F.coalesce("component", "rep").alias("comp")), "components")
-    named = replicate_counted(labels)
-
-    def open_groups(rows: DataFrame) -> DataFrame:
-        """Rows of signatures whose documents lie in several components, with their number."""
-        found = rows.join(named, "k1").withColumns({"_lo": F.min("comp").over(group), "_hi": F.max("comp").over(group), "members": F.count(F.lit(1)).over(group)})
-        return found.where("_lo < _hi").drop("_lo", "_hi")
-
-    def pairs_across(rows: DataFrame) -> DataFrame:
-        x, y = rows.alias("x"), rows.alias("y")
-        near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-        met = x.join(y, F.col("x.sig") == F.col("y.sig")).where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & near)
-        return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-
-    left = stored(open_groups(keyed.select("sig", "k1")), "open")
-    # Small groups give their pairs. Documents of larger ones, mostly passages that many
-    # texts share, meet again by signatures that hardly anything but linked texts share.
-    small, large = left.where(F.col("members") <= _SMALL), left.where(F.col("members") > _SMALL).select(F.col("rep").alias("id")).distinct()
-    again = docs.join(replicate_counted(stored(large, "large")), "id", "left_semi")
-    fine = open_groups(_signature_rows(again, words, percent, "text", fine=True).distinct())
-    across = pairs_across(small).unionByName(pairs_across(stored(fine, "fine"))).distinct().join(tried, ["a", "b"], "left_anti")
-    second = stored(_plausible(across, nodes, percent), "plausible")
-    if second.limit(1).count():
-        more = stored(_verified(second, docs, words, percent, unique_ids), "links")
-        joined = components(links.unionByName(more), "a", "b")
+    labels = nodes.join(joined, "node", "left").select("k1", "n", "parity", F.xxhash64(F.coalesce("component", "node")).alias("comp"))
+    labels = stored(labels.dropDuplicates(["k1"]), "components")
+    placed = many_to_one(in_groups.select("sig", "k1", "members"), labels.select("k1", "comp"), ["k1"])
+    split = stored(placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig"), "open")
+    still_open = many_to_one(in_groups.select("sig", "k1", "members"), split.withColumn("_open", F.lit(True)), ["sig"], "inner")
+    across = _pairs_across(many_to_one(still_open.drop("_open"), labels, ["k1"]), percent).distinct()
+    more = stored(by_nodes(across).join(tried, ["a", "b"], "left_anti"), "pairs")
+    if more.limit(1).count():
+        joined = components(links.unionByName(_verified(more, docs, words, percent)), "a", "b")
+    discard(keyed, groups, tried, first, split, labels, more)
     own = many_to_one(members.drop("parity"), reps.select("k1", "k2", "rep"), ["k1", "k2"])
-    found = many_to_one(own, joined.select(F.col("node").alias("rep"), "component"), ["rep"])
+    found = many_to_one(own, joined.select(F.col("node.id").alias("rep"), F.col("node.k1").alias("k1"), F.col("component.id").alias("component")), ["rep", "k1"])
     return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))

@@ -44,6 +44,18 @@ def brute(texts, words=5, percent=80):
     return {k: (len(sets[k]), find(k)) for k in texts}
 
 
+def chosen(elements, percent=80):
+    """Signatures of a set after the choice, sizes of groups being any function of a signature."""
+    sig, band, spare = jaccard.signatures(elements, percent)
+    out = []
+    for b in np.unique(band):
+        own = sig[band == b]
+        size = (own // np.uint64(7)) % np.uint64(5) + np.uint64(1)
+        needed = len(own) - max(int(spare[band == b][0]), 0)
+        out += own[size <= np.sort(size)[needed - 1]].tolist()
+    return out
+
+
 @pytest.mark.parametrize("percent", [80, 90, 60])
 def test_linked_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)
@@ -56,8 +68,7 @@ def test_linked_sets_share_a_signature(percent):
         b = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, int(rng.integers(0, most - gone + 1)), dtype=np.uint64)]))
         common = len(np.intersect1d(a, b))
         if 100 * common >= percent * (len(a) + len(b) - common):
-            for make in (jaccard.signatures, jaccard.fine_signatures):
-                assert set(make(a, percent).tolist()) & set(make(b, percent).tolist()), (a, b)
+            assert set(chosen(a, percent)) & set(chosen(b, percent)), (a, b)
             differ = int(np.bitwise_count((jaccard._parity(a) ^ jaccard._parity(b)).view(np.uint64)).sum())
             assert differ <= len(a) + len(b) - 2 * common
 
@@ -65,7 +76,62 @@ def test_linked_sets_share_a_signature(percent):
 def test_crowded_small_sets_share_a_signature():
     # All elements in one part: the set gives a signature for each element as well.
     base = (np.arange(1, 9, dtype=np.uint64) << np.uint64(20)) * np.uint64(12)
-    assert set(jaccard.signatures(base).tolist()) & set(jaccard.signatures(base[1:]).tolist())
+    assert set(chosen(base)) & set(chosen(base[1:]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_arrays_equal_a_double_loop(seed):
+    rng = np.random.default_rng(seed)
+    size = 300
+    n, comp, side = rng.integers(1, 60, size), rng.integers(0, 20, size), rng.integers(0, 3, size)
+    parity = rng.integers(0, 4, (size, 3))
+    want = set()
+    for i in range(size):
+        for j in range(i):
+            near = min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 80
+            differ = int(np.bitwise_count(parity[i] ^ parity[j]).sum())
+            if near and comp[i] != comp[j] and (side[i] != side[j] or side[i] == 0) and differ * 180 <= (n[i] + n[j]) * 20:
+                want.add((j, i))
+    a, b = jaccard.near_pairs(n, comp, parity, side, 80)
+    assert sorted(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)) == sorted(want) and want
+
+
+def family(seed, size, words=60):
+    """Near copies of one text, on both sides of the threshold, and a passage that all share."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    texts = {i: " ".join(edited(rng, base, rng.randrange(5))) for i in range(size)}
+    passage = " ".join(f"shared{i}" for i in range(30))
+    return texts | {1000 + i: passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(40)) for i in range(size)}
+
+
+@pytest.mark.parametrize("block", [7, 8192])
+def test_a_family_across_the_threshold_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "_BLOCK", block)
+    texts = family(block, 60)
+    want = brute(texts)
+    assert len({c for _, c in want.values()}) > 61
+    rows = jaccard.similar_groups(frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+
+
+def test_shared_passages_meet_in_no_pair(spark):
+    """Texts that share a passage have enough rare signatures to do without those of the passage."""
+    rng = random.Random(3)
+    passage = " ".join(f"shared{i}" for i in range(25))
+    texts = {i: passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(80)) for i in range(80)}
+    docs = frame(spark, texts).select("text")
+    assert jaccard._chosen(jaccard._signature_rows(docs, 5, 80, "text")).count() <= len(texts) // 4
+
+
+def test_one_id_with_different_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "q r s t u v"), (2, "Q R s t u v"), (3, "a b c d e f")], "doc_id bigint, text string")
+    rows = sorted((r.doc_id, r.component_id) for r in jaccard.similar_groups(docs).collect())
+    assert rows == [(1, 1), (1, 1), (2, 1), (3, 1)]
+    long = [f"w{i}" for i in range(80)]
+    near = edited(random.Random(1), long, 1)
+    docs = spark.createDataFrame([(5, " ".join(long)), (5, "other words stand here instead"), (4, " ".join(near)), (6, "none")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.component_id) for r in jaccard.similar_groups(docs).collect()) == [(4, 4), (5, 4), (5, 5), (6, 6)]
 
 
 def edited(rng, words, n):
@@ -93,9 +159,8 @@ def frame(spark, texts):
     return spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
 
 
-@pytest.mark.parametrize("seed,small", [(1, 24), (2, 1)])
-def test_components_equal_brute_force(spark, seed, small, monkeypatch):
-    monkeypatch.setattr(jaccard, "_SMALL", small)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_brute_force(spark, seed):
     texts = corpus(seed) | {900: None, 901: "", 902: " \n", 903: "\x85", 904: "\x85"}
     rows = jaccard.similar_groups(frame(spark, texts)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(texts)
