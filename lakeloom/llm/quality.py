@@ -73,18 +73,27 @@ def measure_text(text: str | None) -> tuple[int, ...]:
 
 
 def measure(docs: DataFrame, keep: Sequence[str], text_column: str = "text") -> DataFrame:
-    """The columns ``keep`` and, in a struct ``_m``, the measures of each row's text."""
+    """The columns ``keep`` and, in a struct ``_m``, the measures of each row's text. The names
+    ``_m``, ``base_failed``, ``quality`` and ``kept`` are taken by this module and refused in
+    ``keep``. A text that is kept travels once, and texts are measured a few hundred at a time."""
+    taken = {c.lower() for c in keep} & {"_m", "base_failed", "quality", "kept"}
+    if taken:
+        raise ValueError(f"rename the columns {sorted(taken)}")
     fields = [docs.schema[c] for c in keep]
     inner = pa.struct([(m, pa.int64()) for m in MEASURES])
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["_m struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">"])
+    sent = [*keep] if text_column in keep else [text_column, *keep]
+    at, first = sent.index(text_column), len(sent) - len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([measure_text(t) for t in batch.column(0).to_pylist()], dtype=np.int64).reshape(-1, len(MEASURES))
-            struct = pa.StructArray.from_arrays([pa.array(found[:, i].copy()) for i in range(len(MEASURES))], fields=list(inner))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], struct], [*keep, "_m"])
-
-    return docs.select(F.col(text_column).alias("_text"), *keep).mapInArrow(run, schema)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                found = np.array([measure_text(t.as_py()) for t in batch.column(at)], dtype=np.int64).reshape(-1, len(MEASURES))
+                struct = pa.StructArray.from_arrays([pa.array(found[:, i].copy()) for i in range(len(MEASURES))], fields=list(inner))
+                yield pa.RecordBatch.from_arrays([*batch.columns[first:], struct], [*keep, "_m"])
+
+    return docs.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(run, schema)
 
 
 def base_failed() -> Column:

@@ -14,6 +14,7 @@ a hash of their id; scoring covers every row and needs no shuffle.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
@@ -27,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled texts of each class to learn from, and entries of a lexicon.
-MOST_TRAINING, MOST_ENTRIES = 12_000, 4_000
+from lakeloom.llm.storage import discard, stored
+
+#: Labelled texts of each class to learn from.
+MOST_TRAINING = 12_000
 #: Word beginnings tried as entries, in letters.
 PREFIXES = range(4, 10)
 #: Toxic texts that an entry needs at least, and the least log-odds.
@@ -36,11 +39,12 @@ LEAST_TEXTS, LEAST_ODDS = 4, 3.0
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOK_ALIKE = str.maketrans(
-    "абвгдеѕіјкмнорстухѵьԁԛԝһαβεηικνορτυχωı" + "013457",
-    "abbrdesijkmhopctyxvbdqwhabenikvoptuxwi" + "oieast",
+    "абвгдеѕіјкмнорстухѵьԁԛԝһαβεηικνορτυχωı" + "0123456789",
+    "abbrdesijkmhopctyxvbdqwhabenikvoptuxwi" + "oizeasbtbg",
 )
-_SIGNS = {"@": "a", "$": "s"}
-_SIGN_IN_WORD = re.compile(r"[@$](?=\w)")
+_SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
+#: A sign stands for a letter where one follows, and the last two only inside a word.
+_SIGN_IN_WORD = re.compile(r"[@$](?=\w)|(?<=\w)[!|](?=\w)")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 _NO_LETTER = re.compile(r"[^a-z\u0080-\U0010ffff]+")
 
@@ -50,7 +54,7 @@ def fold(text: str) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFKD", _HIDDEN.sub("", text))
         text = "".join([c for c in text if not unicodedata.combining(c)]) if not text.isascii() else text
-    if "@" in text or "$" in text:
+    if "@" in text or "$" in text or "!" in text or "|" in text:
         text = _SIGN_IN_WORD.sub(lambda m: _SIGNS[m[0]], text)
     text = text.lower().translate(LOOK_ALIKE)
     text = _NO_LETTER.sub(" ", text)
@@ -103,10 +107,18 @@ def hits(folded: str, lexicon: Lexicon) -> list[float]:
             excused.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    for start, end in excused:
-        for at in [at for at in best if start <= at < end]:
-            del best[at]
-    return list(best.values())
+    if not excused:
+        return list(best.values())
+    excused.sort()
+    kept, i, reach = [], 0, -1
+    # Hits and excused spans in one sweep: a hit counts if no span that has begun reaches beyond it.
+    for at in sorted(best):
+        while i < len(excused) and excused[i][0] <= at:
+            reach = max(reach, excused[i][1])
+            i += 1
+        if at >= reach:
+            kept.append(best[at])
+    return kept
 
 
 def evidence(folded: str, lexicon: Lexicon) -> float:
@@ -176,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     or clean texts the lexicon is empty and every score is low."""
     chosen = F.broadcast(_sampled(labels, id_column, label_column))  # at most about twice MOST_TRAINING rows
     training = docs.select(id_column, F.col(text_column).alias("text")).join(chosen, id_column).select("text", "_label").dropDuplicates()
-    training = training.cache()
+    training = stored(training, "training")
     try:
         sizes = {r["_label"]: r["n"] for r in training.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
         n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -184,10 +196,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
             return Lexicon((), (), 1.0, -4.0)
         odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
         candidates = (
-            _counted(training).withColumn("odds", odds).where((F.col("toxic") >= LEAST_TEXTS) & (F.col("odds") >= LEAST_ODDS))
-            .orderBy(F.desc("toxic"), F.desc("odds"), "feature").limit(MOST_ENTRIES).collect()
+            _counted(training).withColumn("odds", odds).where((F.col("toxic") >= LEAST_TEXTS) & (F.col("odds") >= LEAST_ODDS)).drop("clean")
         )
-        entries = _cover([(r.feature, frozenset(r.texts), float(r.odds)) for r in candidates], n_toxic)
+        # Features of the very same toxic texts explain the same: one of them stands for all,
+        # so words of a text that was copied often are one candidate. What reaches the driver
+        # is bounded by the training texts, places in them packed as four-byte numbers.
+        alike = candidates.groupBy(F.xxhash64(F.sort_array("texts"))).agg(F.max(F.struct("odds", F.length("feature").alias("_length"), "feature", "texts")).alias("c"))
+        places: dict[int, int] = {}
+        entries = _cover(
+            [(r.c.feature, np.array([places.setdefault(t, len(places)) for t in r.c.texts], dtype=np.int32), float(r.c.odds)) for r in alike.toLocalIterator()], n_toxic
+        )
         draft = Lexicon(tuple(entries), (), 1.0, -4.0)
         exceptions = _exceptions(training, draft)
         draft = Lexicon(draft.entries, tuple(exceptions), 1.0, -4.0)
@@ -204,31 +222,38 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         slope, bias = _fit_curve(np.repeat(x, n.astype(int)), np.repeat(y, n.astype(int)))
         return Lexicon(draft.entries, draft.exceptions, slope, bias)
     finally:
-        training.unpersist()
+        discard(training)
 
 
-def _cover(candidates: Sequence[tuple[str, frozenset, float]], n_toxic: int) -> list[tuple[str, float]]:
+def _cover(candidates: Sequence[tuple[str, np.ndarray, float]], n_toxic: int) -> list[tuple[str, float]]:
     """Entries that explain toxic texts: again and again the one that occurs in most texts
     without an entry, the longer of equals, then frequent ones that no entry begins. Words
-    that only come along in copies of a toxic text explain nothing new and stay out."""
-    left = {key for _, texts, _ in candidates for key in texts}
+    that only come along in copies of a toxic text explain nothing new and stay out.
+
+    ``candidates`` are features with the numbers of their texts and their log-odds. What a
+    candidate adds only falls, so a heap of what it added when last looked at is enough."""
+    size = 1 + max((int(texts.max()) for _, texts, _ in candidates if len(texts)), default=-1)
+    left = np.ones(size, dtype=bool)
+    in_order = sorted(candidates, key=lambda c: (len(c[0]), c[0]), reverse=True)
+    heap = [(-len(texts), place) for place, (_, texts, _) in enumerate(in_order)]
+    heapq.heapify(heap)
     chosen: dict[str, float] = {}
-    rest = {feature: (texts, odds) for feature, texts, odds in candidates}
-    gain = {feature: len(texts) for feature, (texts, _) in rest.items()}
-    while rest:
-        feature = max(gain, key=lambda f: (gain[f], len(f), f))
-        texts, odds = rest[feature]
-        now = len(texts & left)
-        if now < gain[feature]:
-            gain[feature] = now
+    while heap:
+        gain, place = heap[0]
+        feature, texts, odds = in_order[place]
+        now = int(left[texts].sum())
+        if now < -gain:
+            heapq.heapreplace(heap, (-now, place))
             continue
         if now < LEAST_TEXTS:
             break
+        heapq.heappop(heap)
         chosen[feature] = odds
-        left -= texts
-        del rest[feature], gain[feature]
-    for feature, (texts, odds) in rest.items():
-        if len(texts) >= max(2 * LEAST_TEXTS, 0.01 * n_toxic) and odds >= LEAST_ODDS + 2 and not any(feature.startswith(c) for c in chosen):
+        left[texts] = False
+    begins = set(chosen)
+    for _, place in heap:
+        feature, texts, odds = in_order[place]
+        if len(texts) >= max(2 * LEAST_TEXTS, 0.01 * n_toxic) and odds >= LEAST_ODDS + 2 and not any(feature[:n] in begins for n in range(1, len(feature) + 1)):
             chosen[feature] = odds
     return sorted(chosen.items())
 
@@ -260,18 +285,26 @@ def _exceptions(training: DataFrame, lexicon: Lexicon) -> list[str]:
 
     counted = training.select("text", F.col("_label").cast("int")).mapInArrow(phrases, "phrase string, clean bigint, toxic bigint").groupBy("phrase")
     kept = counted.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") == 0) & (F.col("clean") >= LEAST_TEXTS))
-    return sorted(r.phrase for r in kept.orderBy(F.desc("clean"), "phrase").limit(MOST_ENTRIES).collect())
+    # No more than words of the training texts.
+    return sorted(r.phrase for r in kept.select("phrase").collect())
 
 
 def score(docs: DataFrame, lexicon: Lexicon, keep: Sequence[str], text_column: str = "text", name: str = "score") -> DataFrame:
-    """The columns ``keep`` and the score of each row's whole text, in one pass without a
-    shuffle. A null or empty text gets the score of no evidence."""
+    """The columns ``keep`` and the score of each row's whole text, as column ``name``, which
+    ``keep`` must not hold, in one pass without a shuffle. A null or empty text gets the
+    score of no evidence. A text that is kept travels once."""
+    if name.lower() in {c.lower() for c in keep}:
+        raise ValueError(f"there is a column {name} already; give another name for the score")
     fields = [docs.schema[c] for c in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{name}` double"])
+    sent = [*keep] if text_column in keep else [text_column, *keep]
+    at, first = sent.index(text_column), len(sent) - len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [score_text(t, lexicon) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*keep, name])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                scores = [score_text(t.as_py(), lexicon) for t in batch.column(at)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[first:], pa.array(scores, pa.float64())], [*keep, name])
 
-    return docs.select(F.col(text_column).alias("_text"), *keep).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(run, schema)

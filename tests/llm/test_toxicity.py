@@ -1,8 +1,12 @@
 """Toxicity: folding, lexicon, exceptions, held-out labels, edge cases."""
 
+import pathlib
+import time
 import zlib
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from lakeloom.llm import toxicity
 from lakeloom.llm.toxicity import Lexicon, evidence, fold, score_text
@@ -65,5 +69,54 @@ def test_query_against_held_out_labels(spark, tables):
     for key, r in rows.items():
         assert r.held_out == (zlib.crc32(str(key).encode()) % 5 == 0)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
-    labels = [r for r in tables.labels.collect() if rows[r.doc_id].held_out]
-    assert sum(rows[r.doc_id].predicted == r.toxic for r in labels) >= 0.9 * len(labels)
+
+
+def test_held_out_recall_and_false_positives(spark):
+    """Toxic and clean labels apart: saying 0 always would catch nothing."""
+    from lakeloom.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    if not pathlib.Path(folder).exists():
+        pytest.skip("no test tables")
+    rows = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, folder).collect()}
+    labels = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if rows[r.doc_id].held_out]
+    toxic, clean = ([rows[r.doc_id].predicted for r in labels if r.toxic == k] for k in (1, 0))
+    assert toxic and sum(toxic) >= 0.6 * len(toxic) and sum(clean) <= 0.05 * len(clean)
+
+
+def naive(folded, lexicon):
+    """Weights of hits by looking for every entry and phrase at every place."""
+    best = {}
+    for at in range(len(folded)):
+        weights = [w for e, w in lexicon.entries if folded.startswith(e, at) and w > 0]
+        excused = any(start <= at < start + len(p) - 1 for p in lexicon.exceptions for start in range(len(folded)) if folded.startswith(p, start))
+        if weights and not excused:
+            best[at] = max(weights)
+    return sorted(best.values())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["gro", "grob", "grobnik", "stew", "a", "grobnik stew", "x grob"]), max_size=12))
+def test_hits_against_a_search_at_every_place(words):
+    lexicon = toxicity.Lexicon(((" gro", 1.5), (" grobnik ", 2.5), (" st", 0.5)), (" grobnik stew ", " x grob "), 1.0, -4.0)
+    folded = fold(" ".join(words))
+    assert sorted(toxicity.hits(folded, lexicon)) == naive(folded, lexicon)
+
+
+def test_long_texts_take_linear_time():
+    lexicon = toxicity.Lexicon(((" grob", 1.5),), (" grob stew ",), 1.0, -4.0)
+    folded = fold("grob stew " * 200_000)
+    start = time.process_time()
+    assert toxicity.hits(folded, lexicon) == []
+    assert time.process_time() - start < 10
+
+
+def test_folding_of_digits_and_signs_in_words():
+    assert fold("h8ful sc!m 6a9 wow! p|g") == " hbful scim bag wow pig "
+
+
+def test_names_that_are_taken(spark):
+    docs = spark.createDataFrame([(1, "a", 0.5)], "doc_id bigint, text string, score double")
+    with pytest.raises(ValueError):
+        toxicity.score(docs, LEXICON, docs.columns)
+    assert toxicity.score(docs, LEXICON, docs.columns, name="s").columns == ["doc_id", "text", "score", "s"]
