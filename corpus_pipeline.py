@@ -20,29 +20,46 @@ from lakeloom.operators.layout import replicate_counted
 from lakeloom.session import tune
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below one half. The lexicon is learnt from labelled
     documents of four ids in five, so the fifth still tells how well it does."""
     labels = table(spark, sf_dir, "labels").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
-    scored = toxicity.score(docs, toxicity.learn(docs, labels), docs.columns, name="_score")
-    return scored.where("_score < 0.5").select(docs.columns)
+    name = unused(docs, "score")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels), docs.columns, name=name)
+    return scored.where(F.col(name) < 0.5).select(docs.columns)
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are more likely good than bad."""
-    model = quality.learn(stored(quality.measure(docs, []), "quality"))
-    return quality.judged(quality.measure(docs, docs.columns), model).where("kept").select(docs.columns)
+    # Whatever the columns are called, here they have plain names.
+    safe = [f"c{i}" for i in range(len(docs.columns))]
+    text = safe[docs.columns.index("text")]
+    measured = stored(quality.measure(docs.toDF(*safe), safe, text), "quality")
+    kept = quality.judged(measured, quality.learn(measured)).where("kept")
+    return kept.select(*[F.col(s).alias(c) for s, c in zip(safe, docs.columns, strict=True)])
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group that links connect."""
-    groups = stored(jaccard.similar_groups(docs), "groups")
-    copies = groups.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(replicate_counted(copies), "doc_id", "left_anti").select(docs.columns)
-    seen = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if seen.limit(1).count():
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    """The document with the least id of each group that links connect. A document is an id
+    with a text, so one id with several texts is several documents; of equal rows one stays."""
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    name = unused(docs, "document")
+    keyed = docs.withColumn(name, key)
+    groups = stored(jaccard.similar_groups(keyed.select(name, "text"), id_column=name), "groups")
+    copies = groups.where(F.col(name) != F.col("component_id")).select(name).distinct()
+    kept = keyed.join(replicate_counted(copies), name, "left_anti")
+    if groups.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        known = F.col(name).isNotNull()
+        kept = kept.where(known).dropDuplicates([name]).unionByName(kept.where(~known))
+    return kept.select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
