@@ -7,7 +7,8 @@ pass takes the text below the host's winning paths; a page that has none of them
 own best container is not among them and holds far more, uses its own best container.
 
 Elements for menus, notices, adverts, forms, comments and the like are left out by tag,
-role, class or id, hidden ones too. Pages need not be well-formed.
+role, class or id, hidden ones and paragraphs too; what is left out only for being a form or for
+its class is kept after all where it holds the article. Pages need not be well-formed.
 """
 
 from __future__ import annotations
@@ -18,13 +19,16 @@ from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.layout import many_to_one, replicate_counted
 
-#: Paths of a host that count as winning: the first with this share of the best one's votes.
-WINNING_SHARE, WINNING_PATHS = 0.05, 8
+#: Paths of a host that count as winning: those with this share of the best one's votes.
+WINNING_SHARE = 0.05
+#: An element left out only for being a form or for its class is kept after all if it holds
+#: this share of a page's text and a main heading, or the second on a page without one.
+MOSTLY, NEARLY_ALL = 0.5, 0.9
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
@@ -32,8 +36,8 @@ _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select canvas audio video title".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style noscript template iframe object svg annotation textarea select canvas audio video title".split())
+INLINE = frozenset("math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder mstyle mspace semantics a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CONTAINERS = frozenset("body div section article main td blockquote".split())
 LEFT_OUT = frozenset("nav footer aside form button dialog menu head fieldset".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -58,38 +62,99 @@ _ENDS = {
 }
 
 
+KEPT, SOFT, HARD = 0, 1, 2
+
+
 @lru_cache(maxsize=20_000)
-def _about(tag: str, rest: str, inside_article: bool) -> tuple[bool, str]:
-    """Whether an element is left out, and its step of a path."""
+def _about(tag: str, rest: str, inside_article: bool) -> tuple[int, str]:
+    """Whether an element is kept, left out for being a form or for its class (soft) or for
+    what it is (hard), and its step of a path."""
     found = {name.lower(): (value or "").strip("\"'") for name, value in _ATTRIBUTE.findall(rest)}
     classes = sorted({re.sub(r"\d+", "#", c) for c in found.get("class", "").lower().split()})
     step = ".".join([tag, *classes])
+    if tag == "form":
+        return SOFT, step
     if tag in LEFT_OUT or tag == "header" and not inside_article:
-        return True, step
+        return HARD, step
     if tag in ("html", "body", "article", "main"):
-        return False, step
+        return KEPT, step
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True, step
+        return HARD, step
     if found.get("role", "").lower() in LEFT_OUT_ROLES:
-        return True, step
+        return HARD, step
     words = set(_WORD.findall(_CAMEL.sub(" ", found.get("class", "") + " " + found.get("id", "")).lower()))
     out = bool(words & SURELY_OUT) or bool(words & (LIKELY_OUT - {"header"} if inside_article else LIKELY_OUT)) and not words & CONTENT
-    return out, step
+    return SOFT if out else KEPT, step
 
 
 class Page:
-    """Blocks of a page in order, each below its chain of elements."""
+    """Blocks of a page in order, each below its chain of elements.
+
+    A path is a number for its parent's path and a step, so a deep page takes no more memory
+    than it has elements; it is spelt out where it is voted for."""
 
     def __init__(self, source: str):
+        self._steps: dict[tuple[int, str], int] = {}
+        self._spelt: list[tuple[int, str]] = [(-1, "")]
+        self._begin()
+        self._read(source, frozenset())
+        exempt = self._holding_most()
+        if exempt:
+            self._begin()
+            self._read(source, exempt)
+
+    def _begin(self) -> None:
         # Of each element: its parent, its path and whether it may be a container.
-        self.parent, self.path, self.container = [-1], [""], [False]
+        self.parent, self.path, self.container = [-1], [0], [False]
         # Of each kept block: its element, its text, and the characters of it in links.
         self.blocks: list[tuple[int, str, int]] = []
         # Characters of text that is left out, by element.
         self.other: dict[int, int] = {}
-        self._read(source)
+        # Elements left out softly, and those that are or hold a main heading.
+        self._soft: list[int] = []
+        self._heads: list[int] = []
+
+    def _step(self, above: int, step: str) -> int:
+        number = self._steps.get((above, step))
+        if number is None:
+            number = self._steps[above, step] = len(self._spelt)
+            self._spelt.append((above, step))
+        return number
+
+    def spelt(self, path: int) -> str:
+        steps = []
+        while path > 0:
+            path, step = self._spelt[path]
+            steps.append(step)
+        return "".join(">" + s for s in reversed(steps))
+
+    def known(self, spelt: str) -> int | None:
+        """The number of a path, if the page has it."""
+        path = 0
+        for step in spelt.split(">")[1:]:
+            path = self._steps.get((path, step), -1)
+            if path < 0:
+                return None
+        return path
+
+    def _holding_most(self) -> frozenset[int]:
+        """Elements left out softly that hold most of the page's text."""
+        if not self._soft:
+            return frozenset()
+        total, heads = [0] * len(self.parent), [0] * len(self.parent)
+        for element, text, _ in self.blocks:
+            total[element] += len(text)
+        for element, chars in self.other.items():
+            total[element] += chars
+        for element in self._heads:
+            heads[element] += 1
+        for element in range(len(self.parent) - 1, 0, -1):
+            total[self.parent[element]] += total[element]
+            heads[self.parent[element]] += heads[element]
+        page = total[0]
+        return frozenset(e for e in self._soft if page and (total[e] >= MOSTLY * page and heads[e] or total[e] >= NEARLY_ALL * page and not heads[0]))
 
-    def _read(self, source: str) -> None:
+    def _read(self, source: str, exempt: frozenset[int]) -> None:
         stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element, left out
         pieces: list[str] = []
         link_chars = links = articles = at = 0
@@ -124,6 +189,15 @@ class Page:
                 articles -= tag == "article"
             del stack[place:]
 
+        def end_paragraph() -> None:
+            """An open paragraph ends where the next block begins."""
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i][0] == "p":
+                    pop_to(i)
+                    return
+                if stack[i][0] not in INLINE:
+                    return
+
         for found in _TAG.finditer(source):
             if found.start() < raw_end:
                 continue
@@ -137,7 +211,7 @@ class Page:
                 if tag == "p" or tag not in INLINE:
                     end_block()
                 place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-                if place and (tag not in INLINE or all(s[0] in INLINE for s in stack[place:])):
+                if place and (tag not in INLINE or all(s[0] in INLINE or s[0] == "p" for s in stack[place:])):
                     if any(s[2] != stack[place - 1][2] for s in stack[place:]):
                         end_block()
                     pop_to(place)
@@ -146,11 +220,19 @@ class Page:
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 at = raw_end = close.end() if close else (len(source) if tag in ("script", "style") else at)
                 continue
-            if tag in VOID or tag == "p":
+            if tag in VOID:
                 if tag in ("br", "hr"):
                     pieces.append(" ")
-                if tag in ("hr", "p"):
+                if tag == "hr":
                     end_block()
+                    end_paragraph()
+                continue
+            if tag not in INLINE:
+                end_block()
+                end_paragraph()
+            if tag == "p":
+                _, above, above_out = stack[-1]
+                stack.append(("p", above, above_out or bool(found[3].strip()) and _about("p", found[3], articles > 0)[0] != KEPT))
                 continue
             if tag in _ENDS:
                 ended, within = _ENDS[tag]
@@ -163,46 +245,58 @@ class Page:
                         break
             if found[3].endswith("/") and tag in INLINE:
                 continue
-            out, step = _about(tag, found[3], articles > 0)
+            state, step = _about(tag, found[3], articles > 0)
             _, above, above_out = stack[-1]
+            out = state == HARD or state == SOFT and len(self.parent) not in exempt
             if tag in INLINE:
                 if out and not above_out:
                     end_block()
                 element = above
             else:
-                end_block()
                 element = len(self.parent)
                 self.parent.append(above)
-                self.path.append(f"{self.path[above]}>{step}" if tag not in ("html",) else "")
+                self.path.append(self._step(self.path[above], step) if tag != "html" else 0)
                 self.container.append(tag in CONTAINERS)
+                if state == SOFT:
+                    self._soft.append(element)
+                if tag in ("h1", "main"):
+                    self._heads.append(element)
             stack.append((tag, element, out or above_out))
             links += tag == "a"
             articles += tag == "article"
         text_at(at, len(source))
         end_block()
 
-    def scores(self) -> dict[str, float]:
-        """Score of each container path, the best of equal paths counting."""
-        clean, total = [0.0] * len(self.parent), [0.0] * len(self.parent)
+    def scores(self) -> dict[int, float]:
+        """Score of each container path, the best of equal paths counting. A container that
+        adds nothing to one inside it leaves the word to that one."""
+        clean, total, depth = [0.0] * len(self.parent), [0.0] * len(self.parent), [0] * len(self.parent)
         for element, text, link_chars in self.blocks:
             total[element] += len(text)
             clean[element] += len(text) - link_chars if link_chars < 0.8 * len(text) else 0
         for element, chars in self.other.items():
             total[element] += chars
+        for element in range(1, len(self.parent)):
+            depth[element] = depth[self.parent[element]] + 1 if self.path[element] else 0
         for element in range(len(self.parent) - 1, 0, -1):
             clean[self.parent[element]] += clean[element]
             total[self.parent[element]] += total[element]
-        out: dict[str, float] = {}
+        inner = [False] * len(self.parent)
+        for element in range(len(self.parent) - 1, 0, -1):
+            above = self.parent[element]
+            if (self.container[element] or inner[element]) and clean[element] == clean[above] and total[element] == total[above]:
+                inner[above] = True
+        out: dict[int, float] = {}
         for element in range(len(self.parent)):
-            if clean[element] > 0 and (self.container[element] or element == 0):
-                last = self.path[element].rpartition(">")[2].split(".")[0]
+            if clean[element] > 0 and not inner[element] and (self.container[element] or element == 0):
+                last = self._spelt[self.path[element]][1].split(".")[0]
                 bonus = 1.3 if last in ("article", "main") else 1.0
-                bonus += 0.002 * min(self.path[element].count(">"), 20)  # of equals, the inner one
+                bonus += 0.002 * min(depth[element], 20)  # of equals, the inner one
                 score = bonus * clean[element] ** 2 / total[element]
                 out[self.path[element]] = max(out.get(self.path[element], 0.0), score)
         return out
 
-    def text_below(self, path: str) -> str | None:
+    def text_below(self, path: int) -> str | None:
         """Kept blocks below the elements of a path, in page order, or None without one."""
         inside = [False] * len(self.parent)
         for element in range(len(self.parent)):
@@ -212,12 +306,22 @@ class Page:
         return " ".join(text for element, text, _ in self.blocks if inside[element])
 
 
+def _best(page: Page, scores: dict[int, float]) -> int:
+    """The path with the highest score; of equal ones the last as spelt."""
+    top = max(scores.values())
+    equal = [p for p, score in scores.items() if score == top]
+    return equal[0] if len(equal) == 1 else max(equal, key=page.spelt)
+
+
 def votes(source: str | None) -> dict[str, float]:
     """A page's votes: one for its best container, and for those of half its score or more
     half of their share of it."""
-    scores = Page(source or "").scores()
-    best = max(scores, key=lambda p: scores[p], default="")
-    return {path: 1.0 if path == best else score / scores[best] / 2 for path, score in scores.items() if score >= scores[best] / 2}
+    page = Page(source or "")
+    scores = page.scores()
+    if not scores:
+        return {}
+    best = _best(page, scores)
+    return {page.spelt(path): 1.0 if path == best else score / scores[best] / 2 for path, score in scores.items() if score >= scores[best] / 2}
 
 
 def main_text(source: str | None, winning: Sequence[str] = ()) -> str:
@@ -226,8 +330,8 @@ def main_text(source: str | None, winning: Sequence[str] = ()) -> str:
     scores = page.scores()
     if not scores:
         return ""
-    own = max(scores, key=lambda p: scores[p])
-    agreed = next((p for p in winning if p in scores), None)
+    own = _best(page, scores)
+    agreed = next((p for p in map(page.known, winning) if p in scores), None)
     chosen = agreed if agreed is not None and scores[agreed] >= 0.4 * scores[own] else own
     return page.text_below(chosen) or ""
 
@@ -253,10 +357,11 @@ def winning_paths(pages: DataFrame, url: str = "url", source: str = "html") -> D
 
     voted = pages.select(_host(url).alias("host"), source).where("host != ''").mapInArrow(run, "host string, path string, votes bigint")
     counted = voted.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    by_host = Window.partitionBy("host").orderBy(F.desc("votes"), "path")  # a host's distinct paths, few whatever its pages
-    ranked = counted.select("*", F.row_number().over(by_host).alias("place"), F.max("votes").over(Window.partitionBy("host")).alias("best"))
-    won = ranked.where((F.col("place") <= WINNING_PATHS) & (F.col("votes") >= WINNING_SHARE * F.col("best")))
-    return won.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
+    # The best first, then those within reach of it: no more than all votes divided by that share.
+    best = counted.groupBy("host").agg(F.max("votes").alias("best"))
+    won = many_to_one(counted, best, ["host"]).where(F.col("votes") >= WINNING_SHARE * F.col("best"))
+    placed = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("votes"), "path")))
+    return won.groupBy("host").agg(F.transform(placed, lambda x: x["path"]).alias("paths"))
 
 
 def extract(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), url: str = "url", source: str = "html", name: str = "text", winners: DataFrame | None = None) -> DataFrame:

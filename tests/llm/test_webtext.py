@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -42,6 +43,53 @@ def test_broken_pages():
     assert main_text("<p>" * 5000 + "deep" + "<div>" * 3000 + "er") == "deep er"
 
 
+@pytest.mark.parametrize(
+    "extra",
+    [
+        "<p class='ad'>Buy this now</p>", "<p class=comment>Nice one!", "<p hidden>secret</p>", "<p style='display: none'>secret</p>",
+        "<p id='cookie-consent'>We <b>use</b> <a href=x>cookies</a></p>", "<p role=alert>careful", "<span class='ads'><p>Buy</p></span>",
+        "<p class='share'>Share this<br>now</p>",
+    ],
+)
+def test_paragraphs_are_judged_like_other_blocks(extra):
+    assert main_text(page(f"<article>{extra}{ARTICLE}</article>")) == TEXT
+    assert main_text(page(f"<article>{ARTICLE}{extra}</article>")) == TEXT
+    assert main_text(page(f"<article><p class='lead'>Lead.</p>{extra}<div>{ARTICLE}</div></article>")) == "Lead. " + TEXT
+
+
+def test_a_form_or_class_that_holds_the_article_is_kept():
+    aspx = f"<form id='aspnetForm'><input type=hidden><nav>Menu</nav><div class='c'>{ARTICLE}</div><button>Send</button><footer>foot</footer></form>"
+    assert main_text(page(aspx)) == TEXT
+    assert main_text(page(f"<nav>Menu</nav><div class='post comments-open'>{ARTICLE}<form>Your name <input></form></div>")) == TEXT
+    assert main_text(page(f"<div class='entry has-ads'><div>{ARTICLE}<p class=ad>Buy</p></div></div>")) == TEXT
+    # Long remarks of readers stay out, however long.
+    remarks = "<p>A remark of a reader that says much and says it again.</p>" * 40
+    assert main_text(page(f"<article>{ARTICLE}<div class='comments'><h2>Comments</h2>{remarks}</div></article>")) == TEXT
+
+
+def test_formulas_are_text():
+    assert main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>") == "so x=2 holds"
+
+
+def test_open_paragraphs_end_where_blocks_begin():
+    assert main_text("<article><p class=ad>out<div>kept<p class=ad>out</div>too<table><tr><td>cell</table></article>") == "kept too cell"
+    assert main_text("<div><a href=x><p>in link</a> after<p>more text here</div>") == "in link after more text here"
+
+
+def test_deep_pages_take_linear_time():
+    start = time.process_time()
+    assert main_text("<div>" * 100_000 + "<p>deep text</p>") == "deep text"
+    assert votes("<div>" * 100_000 + "deep")
+    assert time.process_time() - start < 20
+
+
+def test_a_host_with_many_layouts_keeps_them_all(spark):
+    rows = [(i, f"https://many.example/{i}", page(f"<div class='{'abcdefghijklmnop'[i % 12] * 3}x'>{ARTICLE}</div><nav>Some words beside it.</nav>")) for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert len(winning_paths(pages).first().paths) >= 12
+    assert {r.text for r in extract(pages).collect()} == {TEXT}
+
+
 def test_votes_prefer_the_article():
     found = votes(page("<div class='top9'>" + "<a href=x>link text here</a>" * 9 + "</div><article class='a b12'>" + ARTICLE + "</article>"))
     assert max(found, key=found.get) == ">body>article.a.b#"
