@@ -23,6 +23,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
