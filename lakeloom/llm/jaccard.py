@@ -102,16 +102,18 @@ def signatures(elements: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray
     if not n:
         return np.empty(0, dtype=_U), np.empty(0, dtype=np.int16), np.empty(0, dtype=np.int32)
     tops = _bands(percent)
+    # Parts are ranges of the hashes, which are sorted, so a part's content is a difference
+    # of running sums.
+    running = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(_mix(elements), dtype=_U)])
+    high = elements >> _U(32)
     out, bands, spares = [], [], []
     for band in range(bisect_left(tops, n), bisect_left(tops, n * 100 // percent) + 1):
         k = 2 * tops[band] * (100 - percent) // (100 + percent)
-        n_parts = 1 if not k else k + 2 + k // 5
-        part = ((elements >> _U(20)) % _U(n_parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        filled, starts = np.unique(part[order], return_index=True)
-        content = np.add.reduceat(_mix(elements + _U(band))[order], starts)
-        found = _mix(content ^ _mix((_U(band) << _U(40)) + filled.astype(_U)))
-        spare = len(filled) - (k + 1)
+        part = (high * _U(1 if not k else k + 2 + k // 5)) >> _U(32)
+        ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, n)
+        content = np.diff(running[ends], prepend=running[:1])
+        found = _mix(content ^ _mix((_U(band) << _U(40)) + part[ends - 1]))
+        spare = len(ends) - (k + 1)
         if spare < 0:
             found = np.concatenate([found, _mix(elements ^ _U(0xA5A5A5A5 + band))])
         out.append(found)
@@ -230,6 +232,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return found
 
 
+def _close(n: np.ndarray, parity: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and parities leave room for a link, for pairs of places."""
+    out = np.empty(len(p), dtype=bool)
+    for i in range(0, len(p), 1 << 16):
+        a, b = p[i : i + (1 << 16)], q[i : i + (1 << 16)]
+        differ = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+        out[i : i + (1 << 16)] = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
+    return out
+
+
 def near_pairs(n: np.ndarray, component: np.ndarray, parity: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of different components, not both of side 1 or both of side 2, that
     sizes and parities do not rule out."""
@@ -245,15 +257,26 @@ def near_pairs(n: np.ndarray, component: np.ndarray, parity: np.ndarray, side: n
         met &= np.arange(start, stop)[:, None] < np.arange(start, end)[None, :]
         met &= (side[x, None] != side[None, y]) | (side[x, None] == 0)
         a, b = np.nonzero(met)
-        for i in range(0, len(a), 1 << 16):
-            p, q = a[i : i + (1 << 16)] + start, b[i : i + (1 << 16)] + start
-            differ = np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1, dtype=np.int64)
-            close = differ * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
-            lefts.append(order[p[close]])
-            rights.append(order[q[close]])
+        p, q = a + start, b + start
+        close = _close(n, parity, p, q, percent)
+        lefts.append(order[p[close]])
+        rights.append(order[q[close]])
     return (np.concatenate(lefts), np.concatenate(rights)) if lefts else (np.empty(0, dtype=np.int64),) * 2
 
 
+def near_pairs_of_groups(starts: np.ndarray, n: np.ndarray, component: np.ndarray, parity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many small groups at once, one after another from ``starts`` on, which ends
+    with the number of rows."""
+    ends = np.repeat(starts[1:], np.diff(starts))
+    later = ends - 1 - np.arange(len(n))
+    p = np.repeat(np.arange(len(n)), later)
+    q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(later) - later, later)
+    met = (component[p] != component[q]) & (np.minimum(n[p], n[q]) * 100 >= np.maximum(n[p], n[q]) * percent)
+    p, q = p[met], q[met]
+    close = _close(n, parity, p, q, percent)
+    return p[close], q[close]
+
+
 def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of keys (x, y) from rows of ``sig``, ``members``, ``k1``, ``n``, ``comp`` (a number for
     the component) and ``parity``: sets of one signature in different components."""
@@ -264,35 +287,54 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
     dealt = rows.select("sig", "k1", "n", "comp", "parity", F.explode(deals).alias("d")).select("sig", "d.i", "d.j", "d.side", "k1", "n", "comp", "parity")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(parts: list[tuple]) -> pa.RecordBatch | None:
-            keys, n, comp, parity, side = (np.concatenate(c) for c in zip(*parts, strict=True))
-            a, b = near_pairs(n, comp, parity, side, percent)
-            low, high = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
-            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["x", "y"]) if len(a) else None
-
-        current, held = None, []
+        def named(keys: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            a, b = found
+            if len(a):
+                # A pair meets in several signatures.
+                both = np.unique(np.stack([np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["x", "y"])
+
+        def of_rows(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            """Pairs of whole groups: large ones one by one, small ones together, so many that
+            there are a few million pairs at most."""
+            names, keys, n, comp, parity, side = (np.concatenate(c) for c in zip(*held, strict=True))
+            starts = np.concatenate([[0], np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1, [len(names)]])
+            sizes = np.diff(starts)
+            large = (sizes > 256) | (side[starts[:-1]] > 0)
+            for g in np.flatnonzero(large):
+                part = slice(starts[g], starts[g + 1])
+                yield from named(keys[part], near_pairs(n[part], comp[part], parity[part], side[part], percent))
+            rows = np.flatnonzero(np.repeat(~large, sizes))
+            if len(rows):
+                small = np.concatenate([[0], np.cumsum(sizes[~large])])
+                cuts = np.searchsorted(np.cumsum(sizes[~large] ** 2), np.arange(0, int((sizes[~large] ** 2).sum()) + 1, 4_000_000), side="right")
+                for first, last in zip(cuts, [*cuts[1:], len(small) - 1], strict=True):
+                    if first < last:
+                        part = rows[small[first] : small[last]]
+                        yield from named(keys[part], near_pairs_of_groups(small[first : last + 1] - small[first], n[part], comp[part], parity[part], percent))
+
+        held: list[tuple] = []
         for batch in batches:
             sig, i, j, side, keys, n, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(7))
             lists = batch.column(7)
-            parity = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) if len(lists) else np.empty((0, 1), dtype=np.int64)
+            if not len(lists):
+                continue
+            parity = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
             names = np.stack([sig, i, j], axis=1)
-            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
-            for start, stop in zip(cuts, cuts[1:], strict=False):
-                if start == stop:
-                    continue
-                name = tuple(names[start].tolist())
-                if held and name != current:
-                    found = pairs(held)
-                    if found is not None:
-                        yield found
-                    held = []
-                current = name
-                part = slice(start, stop)
-                held.append((keys[part], n[part], comp[part], parity[part], side[part]))
+            # The last group may go on in the next batch.
+            last = len(names) - int(np.argmin((names[::-1] == names[-1]).all(axis=1))) if (names != names[-1]).any() else 0
+            whole, rest = slice(0, last), slice(last, len(names))
+            columns = (names, keys, n, comp, parity, side)
+            if held and (held[-1][0][-1] != names[0]).any():
+                yield from of_rows(held)
+                held = []
+            if last:
+                held.append(tuple(c[whole] for c in columns))
+                yield from of_rows(held)
+                held = []
+            held.append(tuple(c[rest] for c in columns))
         if held:
-            found = pairs(held)
-            if found is not None:
-                yield found
+            yield from of_rows(held)
 
     sorted_rows = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return sorted_rows.mapInArrow(run, "x bigint, y bigint")

@@ -92,6 +92,14 @@ def test_pairs_of_arrays_equal_a_double_loop(seed):
             differ = int(np.bitwise_count(parity[i] ^ parity[j]).sum())
             if near and comp[i] != comp[j] and (side[i] != side[j] or side[i] == 0) and differ * 180 <= (n[i] + n[j]) * 20:
                 want.add((j, i))
+    # Many small groups at once find what each finds alone.
+    starts = np.array([0, 1, 1, 40, 41, 120, 300])
+    alone = set()
+    for first, last in zip(starts, starts[1:], strict=False):
+        a, b = jaccard.near_pairs(n[first:last], comp[first:last], parity[first:last], np.zeros(last - first, dtype=int), 80)
+        alone |= set(zip((np.minimum(a, b) + first).tolist(), (np.maximum(a, b) + first).tolist(), strict=True))
+    a, b = jaccard.near_pairs_of_groups(starts, n, comp, parity, 80)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == alone and len(a) == len(alone) > 0
     a, b = jaccard.near_pairs(n, comp, parity, side, 80)
     assert sorted(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)) == sorted(want) and want
 
@@ -122,7 +130,7 @@ def test_shared_passages_meet_in_no_pair(spark):
     texts = {i: passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(80)) for i in range(80)}
     rows = jaccard._signature_rows(frame(spark, texts).select("text"), 5, 80, "text")
     together = rows.groupBy("sig").count().where("count > 1").agg({"count": "sum"}).first()[0]
-    assert jaccard._chosen(rows).count() * 10 <= together
+    assert jaccard._chosen(rows).count() * 5 <= together
 
 
 def test_one_id_with_different_texts(spark):
