@@ -45,7 +45,7 @@ WORDS, PERCENT = 5, 80
 _U = np.uint64
 #: Odd multipliers of the words of an n-gram; more words than these use them again, shifted.
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63]
-#: Hashes of words that a worker keeps before starting anew, and sets it remembers as given.
+#: Sets that a task remembers as given.
 _MOST_KEPT = 1_000_000
 _PARITY_BITS = 1024
 #: Sets of one signature that a task compares at once; larger groups are dealt out in blocks.
@@ -59,31 +59,67 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MOST_KEPT:
-            self.clear()
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTES = _mix(np.arange(1, 257, dtype=_U) * _U(_MULTIPLIERS[0]))
+_BASE = 0x2545F4914F6CDD1D
+#: Bytes of text whose words are hashed at once.
+_PIECE = 1 << 18
 
 
-_word_hashes = _WordHashes()
+@lru_cache(maxsize=4)
+def _powers(base: int, size: int) -> np.ndarray:
+    found = np.full(size, base, dtype=_U)
+    found[0] = 1
+    return np.cumprod(found, dtype=_U)
+
+
+def _hashes_of_words(piece: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word of some bytes: a polynomial in numbers that stand for its
+    bytes, from running sums over the piece, mixed."""
+    if not len(piece):
+        return np.empty(0, dtype=_U)
+    space = _SPACE[piece]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.append(0, edge)
+    if not space[-1]:
+        edge = np.append(edge, len(piece))
+    size = max(_PIECE, 1 << int(len(piece) - 1).bit_length())
+    starts, ends = edge[::2], edge[1::2]
+    running = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(_BYTES[piece] * _powers(_BASE, size)[: len(piece)], dtype=_U)])
+    return _mix((running[ends] - running[starts]) * _powers(pow(_BASE, -1, 1 << 64), size)[starts])
+
+
+def _word_hashes(data: bytes) -> np.ndarray:
+    """Hashes of all words; long texts in pieces that end between words."""
+    whole = np.frombuffer(data, dtype=np.uint8)
+    out, at = [], 0
+    while len(data) - at > _PIECE:
+        stop = at + _PIECE
+        gaps = np.flatnonzero(_SPACE[whole[at:stop]])
+        while not len(gaps) and stop < len(data):  # a word longer than the piece
+            more = np.flatnonzero(_SPACE[whole[stop : stop + _PIECE]])
+            gaps, stop = more + stop - at, stop + _PIECE
+        stop = at + int(gaps[-1]) + 1 if len(gaps) else len(data)
+        out.append(_hashes_of_words(whole[at:stop]))
+        at = stop
+    out.append(_hashes_of_words(whole[at:]))
+    return out[0] if len(out) == 1 else np.concatenate(out)
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word n-grams, letters A to Z lowered."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, dtype=_U)
-    hashes = np.fromiter(map(_word_hashes.__getitem__, found), dtype=_U, count=len(found))
+    hashes = _word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+    if not len(hashes):
+        return hashes
     width = min(words, len(hashes))
     n = len(hashes) - width + 1
     total = np.full(n, width, dtype=_U)
     for i in range(width):
         total += _mix(hashes[i : i + n] + _U(i)) * _U(_MULTIPLIERS[i % len(_MULTIPLIERS)] + 2 * (i // len(_MULTIPLIERS)))
-    return np.unique(_mix(total))
+    total = np.sort(_mix(total))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
 @lru_cache(maxsize=4)
@@ -237,7 +273,8 @@ def _close(n: np.ndarray, parity: np.ndarray, p: np.ndarray, q: np.ndarray, perc
     out = np.empty(len(p), dtype=bool)
     for i in range(0, len(p), 1 << 16):
         a, b = p[i : i + (1 << 16)], q[i : i + (1 << 16)]
-        differ = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+        # Bits of a negative number are counted in its absolute value.
+        differ = np.bitwise_count((parity[a] ^ parity[b]).view(_U)).sum(axis=1, dtype=np.int64)
         out[i : i + (1 << 16)] = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
     return out
 
