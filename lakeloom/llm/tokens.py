@@ -47,7 +47,8 @@ class PartwiseEncoder:
         new: set[str] = set()
         for parts in split:
             new.update(parts[1:])
-        new.difference_update(self._parts)
+        # Not in place: that would go through all known parts, not the new ones.
+        new = new.difference(self._parts)
         odd = {p for p in new if not p or p[0].isspace()}
         learnt = self._learn(list(new - odd))
         if len(self._parts) + len(learnt) > MOST_KEPT:
