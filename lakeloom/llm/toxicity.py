@@ -37,6 +37,8 @@ PREFIXES = range(4, 10)
 #: Toxic texts that an entry needs at least, and the least log-odds.
 LEAST_TEXTS, LEAST_ODDS = 4, 3.0
 
+_COUNTED_AT_ONCE = 1 << 20
+
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOK_ALIKE = str.maketrans(
     "абвгдеѕіјкмнорстухѵьԁԛԝһαβεηικνορτυχωı" + "0123456789",
@@ -157,11 +159,24 @@ def _sampled(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
 def _counted(training: DataFrame) -> DataFrame:
     """Document frequencies of features in both classes and the toxic texts they occur in."""
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        """Rows of about a megabyte of text: a text has a few features for each of its words."""
+        held, size = [], 0
         for batch in batches:
+            for key, text, label in zip(*batch.columns, strict=True):
+                held.append((key.as_py(), text.as_py() or "", label.as_py()))
+                size += len(held[-1][1])
+                if size >= _COUNTED_AT_ONCE:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
             toxic, clean = defaultdict(list), Counter()
-            for key, text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = features(fold(text or ""))
+            for key, text, label in rows:
+                found = features(fold(text))
                 if label:
                     for f in found:
                         toxic[f].append(key)
