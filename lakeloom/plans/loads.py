@@ -100,14 +100,14 @@ def lww_table_merged(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
-    WHERE l_orderkey = (SELECT MIN(o_orderkey) FROM orders WHERE o_orderpriority = '1-URGENT') ORDER BY l_linenumber""")
+    SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+    WHERE o_custkey = (SELECT MIN(o_custkey) FROM orders WHERE o_orderpriority = '1-URGENT') ORDER BY o_orderkey""")
 def point_lookup_stored(t: Tables) -> DataFrame:
-    """Lines of one order from a stored table, by its key."""
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    table = RangedTable.create(lines, scratch_path(t.spark, "lines"), ["l_orderkey"], ["l_linenumber"], ranges=8)
-    wanted = t.orders.where(F.col("o_orderpriority") == "1-URGENT").agg(F.min("o_orderkey")).first()[0]
-    return table.where(t.spark, l_orderkey=wanted)
+    """Orders of one customer from a stored table, by its key."""
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    table = RangedTable.create(orders, scratch_path(t.spark, "orders"), ["o_custkey"], ["o_orderkey"], ranges=8)
+    wanted = t.orders.where(F.col("o_orderpriority") == "1-URGENT").agg(F.min("o_custkey")).first()[0]
+    return table.where(t.spark, o_custkey=wanted)
 
 
 # ---- round trips -----------------------------------------------------------------
