@@ -34,7 +34,8 @@ QUERIES = (
     "drop_dups_subset", "except_rows", "fact_left", "fact_sales", "incremental_load", "insert_ignore", "join_3way", "join_anti",
     "join_left_multikey", "join_role_playing", "join_semi", "join_two_keys", "lookup_first_match", "lww_table", "normalize_3nf",
     "olap_cube", "olap_cube_base", "rn_first_per_key", "running_sum_range", "running_sum_rows", "ssb_same_dist_bucketed",
-    "ssb_two_dim", "top1_group", "upsert_items", "users_by_item",
+    "ssb_two_dim", "top1_group", "upsert_items", "users_by_item", "denorm_transactions", "dim_customer_history", "event_time_load",
+    "lww_table_merged", "olap_cube_refreshed", "running_sum_hot", "star_songplays", "surrogate_key_incremental",
 )
 
 
