@@ -37,7 +37,8 @@ PREFIXES = range(4, 10)
 #: Toxic texts that an entry needs at least, and the least log-odds.
 LEAST_TEXTS, LEAST_ODDS = 4, 3.0
 
-_COUNTED_AT_ONCE = 1 << 20
+#: Bytes of text whose features a task counts before it passes them on.
+_COUNTED_AT_ONCE = 1 << 18
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOK_ALIKE = str.maketrans(
@@ -160,7 +161,7 @@ def _counted(training: DataFrame) -> DataFrame:
     """Document frequencies of features in both classes and the toxic texts they occur in."""
 
     def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        """Rows of about a megabyte of text: a text has a few features for each of its words."""
+        """Rows in slices of bounded size: a text has a few features for each of its words."""
         held, size = [], 0
         for batch in batches:
             for key, text, label in zip(*batch.columns, strict=True):
