@@ -20,9 +20,13 @@ Equal sets are one node. Sets that share a chosen signature are candidates: firs
 checked against two partners of its signature group. Where a group still lies in several
 components its sets meet once more in a task, without becoming rows for each pair: their
 parities, one bit for each of a thousand classes of elements, are compared as arrays, and
-only pairs of different components that sizes and parities do not rule out come out, to be
-checked exactly. Large groups are dealt out in blocks. Pairs inside a component need no
-check, so groups of thousands of near copies do not turn into all their pairs.
+pairs of different components that sizes and parities do not rule out are to be checked
+exactly. A pair meets in many signatures, so groups with the same least member, which near
+copies mostly have, go to one task, where a pair counts once. Of these pairs first a forest,
+nearest pairs first, comes out and is checked, fewer rows than there are components; what it
+links needs no more pairs, and only the groups with further pairs are compared once more.
+Large groups are dealt out in blocks. Pairs inside a component need no check, so groups of
+thousands of near copies do not turn into all their pairs.
 """
 
 from __future__ import annotations
@@ -50,6 +54,10 @@ _MOST_KEPT = 1_000_000
 _PARITY_BITS = 1024
 #: Sets of one signature that a task compares at once; larger groups are dealt out in blocks.
 _BLOCK = 8192
+#: Rows of groups with the same least member that go to one task.
+_SHARE = 1 << 16
+#: Pairs that a task holds before it gives them, each once.
+_MOST_PAIRS = 500_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -268,14 +276,38 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return found
 
 
-def _close(n: np.ndarray, parity: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and parities leave room for a link, for pairs of places."""
-    out = np.empty(len(p), dtype=bool)
+def _differ(parity: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """In how many bits parities differ, for pairs of places."""
+    out = np.empty(len(p), dtype=np.int64)
     for i in range(0, len(p), 1 << 16):
         a, b = p[i : i + (1 << 16)], q[i : i + (1 << 16)]
         # Bits of a negative number are counted in its absolute value.
-        differ = np.bitwise_count((parity[a] ^ parity[b]).view(_U)).sum(axis=1, dtype=np.int64)
-        out[i : i + (1 << 16)] = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
+        out[i : i + (1 << 16)] = np.bitwise_count((parity[a] ^ parity[b]).view(_U)).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _close(n: np.ndarray, parity: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and parities leave room for a link, for pairs of places."""
+    return _differ(parity, p, q) * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+
+
+def forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which pairs of components (a, b) connect what all nearer ones leave apart."""
+    above: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while (up := above.get(c, c)) != c:
+            above[c] = above.get(up, up)
+            c = up
+        return c
+
+    out = np.zeros(len(a), dtype=bool)
+    lefts, rights = a.tolist(), b.tolist()
+    for i in np.argsort(far, kind="stable").tolist():
+        u, v = top(lefts[i]), top(rights[i])
+        if u != v:
+            above[u] = v
+            out[i] = True
     return out
 
 
@@ -314,33 +346,56 @@ def near_pairs_of_groups(starts: np.ndarray, n: np.ndarray, component: np.ndarra
     return p[close], q[close]
 
 
-def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of keys (x, y) from rows of ``sig``, ``members``, ``k1``, ``n``, ``comp`` (a number for
-    the component) and ``parity``: sets of one signature in different components."""
+def _pairs_across(rows: DataFrame, percent: int, sparse: bool) -> DataFrame:
+    """Pairs of keys (x, y) from rows of ``sig``, ``members``, ``least``, ``share``, ``k1``, ``n``,
+    ``comp`` (a number for the component) and ``parity``: sets of one signature in different
+    components. A ``sparse`` result has of the pairs that a task finds those of a forest, and a
+    row with ``sig`` alone for groups that hold the others."""
     blocks = F.ceil(F.col("members") / F.lit(_BLOCK))
     own = F.pmod(F.xxhash64("k1"), blocks)
     # A group of several blocks goes to a task for each two of them.
     deals = F.transform(F.sequence(F.lit(0).cast("bigint"), blocks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), F.when(own < other, 1).when(own > other, 2).otherwise(0).alias("side")))
-    dealt = rows.select("sig", "k1", "n", "comp", "parity", F.explode(deals).alias("d")).select("sig", "d.i", "d.j", "d.side", "k1", "n", "comp", "parity")
+    dealt = rows.select("least", "share", "sig", "k1", "n", "comp", "parity", F.explode(deals).alias("d")).select("least", "share", "sig", "d.i", "d.j", "d.side", "k1", "n", "comp", "parity")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def named(keys: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        met: list[tuple[np.ndarray, ...]] = []
+
+        def given(x: np.ndarray, y: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
+            """Pairs, and rows for groups."""
+            none = np.zeros(len(x) + len(sig), dtype=np.int64)
+            pair = np.arange(len(none)) < len(x)
+            columns = [np.concatenate([c, none[len(c) :]]) for c in (x, y)] + [np.concatenate([none[: len(x)], sig])]
+            return pa.RecordBatch.from_arrays([pa.array(c, mask=m) for c, m in zip(columns, (~pair, ~pair, pair), strict=True)], ["x", "y", "sig"])
+
+        def once() -> Iterator[pa.RecordBatch]:
+            """What was met, each pair once."""
+            x, y, sig, cx, cy, far = (np.concatenate(c) for c in zip(*met, strict=True))
+            met.clear()
+            order = np.lexsort((sig, y, x))
+            first = order[np.append(True, (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0))]
+            x, y, sig, cx, cy, far = (c[first] for c in (x, y, sig, cx, cy, far))
+            kept = forest(cx, cy, far) if sparse else np.ones(len(x), dtype=bool)
+            yield given(x[kept], y[kept], np.unique(sig[~kept]))
+
+        def named(sig: np.ndarray, keys: np.ndarray, n: np.ndarray, comp: np.ndarray, parity: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
             a, b = found
             if len(a):
-                # A pair meets in several signatures.
-                both = np.unique(np.stack([np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["x", "y"])
+                met.append((np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b]), sig[a], comp[a], comp[b], _differ(parity, a, b) / (n[a] + n[b])))
+            if sum(len(m[0]) for m in met) > _MOST_PAIRS:
+                yield from once()
 
         def of_rows(held: list[tuple]) -> Iterator[pa.RecordBatch]:
             """Pairs of whole groups: large ones one by one, small ones together, so many that
             there are a few million pairs at most."""
             names, keys, n, comp, parity, side = (np.concatenate(c) for c in zip(*held, strict=True))
+            sig = names[:, 0]
             starts = np.concatenate([[0], np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1, [len(names)]])
             sizes = np.diff(starts)
             large = (sizes > 256) | (side[starts[:-1]] > 0)
             for g in np.flatnonzero(large):
                 part = slice(starts[g], starts[g + 1])
-                yield from named(keys[part], near_pairs(n[part], comp[part], parity[part], side[part], percent))
+                columns = n[part], comp[part], parity[part]
+                yield from named(sig[part], keys[part], *columns, near_pairs(*columns, side[part], percent))
             rows = np.flatnonzero(np.repeat(~large, sizes))
             if len(rows):
                 small = np.concatenate([[0], np.cumsum(sizes[~large])])
@@ -348,7 +403,8 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
                 for first, last in zip(cuts, [*cuts[1:], len(small) - 1], strict=True):
                     if first < last:
                         part = rows[small[first] : small[last]]
-                        yield from named(keys[part], near_pairs_of_groups(small[first : last + 1] - small[first], n[part], comp[part], parity[part], percent))
+                        columns = n[part], comp[part], parity[part]
+                        yield from named(sig[part], keys[part], *columns, near_pairs_of_groups(small[first : last + 1] - small[first], *columns, percent))
 
         held: list[tuple] = []
         for batch in batches:
@@ -372,9 +428,22 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
             held.append(tuple(c[rest] for c in columns))
         if held:
             yield from of_rows(held)
+        if met:
+            yield from once()
+
+    sorted_rows = dealt.repartition("least", "share", "i", "j").sortWithinPartitions("least", "share", "sig", "i", "j").drop("least", "share")
+    return sorted_rows.mapInArrow(run, "x bigint, y bigint, sig bigint")
+
 
-    sorted_rows = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return sorted_rows.mapInArrow(run, "x bigint, y bigint")
+def _open_rows(in_groups: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows for ``_pairs_across`` of the groups that lie in several components, and these groups, stored."""
+    placed = many_to_one(in_groups, labels.select("k1", "comp"), ["k1"])
+    several = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.first("least").alias("least"), F.first("members").alias("members"))
+    several = stored(several.where("lo < hi").select("sig", "least", "members"), "open")
+    shares = several.groupBy("least").agg(F.ceil(F.sum("members") / F.lit(_SHARE)).alias("shares"))
+    shared = many_to_one(several, shares, ["least"]).select("sig", "least", "members", F.pmod(F.xxhash64("sig"), "shares").alias("share"))
+    still_open = many_to_one(in_groups.select("sig", "k1"), shared, ["sig"], "inner")
+    return many_to_one(still_open, labels, ["k1"]), several
 
 
 def similar_groups(
@@ -413,16 +482,24 @@ def similar_groups(
     links = _verified(first, docs, words, percent)
     joined = components(links, "a", "b")
 
-    labels = nodes.join(joined, "node", "left").select("k1", "n", "parity", F.xxhash64(F.coalesce("component", "node")).alias("comp"))
-    labels = stored(labels.dropDuplicates(["k1"]), "components")
-    placed = many_to_one(in_groups.select("sig", "k1", "members"), labels.select("k1", "comp"), ["k1"])
-    split = stored(placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig"), "open")
-    still_open = many_to_one(in_groups.select("sig", "k1", "members"), split.withColumn("_open", F.lit(True)), ["sig"], "inner")
-    across = _pairs_across(many_to_one(still_open.drop("_open"), labels, ["k1"]), percent).distinct()
-    more = stored(by_nodes(across).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if more.limit(1).count():
-        joined = components(links.unionByName(_verified(more, docs, words, percent)), "a", "b")
-    discard(keyed, groups, tried, first, split, labels, more)
+    # Pairs of a forest first; then those of the groups that hold more, as far as still apart.
+    done = [keyed, groups, first]
+    for sparse in (True, False):
+        labels = nodes.join(joined, "node", "left").select("k1", "n", "parity", F.xxhash64(F.coalesce("component", "node")).alias("comp"))
+        labels = stored(labels.dropDuplicates(["k1"]), "components")
+        rows, several = _open_rows(in_groups, labels)
+        across = stored(_pairs_across(rows, percent, sparse), "across")
+        more = stored(by_nodes(across.where("sig is null").select("x", "y").distinct()).join(tried, ["a", "b"], "left_anti"), "pairs")
+        done += [labels, several, across, more]
+        if more.limit(1).count():
+            links = links.unionByName(_verified(more, docs, words, percent))
+            joined = components(links, "a", "b")
+        with_more = across.where("sig is not null").select("sig").distinct()
+        if not with_more.limit(1).count():
+            break
+        in_groups = many_to_one(in_groups, with_more, ["sig"], "inner")
+        done, tried = [*done, tried], stored(tried.unionByName(more), "pairs")
+    discard(*done, tried)
     own = many_to_one(members.drop("parity"), reps.select("k1", "k2", "rep"), ["k1", "k2"])
     found = many_to_one(own, joined.select(F.col("node.id").alias("rep"), F.col("node.k1").alias("k1"), F.col("component.id").alias("component")), ["rep", "k1"])
     return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))

@@ -143,6 +143,28 @@ def test_a_family_across_the_threshold_in_blocks(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
 
 
+@pytest.mark.parametrize("block", [7, 8192])
+def test_pairs_of_many_signatures_become_few_rows(spark, monkeypatch, block):
+    """Sets that meet in many signatures: a forest comes out first, then each pair about once."""
+    monkeypatch.setattr(jaccard, "_BLOCK", block)
+    size, groups = 40, 30
+    data = [(sig, size, 1, 0, k, 100, k, [k % 3]) for sig in range(groups) for k in range(1, size + 1)]
+    rows = spark.createDataFrame(data, "sig bigint, members bigint, least bigint, share bigint, k1 bigint, n bigint, comp bigint, parity array<bigint>")
+    pairs = {(a, b) for a in range(1, size + 1) for b in range(a + 1, size + 1)}
+    found = jaccard._pairs_across(rows, 80, True).collect()
+    first = [(r.x, r.y) for r in found if r.sig is None]
+    blocks = -(-size // block)
+    assert set(first) <= pairs and size - 1 <= len(first) <= (size - 1) * blocks**2
+    assert all(r.x is None for r in found if r.sig is not None) and {r.sig for r in found} & set(range(groups))
+    every = [(r.x, r.y) for r in jaccard._pairs_across(rows, 80, False).collect()]
+    assert set(every) == pairs and len(every) == len(pairs)
+
+
+def test_a_forest_takes_the_nearest_pairs():
+    a, b = np.array([1, 1, 2, 5, 2]), np.array([2, 3, 3, 6, 1])
+    assert jaccard.forest(a, b, np.array([0.3, 0.1, 0.2, 0.9, 0.4])).tolist() == [False, True, True, True, False]
+
+
 def test_shared_passages_meet_in_no_pair(spark):
     """Texts that share a passage have enough rare signatures to do without those of the passage."""
     rng = random.Random(3)
