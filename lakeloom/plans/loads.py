@@ -243,8 +243,11 @@ def file_manifest(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders_by_priority")
     write_partitioned(t.orders.select("o_orderkey", "o_orderpriority"), path, ["o_orderpriority"])
     found = files.manifest(t.spark, path, "*.parquet").select(_folder_and_file("path"), "length")
-    read = t.spark.read.parquet(path).select("o_orderpriority", _folder_and_file("_metadata.file_path"))
-    rows = read.groupBy("file", "o_orderpriority").agg(F.count(F.lit(1)).alias("n")).join(found, "file")
+    read = t.spark.read.parquet(path).select("o_orderpriority", F.col("_metadata.file_path").alias("path"))
+    # Rows are counted by whole path; its end is taken once for each file. It comes from an
+    # aggregate, so the join's test for null does not take it from each row all the same.
+    counted = read.groupBy("path", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.max("path").alias("whole"))
+    rows = counted.select("o_orderpriority", "n", _folder_and_file("whole")).join(found, "file")
     by_priority = rows.groupBy(F.col("o_orderpriority").alias("priority"))
     return by_priority.agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("length") > 0).alias("has_bytes"))
 

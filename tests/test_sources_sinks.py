@@ -221,3 +221,14 @@ def test_create_and_load(spark, tmp_path):
 def test_result_actions(spark):
     df = spark.range(5)
     assert (df.count(), len(df.limit(2).toPandas()), df.limit(1).first()[0]) == (5, 2, 0)
+
+
+def test_manifest_takes_file_names_apart_once_a_file(spark, tables):
+    from lakeloom.plans.catalog import REGISTRY
+
+    plan = REGISTRY["file_manifest"](spark, tables.root)._jdf.queryExecution().optimizedPlan().toString()
+    # Nearest the rows that are read: the count by whole path, then the end of the path.
+    lines = [line for line in plan.splitlines() if "o_orderpriority" in line]
+    counted = max(i for i, line in enumerate(lines) if "Aggregate [" in line)
+    assert "regexp_extract" in lines[counted]
+    assert not any("regexp_extract" in line for line in lines[counted + 1 :])
