@@ -46,6 +46,12 @@ def replicate_counted(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
+def spread(df: DataFrame, tasks_per_core: int = 4) -> DataFrame:
+    """Rows dealt evenly over all cores, before work that takes long for the bytes it reads: a
+    file is cut by its bytes, so a small one with many rows would keep a single task busy."""
+    return df.repartition(tasks_per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def keys_of(df: DataFrame, *keys: str) -> DataFrame:
     """Distinct keys, for semi and anti joins. Copies of a hot key are folded before
     the shuffle, and the join then reuses the shuffle of the distinct."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.exact import total
+from lakeloom.operators.layout import spread
 from lakeloom.plans.questions import clean_events
 from lakeloom.plans.registry import query
 from lakeloom.session import scratch_path
@@ -138,5 +139,7 @@ def html_products(t: Tables) -> DataFrame:
         F.lit('"><i></i></p><div class="product_price"><p class="price_color">&pound;'), size.cast("string"), F.lit("</p>"),
         F.when(size > 25, '<p class="instock availability"><i></i>\n\n  In stock\n </p>').otherwise(""), F.lit("</div></article>"),
     )
-    items = product_items(t.part.select("p_partkey", page.alias("html")), "p_partkey")
+    # Parts are few bytes, often of one file, and their pages much work: all cores share them.
+    parts = spread(t.part.select("p_partkey", "p_name", "p_size"))
+    items = product_items(parts.select("p_partkey", page.alias("html")), "p_partkey")
     return items.select("p_partkey", "title", "price", "in_stock", "rating", "url")

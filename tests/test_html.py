@@ -80,3 +80,10 @@ def test_titles_and_links_from_one_parse(spark):
     found = page_elements(pages)
     assert rows(found) == [(1, "link", 0, "a", "xy"), (1, "link", 1, "b", "z"), (1, "title", 0, None, "T")]
     assert plan_text(found).count("MapInArrow") == 1
+
+
+def test_products_are_parsed_by_all_cores(spark, tables):
+    from lakeloom.plans.catalog import REGISTRY
+
+    found = REGISTRY["html_products"](spark, tables.root)
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
