@@ -205,7 +205,8 @@ def csv_multiline_split(t: Tables) -> DataFrame:
     try:
         for key, value in small.items():
             spark.conf.set(key, value)
-        write_parquet(csv_records(spark, path, rows.schema, header=True), read)
+        # One file for each small block would be many; the hint puts their records together.
+        write_parquet(csv_records(spark, path, rows.schema, header=True).hint("rebalance"), read)
     finally:
         for key, value in old.items():
             spark.conf.set(key, value)

@@ -4,12 +4,14 @@ import contextlib
 import csv
 import io
 import random
+import re
 
 import pytest
-from conftest import rows
+from conftest import plan_text, rows
 
 from lakeloom.session import scratch_path
 from lakeloom.sinks.files import write_csv
+from lakeloom.sources import quoted
 from lakeloom.sources.files import csv_files
 from lakeloom.sources.quoted import csv_records, quoted_lines, records
 from lakeloom.sources.tables import inline_rows
@@ -105,3 +107,49 @@ def test_no_task_reads_a_whole_file(spark, tmp_path):
         found = csv_records(spark, str(tmp_path / "x.csv"), schema(spark), header=True)
         assert quoted_lines(spark, str(tmp_path / "x.csv")).rdd.getNumPartitions() >= 10
         assert found.count() == 4000 and found.where("text = 'a\nb'").count() == 4000
+
+
+def shuffled_bytes(spark):
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    return context.statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+def test_only_lines_at_the_edges_of_blocks_are_shuffled(spark, tmp_path):
+    rng = random.Random(5)
+    data = [(i, f"{rng.randbytes(40).hex()}\n{rng.randbytes(40).hex()}", rng.randbytes(40).hex()) for i in range(4000)]
+    written(tmp_path / "x.csv", data)
+    size = (tmp_path / "x.csv").stat().st_size
+    with blocks_of(spark, 64 << 10):
+        found = csv_records(spark, str(tmp_path / "x.csv"), schema(spark), header=True)
+        before = shuffled_bytes(spark)
+        assert rows(found) == sorted(data, key=repr)
+    assert shuffled_bytes(spark) - before < size / 5
+    # No window or sort holds the lines of a block.
+    plan = plan_text(found)
+    assert "Window" in plan and not re.search(r"windowspecdefinition\(_file#\d+, _block#\d+L?, _line", plan)
+
+
+@pytest.mark.parametrize("most_blocks", [0, quoted.BROADCAST_BLOCKS])
+def test_many_blocks_small_batches_and_the_first_record_of_each_file(spark, tmp_path, monkeypatch, most_blocks):
+    rng = random.Random(3)
+    monkeypatch.setattr(quoted, "BROADCAST_BLOCKS", most_blocks)
+    monkeypatch.setattr(quoted, "TASK_BYTES", 512)
+    bits = ["a", "\n", '"', ",", "\n\n", "é", "long text\n" * 9]
+    data = [(i, "".join(rng.choices(bits, k=rng.randrange(5))) + "x", "n") for i in range(45)]
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        written(tmp_path / "in" / f"{n}.csv", data[n::3])
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(batch)
+    spark.conf.set(batch, "3")
+    try:
+        for size in (9, 200, 1 << 20):
+            with blocks_of(spark, size):
+                found = csv_records(spark, str(tmp_path / "in"), schema(spark), header=True)
+                assert rows(found) == sorted(data, key=repr)
+                firsts = records(spark, str(tmp_path / "in")).where("first").select("record", "_file").collect()
+                assert sorted(r["_file"][-5:] for r in firsts) == ["0.csv", "1.csv", "2.csv"]
+                assert {r["record"] for r in firsts} == {"id,text,note"}
+    finally:
+        spark.conf.set(batch, old)
